@@ -223,7 +223,7 @@ _ACTIONS = f"""{_CHAIN},
             'marketing_agent', card_id, 'promo_proposed', date, NULL, NULL, NULL, NULL
         FROM promos)"""
 
-_USAGE = """asks AS (SELECT event_id, user_id, epoch_us(ts) AS at FROM events)"""
+_USAGE = """asks AS (SELECT event_id, user_id, epoch_us(ts) AS us FROM events)"""
 
 _HITS = """pairs AS (
         SELECT a.vec_id AS query_id, b.vec_id AS id,
@@ -274,14 +274,17 @@ ORACLES: dict[str, str] = {
             {_dec("sum(price_change_7d)", 3)} AS price_change
         FROM feats GROUP BY ALL""",
     "unpivot_long": f"""WITH {_panel("coarse")}
-        SELECT item_id, dept_id, cat_id, store_id, state_id, d, CAST(sales AS BIGINT) AS sales
+        SELECT item_id, dept_id, cat_id, store_id, state_id, strftime(date, '%Y-%m') AS month,
+            'd_' || day(date) AS d, CAST(sales AS BIGINT) AS sales
         FROM fact""",
-    "melt_keep_nulls": f"""WITH {_panel("coarse")}
-        SELECT f.item_id, f.store_id, count(*) AS n_rows,
-            count(*) FILTER (WHERE x.sales IS NULL) AS n_null, CAST(sum(x.sales) AS BIGINT) AS total
-        FROM fact f LEFT JOIN daily x ON x.item_id = f.item_id AND x.store_id = f.store_id
-            AND x.date = f.date
-        GROUP BY ALL""",
+    "melt_keep_nulls": f"""WITH {_panel("coarse")},
+        months AS (
+            SELECT item_id, store_id, date_trunc('month', date) AS m, count(*) AS days,
+                sum(sales) AS total
+            FROM fact GROUP BY ALL)
+        SELECT item_id, store_id, 31 * count(*) AS n_rows,
+            CAST(sum(31 - days) AS BIGINT) AS n_null, CAST(sum(total) AS BIGINT) AS total
+        FROM months GROUP BY ALL""",
     "dense_panel": f"""WITH {_panel("fine")}
         SELECT item_id, store_id, count(*) AS n_days, CAST(min(date) AS VARCHAR) AS first_day,
             CAST(max(date) AS VARCHAR) AS last_day, CAST(sum(sales) AS BIGINT) AS total,
@@ -390,7 +393,14 @@ ORACLES: dict[str, str] = {
         FROM reorders""",
     "procurement": f"WITH {_CHAIN} SELECT * EXCLUDE (cost_ratio) FROM outcomes",
     "finance": f"WITH {_CHAIN} SELECT * FROM decided",
-    "promos": f"WITH {_CHAIN} SELECT * EXCLUDE (date) FROM promos",
+    "promos": f"""WITH {_SCORED}
+        SELECT item_id || '_' || store_id AS card_id, item_id, store_id, CAST(date AS VARCHAR) AS day,
+            CASE WHEN abs(normalized_residual) >= 3 THEN 20.0::DOUBLE
+                 WHEN abs(normalized_residual) >= 2 THEN 15.0::DOUBLE ELSE 10.0::DOUBLE END
+                AS proposed_discount_pct,
+            'Demand dropped ' || {_fixed("abs(normalized_residual)")}
+            || ' std devs below expected — proposing a promo to recover volume.' AS reason
+        FROM scored WHERE anomaly_flag = 1 AND normalized_residual < 0""",
     "decision_chain": f"""WITH {_CHAIN}
         SELECT 'procurement_' || procurement_status AS step, 'finance_' || finance_status AS result,
             count(*) AS n FROM decided GROUP BY ALL
@@ -428,15 +438,15 @@ ORACLES: dict[str, str] = {
         FROM embeddings LEFT JOIN lines ON query_id = vec_id""",
     "usage_window": f"""WITH {_USAGE}
         SELECT event_id, user_id,
-            count(*) OVER (PARTITION BY user_id ORDER BY at
+            count(*) OVER (PARTITION BY user_id ORDER BY us
                 RANGE BETWEEN 59999999 PRECEDING AND CURRENT ROW) AS burst_used,
-            count(*) OVER (PARTITION BY user_id ORDER BY at
+            count(*) OVER (PARTITION BY user_id ORDER BY us
                 RANGE BETWEEN 86399999999 PRECEDING AND CURRENT ROW) AS daily_used
         FROM asks""",
-    "usage_now": f"""WITH {_USAGE}, now AS (SELECT max(at) AS moment FROM asks)
-        SELECT user_id, count(*) FILTER (WHERE at > moment - 60000000) AS burst_used, 5 AS burst_max,
-            count(*) FILTER (WHERE at > moment - 86400000000) AS daily_used, 100 AS daily_max
-        FROM asks, now GROUP BY user_id""",
+    "usage_now": f"""WITH {_USAGE}, newest AS (SELECT max(us) AS moment FROM asks)
+        SELECT user_id, count(*) FILTER (WHERE us > moment - 60000000) AS burst_used, 5 AS burst_max,
+            count(*) FILTER (WHERE us > moment - 86400000000) AS daily_used, 100 AS daily_max
+        FROM asks, newest GROUP BY user_id""",
     "replay_cards": f"WITH {_REPLAY} SELECT * FROM replayed",
     "replay_reorders": f"""WITH {_REPLAY}
         SELECT batch, count(*) AS cards, count(*) FILTER (WHERE stockout_risk_flag = 1) AS published,

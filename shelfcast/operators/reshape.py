@@ -30,13 +30,23 @@ def melt(
     """Wide to long, one row per id and value column; nulls are kept."""
     if len(values) <= _EXPAND_LIMIT:
         return wide.unpivot(list(ids), list(values), name, value)
-    labels = F.array(*(F.lit(c) for c in values))
-    cells = F.array(*(F.col(f"`{c}`") for c in values))
-    return wide.select(*ids, F.posexplode(cells).alias("_at", value)).select(
-        *ids, F.get(labels, F.col("_at")).alias(name), value
+    # One SQL text instead of thousands of column objects, each of which is a driver call.
+    cells = ", ".join(f"`{c}`" for c in values)
+    labels = ", ".join(_sql_text(c) for c in values)
+    return wide.selectExpr(*_quoted(ids), f"posexplode(array({cells})) AS (_at, {value})").select(
+        *ids, F.get(F.expr(f"array({labels})"), F.col("_at")).alias(name), value
     )
 
 
+def _quoted(names: Sequence[str]) -> list[str]:
+    return [f"`{c}`" for c in names]
+
+
+def _sql_text(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def unpivot_days(
     wide: DataFrame,
     ids: Sequence[str] = ("id", *config.HIERARCHY),
@@ -61,6 +71,7 @@ def densify(
     day: str = "date",
     first: date | None = None,
     last: date | None = None,
+    since: date | None = None,
     period: Callable[[Column], Column] | None = None,
     period_values: Sequence[str] = (),
 ) -> DataFrame:
@@ -74,6 +85,8 @@ def densify(
 
     ``period_values`` are constant within a period (say, a weekly price): a filled day
     takes them from an observed row of its period, on either side, and else has NULL.
+
+    ``since`` gives only the days from then on; earlier days are never exploded.
     """
     low = F.lit(first) if first else sparse.select(F.min(day)).scalar()
     high = F.lit(last) if last else sparse.select(F.max(day)).scalar()
@@ -87,9 +100,13 @@ def densify(
         *(F.lead(c).over(along).alias(f"_next_{c}") for c in period_values),
         F.when(F.lag(day).over(along).isNull(), low).otherwise(F.col(day)).alias("_from"),
     )
-    until = F.coalesce(F.date_sub("_next", 1), high)
+    spans = spans.withColumn("_until", F.coalesce(F.date_sub("_next", 1), high))
+    if since:
+        spans = spans.where(F.col("_until") >= F.lit(since)).withColumn(
+            "_from", F.greatest("_from", F.lit(since))
+        )
     exploded = spans.select(
-        "*", F.explode(F.sequence("_from", until, F.expr("interval 1 day"))).alias(day)
+        "*", F.explode(F.sequence("_from", "_until", F.expr("interval 1 day"))).alias(day)
     )
 
     def filled(column: str) -> Column:

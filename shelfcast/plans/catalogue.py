@@ -20,6 +20,7 @@ from shelfcast.operators import (
     inventory,
     isolation,
     panel,
+    replay,
     reports,
     reshape,
     retrieval,
@@ -28,9 +29,9 @@ from shelfcast.operators import (
     topics,
 )
 from shelfcast.plans import chain, scoring
-from shelfcast.session import scratch_path, tune
+from shelfcast.session import tune
 from shelfcast.sources import retail
-from shelfcast.sources.tables import read_table
+from shelfcast.sources.tables import read_table, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,10 +58,11 @@ def _rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
 
 
 def _scored(spark: SparkSession, folder: str) -> DataFrame:
-    """Scored validation window of every fine series."""
+    """Scored validation window of every fine series, from staged predictions."""
     span = retail.span_of(spark, folder)
     fact = retail.fact_table(spark, folder, since=scoring.history_start(span.last))
-    return scoring.baseline_scored(fact, retail.cover_columns(), span.last)
+    predictions = scoring.baseline_predictions(fact, retail.cover_columns(), span.last)
+    return scoring.baseline_scored(stage(predictions, "predictions"))
 
 
 def _cards(spark: SparkSession, folder: str) -> DataFrame:
@@ -161,25 +163,33 @@ def feature_profile(spark, folder):
     )
 
 
-@query
-def unpivot_long(spark, folder):
-    """Wide table of all days and back: one row per series and day."""
+def _monthly_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """Wide table with one row per series and month and one column per day of the month.
+
+    Days a month does not have are NULL."""
     span = retail.span_of(spark, folder)
     long = retail.sales_long(retail.daily_sales(spark, folder, "coarse"), span)
-    days = [f"d_{i + 1}" for i in range(span.days)]
-    wide = reshape.pivot_days(long, config.HIERARCHY, days)
-    return reshape.unpivot_days(wide, config.HIERARCHY)
+    dated = long.withColumns(
+        {
+            "month": F.date_format("date", "yyyy-MM"),
+            "d": F.concat(F.lit("d_"), F.dayofmonth("date")),
+        }
+    )
+    days = [f"d_{i}" for i in range(1, 32)]
+    return reshape.pivot_days(dated, (*config.HIERARCHY, "month"), days)
+
+
+@query
+def unpivot_long(spark, folder):
+    """Wide monthly table back to one row per series and day."""
+    return reshape.unpivot_days(_monthly_wide(spark, folder), (*config.HIERARCHY, "month"))
 
 
 @query
 def melt_keep_nulls(spark, folder):
-    """Wide table of sparse sales molten with its nulls, counted per series."""
-    span = retail.span_of(spark, folder)
-    daily = retail.daily_sales(spark, folder, "coarse")
-    sparse = daily.withColumn("d", retail.day_label(F.col("date"), span.first))
-    days = [f"d_{i + 1}" for i in range(span.days)]
-    wide = reshape.pivot_days(sparse, config.SERIES, days)
-    molten = reshape.melt(wide, config.SERIES, reshape.day_columns(wide))
+    """The wide monthly table molten with its nulls, counted per series."""
+    wide = _monthly_wide(spark, folder)
+    molten = reshape.melt(wide, (*config.SERIES, "month"), reshape.day_columns(wide))
     return molten.groupBy(*config.SERIES).agg(
         F.count("*").alias("n_rows"),
         F.count_if(F.col("sales").isNull()).alias("n_null"),
@@ -436,7 +446,13 @@ def finance(spark, folder):
 
 @query
 def promos(spark, folder):
-    return _decisions(spark, folder)[1]
+    """Promotions for every flagged series-day, as a replay of single days proposes them."""
+    days = _scored(spark, folder).withColumn("day", F.col("date"))
+    routed = decisions.route_cards(cards.build_cards(days, ["day"]))
+    proposed = decisions.propose_promos(
+        decisions.on_topic(routed, config.TOPIC_DROP), keep=[F.col("day").cast("string").alias("day")]
+    )
+    return proposed
 
 
 @query
@@ -565,10 +581,7 @@ def text_vectors(spark, folder):
 @query
 def card_retrieval(spark, folder):
     """Cards found for the question behind each recommended reorder."""
-    built = _cards(spark, folder)
-    path = scratch_path(spark, "cards")
-    built.write.parquet(path)
-    stored = spark.read.parquet(path)
+    stored = stage(_cards(spark, folder), "cards")
     at_risk = decisions.on_topic(decisions.route_cards(stored), config.TOPIC_STOCKOUT)
     reorders = decisions.positive_reorders(decisions.propose_reorders(at_risk))
     return chain.reorder_rationales(stored, reorders)
@@ -578,9 +591,7 @@ def card_retrieval(spark, folder):
 
 
 def _stored_features(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    path = scratch_path(spark, "features")
-    _coarse_features(spark, folder).write.parquet(path)
-    return split.time_split(spark.read.parquet(path))
+    return split.time_split(stage(_coarse_features(spark, folder), "features"))
 
 
 @query
@@ -607,9 +618,8 @@ def quantile_forecast(spark, folder):
 
 @query
 def isolation_forest(spark, folder):
-    path = scratch_path(spark, "residuals")
-    _scored(spark, folder).select(*config.SERIES_DAY, *anomaly.ANOMALY_FEATURES).write.parquet(path)
-    rows = spark.read.parquet(path)
+    scaled = _scored(spark, folder).select(*config.SERIES_DAY, *anomaly.ANOMALY_FEATURES)
+    rows = stage(scaled, "residuals")
     model = isolation.fit_forest(rows)
     return _text_dates(
         model.transform(rows).select(*config.SERIES_DAY, "residual", "anomaly_flag", "anomaly_score")
@@ -619,6 +629,25 @@ def isolation_forest(spark, folder):
 # Replay, streams, admission ---------------------------------------------------------------------------
 
 
+def _replayed(spark: SparkSession, folder: str) -> DataFrame:
+    return replay.batch_cards(_scored(spark, folder), batch_days=2)
+
+
+@query
+def replay_cards(spark, folder):
+    """Cards of every two-day batch, each batch seen alone."""
+    return _replayed(spark, folder).select(
+        "batch", *config.SERIES_DAY, "days_flagged", "stockout_risk_flag", "p90_forecast",
+        "on_hand_inventory",
+    )
+
+
+@query
+def replay_reorders(spark, folder):
+    """Cards, published risks and reorders per batch."""
+    return replay.batch_report(_replayed(spark, folder))
+
+
 def _events(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "events").select(
         "event_id", "user_id", F.col("ts").cast("timestamp").alias("ts")

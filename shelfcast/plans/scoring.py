@@ -43,34 +43,33 @@ def history_start(last: date, validation_days: int = config.VALIDATION_DAYS) ->
     return last - timedelta(days=validation_days - 1 + max(config.LAG_DAYS))
 
 
-def baseline_scored(
+def baseline_predictions(
     fact: DataFrame,
     inventory_inputs: tuple[Column, Column] | DataFrame,
     last: date,
-    anomaly_limit: float = 2.0,
     validation_days: int = config.VALIDATION_DAYS,
 ) -> DataFrame:
-    """Scored table with stand-in predictions; all of it is one lazy plan.
+    """Stand-in predictions, stock and stockout flag for the validation window.
 
-    Everything runs on rows partitioned by series, so after the panel there is no further
-    shuffle, apart from the one-row deviation.
+    Everything runs on rows partitioned by series; after the panel there is no shuffle.
     """
     built = features.build_features(fact)
     _, validation = split.time_split(built, validation_days, last)
     rows = score.baseline_predictions(validation)
     if isinstance(inventory_inputs, DataFrame):
         rows = inventory.with_inventory(rows, inventory_inputs)
+        on_hand = F.col("on_hand_inventory")
     else:
-        cover, factor = inventory_inputs
-        rows = rows.withColumn(
-            "on_hand_inventory", inventory.days_of_cover(F.col("roll_mean_28"), cover, factor)
-        )
-    rows = rows.withColumn(
-        "on_hand_inventory", F.round(F.col("on_hand_inventory").cast("decimal(18,6)"), 4).cast("double")
-    )
-    flagged = inventory.with_stockout_flag(rows)
-    surprised = anomaly.threshold_flags(anomaly.anomaly_features(flagged), anomaly_limit)
-    return surprised.withColumnRenamed("sales", "actual_sales")
+        on_hand = inventory.days_of_cover(F.col("roll_mean_28"), *inventory_inputs)
+    rounded = F.round(on_hand.cast("decimal(18,6)"), 4).cast("double")
+    return inventory.with_stockout_flag(rows.withColumn("on_hand_inventory", rounded))
+
+
+def baseline_scored(predictions: DataFrame, anomaly_limit: float = 2.0) -> DataFrame:
+    """Scored rows from stored predictions, which are read twice: once for the overall
+    deviation of the residuals and once for the rows."""
+    scaled = anomaly.anomaly_features(predictions)
+    return anomaly.threshold_flags(scaled, anomaly_limit).withColumnRenamed("sales", "actual_sales")
 
 
 def run_scoring(

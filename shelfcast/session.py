@@ -24,6 +24,9 @@ _RUNTIME = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Settings only a new session can take: do not record the call site of every column.
+_AT_START = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
@@ -43,7 +46,7 @@ def build_session(
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in {**_RUNTIME, **(extra or {})}.items():
+    for key, value in {**_RUNTIME, **_AT_START, **(extra or {})}.items():
         builder = builder.config(key, value)
     return tune(builder.getOrCreate())
 

@@ -29,10 +29,23 @@ class Span:
         return (self.last - self.first).days + 1
 
 
+# The columns read, with their types, so that no footer has to be read for a schema.
+_COLUMNS = {
+    "lineitem": (
+        "l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "part": "p_partkey long, p_brand string, p_type string",
+    "supplier": "s_suppkey long, s_nationkey int",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
 def span_of(spark: SparkSession, folder: str) -> Span:
     """First and last ship day: one partial aggregate over one pruned column."""
     low, high = (
-        read_table(spark, folder, "lineitem")
+        read_table(spark, folder, "lineitem", "l_shipdate timestamp_ntz")
         .agg(F.min("l_shipdate").cast("date"), F.max("l_shipdate").cast("date"))
         .first()
     )
@@ -63,22 +76,18 @@ def _coarse_keys() -> list[Column]:
 def daily_sales(spark: SparkSession, folder: str, grain: str = "fine") -> DataFrame:
     """Units and revenue per item, store and day that had sales.
 
-    Joins are left to the optimizer: by size they broadcast, else they shuffle with AQE
-    splitting skewed parts. The aggregation combines before it shuffles, so a hot item
+    The joins form a chain on base tables, whose sizes the optimizer knows: the small ones
+    broadcast, the others shuffle with AQE splitting skewed parts. The aggregation combines before it shuffles, so a hot item
     arrives as at most one row per store and day from each task.
     """
     keys = _fine_keys() if grain == "fine" else _coarse_keys()
-    lines = read_table(spark, folder, "lineitem")
-    parts = read_table(spark, folder, "part").select("p_partkey", "p_brand", "p_type")
-    stores = (
-        read_table(spark, folder, "supplier")
-        .join(read_table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(read_table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("s_suppkey", "n_name", "r_name")
-    )
+    source = {name: read_table(spark, folder, name, schema) for name, schema in _COLUMNS.items()}
     sold = (
-        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .join(stores, F.col("l_suppkey") == F.col("s_suppkey"))
+        source["lineitem"]
+        .join(source["part"], F.col("l_partkey") == F.col("p_partkey"))
+        .join(source["supplier"], F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(source["nation"], F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(source["region"], F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
             *keys,
             F.col("l_shipdate").cast("date").alias("date"),
@@ -134,7 +143,7 @@ def sales_long(daily: DataFrame, span: Span) -> DataFrame:
     return dense.withColumn("d", day_label(F.col("date"), span.first))
 
 
-def priced_long(daily: DataFrame, span: Span) -> DataFrame:
+def priced_long(daily: DataFrame, span: Span, since: date | None = None) -> DataFrame:
     """Dense long sales with the weekly price, from one pass over the daily rows.
 
     Gives the same rows as joining ``weekly_prices``, but the order lines are read and
@@ -144,13 +153,19 @@ def priced_long(daily: DataFrame, span: Span) -> DataFrame:
     def week(day: Column) -> Column:
         return week_of(day, span.first)
 
-    same_week = Window.partitionBy("item_id", "store_id", week(F.col("date")))
+    # Peers of the week inside the series partition: the same shuffle as the gap filling.
+    same_week = (
+        Window.partitionBy("item_id", "store_id")
+        .orderBy(week(F.col("date")))
+        .rangeBetween(Window.currentRow, Window.currentRow)
+    )
     revenue = F.sum("revenue").over(same_week).cast("double")
     priced = daily.withColumn("sell_price", revenue / F.sum("sales").over(same_week))
     dense = reshape.densify(
         priced,
         first=span.first,
         last=span.last,
+        since=since,
         period=week,
         period_values=["sell_price"],
     )
@@ -162,9 +177,7 @@ def fact_table(
 ) -> DataFrame:
     """Dense fact panel. ``since`` keeps only the days a later scoring step depends on."""
     span = span_of(spark, folder)
-    long = priced_long(daily_sales(spark, folder, grain), span)
-    if since:
-        long = long.where(F.col("date") >= F.lit(since))
+    long = priced_long(daily_sales(spark, folder, grain), span, since)
     days = panel.with_calendar(long, calendar(spark, span))
     return days.select(*panel.FACT_COLUMNS)
 
@@ -189,9 +202,14 @@ def cover_columns(seed: int = 42) -> tuple[Column, Column]:
     return cover.alias("cover_days"), F.greatest(F.lit(0.0), spread).alias("factor")
 
 
+def _items(spark: SparkSession, folder: str) -> DataFrame:
+    parts = read_table(spark, folder, "part", "p_brand string")
+    return parts.select(F.col("p_brand").alias("item_id")).distinct()
+
+
 def supplier_dimension(spark: SparkSession, folder: str, seed: int = 7) -> DataFrame:
     """Stand-in supplier table: one row per item with capacity and lead time."""
-    items = read_table(spark, folder, "part").select(F.col("p_brand").alias("item_id")).distinct()
+    items = _items(spark, folder)
     constrained = uniform(seed, "constrained", "item_id") < 0.10
     share = uniform(seed, "capacity", "item_id")
     capacity = F.when(constrained, 20.0 + 40.0 * share).otherwise(200.0 + 800.0 * share)
@@ -204,6 +222,6 @@ def supplier_dimension(spark: SparkSession, folder: str, seed: int = 7) -> DataF
 
 
 def cost_dimension(spark: SparkSession, folder: str, seed: int = 7) -> DataFrame:
-    items = read_table(spark, folder, "part").select(F.col("p_brand").alias("item_id")).distinct()
+    items = _items(spark, folder)
     ratio = F.lit(0.45) + F.lit(0.30) * uniform(seed, "cost", "item_id")
     return items.select("item_id", round_decimal(ratio, 3).alias("cost_ratio"))

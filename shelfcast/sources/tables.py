@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast import config
+from shelfcast.session import scratch_path
 
 # A JSON document that holds one object or array is one record to Spark. Documents beyond
 # this size must come as JSON lines or Parquet instead.
@@ -30,13 +31,30 @@ def _guard(read, name: str, path: str, hint: str = "") -> DataFrame:
         raise MissingInput(f"Table '{name}' not found at {path}.{tail}") from error
 
 
-def read_parquet(spark: SparkSession, path: str, name: str | None = None, hint: str = ""):
-    return _guard(lambda: spark.read.parquet(path), name or path, path, hint)
+def read_parquet(
+    spark: SparkSession, path: str, name: str | None = None, schema: str | None = None, hint=""
+) -> DataFrame:
+    """Parquet table. A given schema saves reading footers and limits the columns."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return _guard(lambda: reader.parquet(path), name or path, path, hint)
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def read_table(
+    spark: SparkSession, folder: str, name: str, schema: str | None = None
+) -> DataFrame:
     """One of the Parquet tables of a folder."""
-    return read_parquet(spark, f"{folder.rstrip('/')}/{name}.parquet", name)
+    return read_parquet(spark, f"{folder.rstrip('/')}/{name}.parquet", name, schema)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and go on from there.
+
+    For rows that several later steps read: they are computed once, the plan stays short,
+    and a lost executor does not lose them.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read_csv(
