@@ -454,5 +454,40 @@ ORACLES: dict[str, str] = {
                 AND {_dec("p90_forecast * 7 * 1.2::DOUBLE - on_hand_inventory", 1)} > 0) AS reorders
         FROM replayed GROUP BY batch""",
 }
+
+
+def _admission(key: str, column: str) -> str:
+    """Asks decided one after the other; the list keeps the admitted times."""
+    burst = "len(list_filter(s.kept, lambda k: k > o.us - 60000000)) >= 5"
+    daily = "len(list_filter(s.kept, lambda k: k > o.us - 86400000000)) >= 100"
+    return f"""WITH RECURSIVE ordered AS (
+        SELECT {key} AS k, event_id, ts, epoch_us(ts) AS us,
+            row_number() OVER (PARTITION BY {key} ORDER BY ts, event_id) AS n
+        FROM events),
+    step AS (
+        SELECT k, event_id, ts, n, [us] AS kept, '' AS refused_by FROM ordered WHERE n = 1
+        UNION ALL
+        SELECT o.k, o.event_id, o.ts, o.n,
+            CASE WHEN {burst} OR {daily} THEN s.kept ELSE list_append(
+                list_filter(s.kept, lambda k: k > o.us - 86400000000), o.us) END,
+            CASE WHEN {burst} THEN 'burst' WHEN {daily} THEN 'daily' ELSE '' END
+        FROM step s JOIN ordered o ON o.k = s.k AND o.n = s.n + 1)
+    SELECT k AS {column}, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts,
+        refused_by = '' AS admitted, refused_by FROM step"""
+
+
+ORACLES["rate_limit"] = _admission("user_id", "user_id")
+ORACLES["rate_limit_global"] = _admission("'all'", "scope")
+ORACLES["rate_limit_stream"] = (
+    f"SELECT user_id, event_id, ts, admitted FROM ({ORACLES['rate_limit']}) t"
+)
+ORACLES["replay_stream"] = ORACLES["replay_cards"]
+ORACLES["usage_stream"] = """
+    SELECT user_id, strftime(until, '%Y-%m-%d %H:%M:%S') AS until, count(*) AS used
+    FROM events, unnest([
+        date_trunc('day', ts) + INTERVAL 12 HOUR * CAST(floor(hour(ts) / 12) + 1 AS INT),
+        date_trunc('day', ts) + INTERVAL 12 HOUR * CAST(floor(hour(ts) / 12) + 2 AS INT)
+    ]) AS u(until)
+    GROUP BY ALL"""
 ORACLES["cumulative_cards"] = ORACLES["insight_cards"]
 ORACLES["decision_stream"] = ORACLES["finance"]

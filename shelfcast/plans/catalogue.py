@@ -29,9 +29,13 @@ from shelfcast.operators import (
     topics,
 )
 from shelfcast.plans import chain, scoring
-from shelfcast.session import tune
+from shelfcast.session import scratch_path, tune
 from shelfcast.sources import retail
 from shelfcast.sources.tables import read_table, stage
+from shelfcast.streaming import admission as admission_streams
+from shelfcast.streaming import cards as card_streams
+from shelfcast.streaming import sinks
+from shelfcast.streaming.decisions import TopicStreams, card_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -684,3 +688,78 @@ def rate_limit_global(spark, folder):
     rows = _events(spark, folder).withColumn("scope", F.lit("all"))
     decided = admission.rate_admission(rows, "scope", "ts", "event_id", chunk_rows=2500)
     return decided.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+@query
+def replay_stream(spark, folder):
+    """The two-day batches as a stream over the scored days."""
+    rows = _scored(spark, folder)
+    base = scratch_path(spark, "replay")
+    rows.select(*score.SCORED_COLUMNS).repartitionByRange(8, "date").write.parquet(f"{base}/days")
+    first = rows.agg(F.min("date")).first()[0]
+    schema = spark.read.parquet(f"{base}/days").schema
+    stream = sinks.read_files(spark, f"{base}/days", schema, files_per_trigger=2)
+    card_streams.replay_state(
+        stream, first, f"{base}/cards", f"{base}/checkpoint", batch_days=2, lateness="30 days"
+    ).awaitTermination()
+    return card_streams.replayed_cards(spark, f"{base}/cards").select(
+        "batch", *config.SERIES_DAY, "days_flagged", "stockout_risk_flag", "p90_forecast",
+        "on_hand_inventory",
+    )
+
+
+@query
+def cumulative_cards(spark, folder):
+    """Cards from the state a stream over the scored days keeps."""
+    base = scratch_path(spark, "cumulative")
+    rows = _scored(spark, folder).select(*score.SCORED_COLUMNS)
+    rows.repartitionByRange(8, "date").write.parquet(f"{base}/days")
+    stream = sinks.read_files(
+        spark, f"{base}/days", spark.read.parquet(f"{base}/days").schema, files_per_trigger=3
+    )
+    card_streams.cumulative_state(stream, f"{base}/state", f"{base}/checkpoint").awaitTermination()
+    built = card_streams.cumulative_cards(spark, f"{base}/state")
+    return _rounded(built, "anomaly_score", "normalized_residual")
+
+
+@query
+def decision_stream(spark, folder):
+    """The decision chain as one stream per topic; the finance decisions it logs."""
+    base = scratch_path(spark, "decisions")
+    _cards(spark, folder).write.parquet(f"{base}/cards")
+    streams = TopicStreams(spark, base)
+    streams.run_available(
+        card_stream(spark, f"{base}/cards"),
+        retail.supplier_dimension(spark, folder),
+        retail.cost_dimension(spark, folder),
+    )
+    details = F.from_json("details", chain.DECISION_SCHEMA)
+    return streams.actions("finance_agent").select(details.alias("_d")).select("_d.*")
+
+
+@query
+def usage_stream(spark, folder):
+    """Events per user in sliding daily windows, as a stream."""
+    base = scratch_path(spark, "usage")
+    _events(spark, folder).write.parquet(f"{base}/events")
+    stream = sinks.read_files(spark, f"{base}/events", "event_id long, user_id long, ts timestamp")
+    usage = admission_streams.sliding_usage(stream, "user_id", "ts", slide="12 hours")
+    sinks.update_table(usage, f"{base}/usage", f"{base}/checkpoint", "usage").awaitTermination()
+    rows = sinks.current_rows(spark, f"{base}/usage", ["user_id", "until"])
+    return rows.withColumn("until", F.date_format("until", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query
+def rate_limit_stream(spark, folder):
+    """Admission of every event per user, as a stream."""
+    base = scratch_path(spark, "admission")
+    _events(spark, folder).repartitionByRange(4, "ts").sortWithinPartitions("ts").write.parquet(
+        f"{base}/events"
+    )
+    stream = sinks.read_files(spark, f"{base}/events", "event_id long, user_id long, ts timestamp")
+    decided = admission_streams.admit_stream(stream, "user_id", "ts", "event_id")
+    sinks.append_files(
+        decided, f"{base}/decided", f"{base}/checkpoint", "admission"
+    ).awaitTermination()
+    rows = spark.read.parquet(f"{base}/decided")
+    return rows.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))

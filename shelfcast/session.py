@@ -22,6 +22,10 @@ _RUNTIME = {
     # Safe here because a series never holds more than one row per day.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Stream state on local disk with checkpoints, not on the executor heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 # Settings only a new session can take: do not record the call site of every column.
