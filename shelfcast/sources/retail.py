@@ -52,35 +52,32 @@ def span_of(spark: SparkSession, folder: str) -> Span:
     return Span(low, high)
 
 
-def _fine_keys() -> list[Column]:
-    number = F.substring("p_brand", 7, 9).cast("int")
-    return [
-        F.col("p_brand").alias("item_id"),
-        F.concat(F.lit("DEPT_"), number % 7).alias("dept_id"),
-        F.concat(F.lit("CAT_"), (number % 7) % 3).alias("cat_id"),
-        F.col("n_name").alias("store_id"),
-        F.col("r_name").alias("state_id"),
-    ]
+# Source columns of item, store and state per grain.
+_GRAINS = {"fine": ("p_brand", "n_name", "r_name"), "coarse": ("p_type", "r_name", "r_name")}
 
 
-def _coarse_keys() -> list[Column]:
+def _hierarchy(grain: str) -> list[Column]:
+    """Item, department, category, store and state from the source columns."""
+    item, store, state = _GRAINS[grain]
+    number = F.substring(item, 7, 9).cast("int") % 7 if grain == "fine" else F.lit(0)
+    category = number % 3
     return [
-        F.col("p_type").alias("item_id"),
-        F.lit("DEPT_0").alias("dept_id"),
-        F.lit("CAT_0").alias("cat_id"),
-        F.col("r_name").alias("store_id"),
-        F.col("r_name").alias("state_id"),
+        F.col(item).alias("item_id"),
+        F.concat(F.lit("DEPT_"), number.cast("string")).alias("dept_id"),
+        F.concat(F.lit("CAT_"), category.cast("string")).alias("cat_id"),
+        F.col(store).alias("store_id"),
+        F.col(state).alias("state_id"),
     ]
 
 
 def daily_sales(spark: SparkSession, folder: str, grain: str = "fine") -> DataFrame:
-    """Units and revenue per item, store and day that had sales.
+    """Units and revenue (in cents) per item, store and day that had sales.
 
     The joins form a chain on base tables, whose sizes the optimizer knows: the small ones
-    broadcast, the others shuffle with AQE splitting skewed parts. The aggregation combines before it shuffles, so a hot item
-    arrives as at most one row per store and day from each task.
+    broadcast, the others shuffle with AQE splitting skewed parts. The aggregation
+    combines before it shuffles, so a hot item arrives as at most one row per store and
+    day from each task. Derived ids are built after it, on far fewer rows.
     """
-    keys = _fine_keys() if grain == "fine" else _coarse_keys()
     source = {name: read_table(spark, folder, name, schema) for name, schema in _COLUMNS.items()}
     sold = (
         source["lineitem"]
@@ -88,16 +85,12 @@ def daily_sales(spark: SparkSession, folder: str, grain: str = "fine") -> DataFr
         .join(source["supplier"], F.col("l_suppkey") == F.col("s_suppkey"))
         .join(source["nation"], F.col("s_nationkey") == F.col("n_nationkey"))
         .join(source["region"], F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            *keys,
-            F.col("l_shipdate").cast("date").alias("date"),
-            F.col("l_quantity"),
-            F.col("l_extendedprice").cast("decimal(18,2)").alias("_revenue"),
-        )
-    )
-    return sold.groupBy("item_id", "dept_id", "cat_id", "store_id", "state_id", "date").agg(
-        F.sum("l_quantity").cast("long").alias("sales"), F.sum("_revenue").alias("revenue")
     )
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    by_key = sold.groupBy(
+        *dict.fromkeys(_GRAINS[grain]), F.col("l_shipdate").cast("date").alias("date")
+    ).agg(F.sum("l_quantity").cast("long").alias("sales"), F.sum(cents).alias("cents"))
+    return by_key.select(*_hierarchy(grain), "date", "sales", "cents")
 
 
 def day_label(day: Column, first: date) -> Column:
@@ -134,7 +127,7 @@ def weekly_prices(daily: DataFrame, span: Span) -> DataFrame:
     """Mean unit price per item, store and week with sales."""
     return daily.groupBy(
         "item_id", "store_id", week_of(F.col("date"), span.first).alias("wm_yr_wk")
-    ).agg((F.sum("revenue").cast("double") / F.sum("sales")).alias("sell_price"))
+    ).agg((F.sum("cents") / F.lit(100.0) / F.sum("sales")).alias("sell_price"))
 
 
 def sales_long(daily: DataFrame, span: Span) -> DataFrame:
@@ -159,7 +152,7 @@ def priced_long(daily: DataFrame, span: Span, since: date | None = None) -> Data
         .orderBy(week(F.col("date")))
         .rangeBetween(Window.currentRow, Window.currentRow)
     )
-    revenue = F.sum("revenue").over(same_week).cast("double")
+    revenue = F.sum("cents").over(same_week) / F.lit(100.0)
     priced = daily.withColumn("sell_price", revenue / F.sum("sales").over(same_week))
     dense = reshape.densify(
         priced,
