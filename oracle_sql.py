@@ -299,6 +299,23 @@ ORACLES: dict[str, str] = {
             {_dec("sum(sell_price)", 3)} AS price_sum FROM fact GROUP BY ALL""",
     "series_count": f"""WITH {_panel("fine")}
         SELECT count(*) AS n_rows, count(DISTINCT (item_id, store_id)) AS n_series FROM fact""",
+    "sampled_series": f"""WITH {_daily("fine")},
+        chosen AS (SELECT DISTINCT item_id, store_id FROM daily ORDER BY item_id, store_id LIMIT 3)
+        SELECT item_id, store_id, CAST(date AS VARCHAR) AS date, sales
+        FROM daily JOIN chosen USING (item_id, store_id)""",
+    "first_rows": f"""WITH {_daily("fine")}
+        SELECT item_id, store_id, CAST(date AS VARCHAR) AS date, sales
+        FROM daily ORDER BY item_id, store_id, daily.date LIMIT 10""",
+    "shifted_features": f"""WITH {_panel("coarse")}
+        SELECT item_id, store_id, CAST(date AS VARCHAR) AS date, lag(sales, 1) OVER w AS lag_1,
+            CASE WHEN count(sales) OVER s = 7 THEN {_dec("avg(sales) OVER s", 6)} END AS roll_mean_7,
+            CASE WHEN count(sales) OVER s = 7 THEN {_dec("stddev_samp(sales) OVER s", 6)} END
+                AS roll_std_7,
+            {_dec("avg(sales) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)", 6)} AS leaky_mean_7
+        FROM fact
+        WINDOW w AS (PARTITION BY item_id, store_id ORDER BY fact.date),
+            s AS (PARTITION BY item_id, store_id ORDER BY fact.date
+                  ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)""",
     "panel_coverage": f"""WITH {_daily("fine")}
         SELECT count(*) AS n_series, avg(n) AS avg_rows_per_series
         FROM (SELECT item_id, store_id, count(*) AS n FROM daily GROUP BY ALL) t""",
@@ -343,6 +360,10 @@ ORACLES: dict[str, str] = {
     "anomaly_features": f"""WITH {_SCORED}
         SELECT {_by_day("residual")}, {_dec("resid_roll_std", 6)} AS resid_roll_std,
             {_dec("normalized_residual", 6)} AS normalized_residual, abs_residual FROM scored""",
+    "labelled_residuals": f"""WITH {_SCORED},
+        ends AS (SELECT min((item_id, store_id)) AS a, max((item_id, store_id)) AS b FROM scored)
+        SELECT {_by_day("residual")}, CASE WHEN (item_id, store_id) = a THEN 'A' ELSE 'B' END AS series
+        FROM scored, ends WHERE (item_id, store_id) IN (a, b)""",
     "inventory_levels": f"""WITH {_SCORED}
         SELECT {_by_day(_dec("roll_mean_28", 6) + " AS roll_mean_28")}, on_hand_inventory
         FROM scored""",

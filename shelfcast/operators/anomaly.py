@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,3 +44,9 @@ def threshold_flags(features: DataFrame, limit: float) -> DataFrame:
     return features.withColumn(
         "anomaly_flag", F.when(size > limit, 1).otherwise(0)
     ).withColumn("anomaly_score", -size)
+
+
+def labelled_union(parts: dict[str, DataFrame]) -> DataFrame:
+    """Several residual tables as one, with the name of its part on each row."""
+    tagged = [rows.withColumn("series", F.lit(name)) for name, rows in parts.items()]
+    return reduce(DataFrame.unionByName, tagged)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,3 +60,14 @@ def series_coverage(fact: DataFrame) -> DataFrame:
     return per_series.agg(
         F.count("*").alias("n_series"), F.avg("n").alias("avg_rows_per_series")
     )
+
+
+def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """First rows in a given order; each task passes on at most n rows."""
+    return df.orderBy(*order).limit(n)
+
+
+def first_series(fact: DataFrame, n: int) -> DataFrame:
+    """All rows of the first n series. The key set has at most n rows, so it is broadcast."""
+    keys = first_rows(fact.select(*config.SERIES).distinct(), config.SERIES, n)
+    return fact.join(F.broadcast(keys), list(config.SERIES), "left_semi")

@@ -248,6 +248,33 @@ def series_count(spark, folder):
     return panel.fact_counts(retail.fact_table(spark, folder))
 
 
+@query
+def sampled_series(spark, folder):
+    """All days of the first three fine series, by a semi-join on the key set."""
+    daily = retail.daily_sales(spark, folder)
+    chosen = panel.first_series(daily, 3)
+    return _text_dates(chosen.select(*config.SERIES_DAY, "sales"))
+
+
+@query
+def first_rows(spark, folder):
+    daily = retail.daily_sales(spark, folder).select(*config.SERIES_DAY, "sales")
+    return _text_dates(panel.first_rows(daily, config.SERIES_DAY, 10))
+
+
+@query
+def shifted_features(spark, folder):
+    """Yesterday's sales, full-frame statistics, and the leaky mean they differ from."""
+    over = features.series_window()
+    rows = retail.fact_table(spark, folder, "coarse").select(
+        *config.SERIES_DAY,
+        *features.lags("sales", [1], over),
+        *features.trailing_full("sales", 7, over),
+        features.leaky_mean("sales", 7, over),
+    )
+    return _text_dates(_rounded(rows, "roll_mean_7", "roll_std_7", "leaky_mean_7"))
+
+
 @query
 def panel_coverage(spark, folder):
     return panel.series_coverage(retail.daily_sales(spark, folder))
@@ -326,6 +353,20 @@ def anomaly_features(spark, folder):
     return _text_dates(_rounded(rows, "resid_roll_std", "normalized_residual"))
 
 
+@query
+def labelled_residuals(spark, folder):
+    """Residuals of the first and the last series, one below the other."""
+    rows = _scored(spark, folder)
+    pair = F.struct(*config.SERIES)
+
+    def residuals_of(which):
+        chosen = rows.select(which(pair)).scalar()
+        return rows.where(pair == chosen).select(*config.SERIES_DAY, "residual")
+
+    parts = {"A": residuals_of(F.min), "B": residuals_of(F.max)}
+    return _text_dates(anomaly.labelled_union(parts))
+
+
 @query
 def inventory_levels(spark, folder):
     rows = _scored(spark, folder).select(*config.SERIES_DAY, "roll_mean_28", "on_hand_inventory")
@@ -686,7 +727,7 @@ def rate_limit(spark, folder):
 def rate_limit_global(spark, folder):
     """All events under one global limit, cut into chunks in time."""
     rows = _events(spark, folder).withColumn("scope", F.lit("all"))
-    decided = admission.rate_admission(rows, "scope", "ts", "event_id", chunk_rows=2500)
+    decided = admission.rate_admission(rows, "scope", "ts", "event_id", chunk_rows=5000)
     return decided.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
