@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast import config
-from shelfcast.sources.tables import append_table
+from shelfcast.sources.tables import MissingInput, append_table, read_parquet
 
 MESSAGE_SCHEMA = (
     "id string, topic string, card_id string, payload string, created_at timestamp"
@@ -127,9 +127,10 @@ class TopicStore:
         return f"{self._folder}/{name}"
 
     def _read(self, name: str, schema: str) -> DataFrame:
-        empty = self._spark.createDataFrame([], schema)
-        append_table(empty, self._path(name))
-        return self._spark.read.schema(schema).parquet(self._path(name))
+        try:
+            return read_parquet(self._spark, self._path(name), name, schema)
+        except MissingInput:
+            return self._spark.createDataFrame([], schema)
 
     def publish(self, batch: DataFrame) -> None:
         append_table(batch, self._path("queue"), ["topic"])
