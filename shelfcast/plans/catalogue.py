@@ -92,7 +92,8 @@ def _card_time() -> Column:
 def _queue(spark: SparkSession, folder: str) -> DataFrame:
     routed = decisions.route_cards(_cards(spark, folder))
     fields = [c for c in routed.columns if c != "topic"]
-    return topics.messages(routed, F.col("topic"), _card_time(), "id", fields)
+    queue = topics.messages(routed, F.col("topic"), _card_time(), "id", fields)
+    return stage(queue, "queue")
 
 
 def _consumed(queue: DataFrame) -> DataFrame:
