@@ -19,7 +19,7 @@ def with_inventory(
 ) -> DataFrame:
     """On-hand stock from a table of cover days and factors per series and day.
 
-    ``fill`` replaces a missing recent mean (the reference value is its global median,
+    ``fill`` replaces a missing recent mean (usually by its global median,
     see ``evaluate.median``).
     """
     demand = F.col("roll_mean_28")
