@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm import lm_score, mixing, sharding, topk_search
+from shelfcast.llm import lm_score, mixing, near_dedup, quality, sharding, token_count, topk_search
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,6 +17,14 @@ def op1_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return lm_score.score_documents(spark, _table(spark, folder, "documents"))
 
 
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score_quality(spark, _table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(spark, _table(spark, folder, "documents"))
+
+
 def op7_topk_search(spark: SparkSession, folder: str) -> DataFrame:
     vectors = topk_search.whole_vectors(_table(spark, folder, "embeddings"))
     return topk_search.top_k(spark, vectors, vectors.filter(F.col("vec_id") % 50 == 0))
@@ -26,14 +34,21 @@ def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(spark, _table(spark, folder, "documents"))
 
 
+def op9_token_count(spark: SparkSession, folder: str) -> DataFrame:
+    return token_count.count_tokens(spark, _table(spark, folder, "documents"))
+
+
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.draw(spark, _table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
+    "op3_quality": op3_quality,
+    "op4_near_dedup": op4_near_dedup,
     "op7_topk_search": op7_topk_search,
     "op8_sharding": op8_sharding,
+    "op9_token_count": op9_token_count,
     "op10_mixing": op10_mixing,
 }
 
