@@ -365,3 +365,25 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = WIDTH, pe
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("lowest"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def distinct_documents(spark: SparkSession, docs: DataFrame, **settings) -> DataFrame:
+    """One document of each component, with all its columns: the one with the smallest id.
+
+    Documents are told apart by id and a digest of their text. Of rows that repeat both, one is
+    kept. Documents without words are all kept.
+    """
+    named = docs.select(F.struct("doc_id", F.xxhash64("text").alias("digest")).alias("doc_id"), "text")
+    found = near_duplicates(spark, named, **settings)
+    losers = stage(spark, found.filter(~F.col("kept")).select(
+        F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.digest").alias("_digest")).distinct(), "nd-losers")
+    twice = found.filter(F.col("kept") & (F.col("n_shingles") > 0)).groupBy("doc_id").count().filter("count > 1")
+    twice = stage(spark, twice.select(
+        F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.digest").alias("_digest")), "nd-twice")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_digest"))
+    kept = docs.join(losers, same, "left_anti")
+    if twice.isEmpty():
+        return kept
+    once = kept.join(twice, same, "left_semi").withColumn("_digest", F.xxhash64("text")).dropDuplicates(
+        ["doc_id", "_digest"]).drop("_digest")
+    return kept.join(twice, same, "left_anti").unionAll(once)

@@ -181,25 +181,40 @@ def _fit(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([fit_tables(features, rows["label"].to_numpy(float), int(rows["bag"].iloc[0]))])
 
 
+def chances(models: list[dict], x: np.ndarray) -> np.ndarray:
+    """Scores of rows of features: table values added up, averaged over the models."""
+    raw = np.zeros(len(x))
+    for m in models:
+        raw += m["start"]
+        for e, t, c in zip(m["edges"], m["tables"], x.T):
+            raw += np.asarray(t)[np.searchsorted(e, c, "right")]
+        for a, b, grid in zip(m["first"], m["second"], m["grids"]):
+            row = np.searchsorted(m["coarse"][a], x[:, a], "right")
+            at = np.searchsorted(m["coarse"][b], x[:, b], "right")
+            raw += np.asarray(grid)[row * (len(m["coarse"][b]) + 1) + at]
+    return 1 / (1 + np.exp(-raw / max(1, len(models))))
+
+
 def _score(shared: Broadcast) -> Callable:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = shared.value
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            column = batch.column("features")
-            x = column.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-            raw = np.zeros(batch.num_rows)
-            for m in models:
-                raw += m["start"]
-                for e, t, c in zip(m["edges"], m["tables"], x.T):
-                    raw += np.asarray(t)[np.searchsorted(e, c, "right")]
-                for a, b, grid in zip(m["first"], m["second"], m["grids"]):
-                    row = np.searchsorted(m["coarse"][a], x[:, a], "right")
-                    at = np.searchsorted(m["coarse"][b], x[:, b], "right")
-                    raw += np.asarray(grid)[row * (len(m["coarse"][b]) + 1) + at]
-            chance = 1 / (1 + np.exp(-raw / max(1, len(models))))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(chance)], ["doc_id", "score"])
+            if batch.num_rows:
+                x = batch.column("features").flatten().to_numpy().reshape(batch.num_rows, -1)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), pa.array(chances(shared.value, x))], ["doc_id", "score"])
+
+    return score
+
+
+def _score_rows(shared: Broadcast) -> Callable:
+    """The same from the texts, with the whole rows passed on."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "bytes", BATCH_BYTES):
+            x = np.array([describe(t) for t in batch.column("bytes").to_pylist()])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(chances(shared.value, x)), batch.column("row")],
+                ["doc_id", "score", "row"])
 
     return score
 
@@ -224,8 +239,9 @@ def fit_quality(spark: SparkSession, described: DataFrame, labels: DataFrame, mo
 
 
 def score_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, modulus: int = 5,
-                  threshold: float = THRESHOLD, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """Quality of whole texts: doc_id, held_out, score (chance of label 1), predicted.
+                  threshold: float = THRESHOLD, fit_rows: int = FIT_ROWS, whole_rows: bool = False) -> DataFrame:
+    """Quality of whole texts: doc_id, held_out, score (chance of label 1), predicted; with
+    ``whole_rows`` also the input row as a struct ``row``.
 
     Features are counted from the text alone. A score adds one table value per feature and one
     per chosen pair. ``held_out`` marks remainder 0 of the id's crc32, which no label is taken
@@ -233,11 +249,16 @@ def score_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, modul
     Without labels every score is 0.5. Repeated rows are scored each, but all of them count in
     the fit. An empty table gives an empty result.
     """
-    read = docs.select("doc_id", text_bytes(F.col("text")).alias("bytes"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
+    read = docs.select("doc_id", text_bytes(F.col("text")).alias("bytes"))
     described = stage(spark, read.mapInArrow(_describe, f"doc_id {id_type}, features array<double>"), "quality-features")
     shared = spark.sparkContext.broadcast(fit_quality(spark, described, labels, modulus, fit_rows))
-    scored = described.mapInArrow(_score(shared), f"doc_id {id_type}, score double")
+    if whole_rows:
+        rows = docs.select("doc_id", text_bytes(F.col("text")).alias("bytes"), F.struct(*docs.columns).alias("row"))
+        scored = rows.mapInArrow(
+            _score_rows(shared), f"doc_id {id_type}, score double, row {docs.schema.simpleString()}")
+    else:
+        scored = described.mapInArrow(_score(shared), f"doc_id {id_type}, score double")
     return scored.select(
         "doc_id", (crc_of_id(F.col("doc_id")) % modulus == 0).alias("held_out"), "score",
-        (F.col("score") >= threshold).cast("int").alias("predicted"))
+        (F.col("score") >= threshold).cast("int").alias("predicted"), *(["row"] if whole_rows else []))

@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm import lm_score, mixing, near_dedup, quality, sharding, token_count, topk_search
+from shelfcast.llm import (
+    decontaminate, line_dedup, lm_score, mixing, near_dedup, quality, sharding, token_count, token_output, topk_search,
+)
+from shelfcast.session import scratch_path
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,6 +20,10 @@ def op1_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return lm_score.score_documents(spark, _table(spark, folder, "documents"))
 
 
+def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(spark, _table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score_quality(spark, _table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -25,6 +32,15 @@ def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(spark, _table(spark, folder, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.fuzzy_lines(spark, _table(spark, folder, "documents"))
+
+
+def op6_token_output(spark: SparkSession, folder: str) -> DataFrame:
+    return token_output.write_training_order(
+        spark, _table(spark, folder, "documents"), scratch_path(spark, "token-output"))
+
+
 def op7_topk_search(spark: SparkSession, folder: str) -> DataFrame:
     vectors = topk_search.whole_vectors(_table(spark, folder, "embeddings"))
     return topk_search.top_k(spark, vectors, vectors.filter(F.col("vec_id") % 50 == 0))
@@ -44,8 +60,11 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
+    "op2_decontaminate": op2_decontaminate,
     "op3_quality": op3_quality,
     "op4_near_dedup": op4_near_dedup,
+    "op5_line_dedup": op5_line_dedup,
+    "op6_token_output": op6_token_output,
     "op7_topk_search": op7_topk_search,
     "op8_sharding": op8_sharding,
     "op9_token_count": op9_token_count,
