@@ -14,12 +14,13 @@ from shelfcast.llm.common import Vocabulary, byte_words, components, mixed, runs
 WIDTH = 4
 PERCENT = 80  # of the union that the intersection must reach
 TREES = 12  # independent trees; each starts from a minwise token of its own
-BRANCHES = 4  # tokens by which a large node's documents are branched further
+BRANCHES = 3  # tokens by which a large node's documents are branched further
 TOKENS = 24  # minwise tokens to choose paths from
 SKETCH = 64  # bytes of the sketch by which small nodes are compared
 # A pair at the threshold agrees in 51 of 64 places on average; 36 lies 4.7 deviations below.
 ALIKE = 36
-NODE = 256  # documents of a node that is compared exhaustively
+NODE = 1024  # documents of a node that is compared exhaustively
+DENSE = 0.1  # share of a node alike to its head from which it is linked as a whole
 DEPTH = 4
 CLUSTER = 256  # documents whose full sets one task compares
 PIVOTS = 64
@@ -134,7 +135,7 @@ class Forest:
         return x != y
 
 
-def _matrix(sketches: pd.Series) -> np.ndarray:
+def _matrix(sketches: pd.Series | list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), SKETCH)
 
 
@@ -142,6 +143,14 @@ def _alike(one: np.ndarray, many: np.ndarray) -> np.ndarray:
     return (one[None, :] == many).sum(1) >= ALIKE
 
 
+def _alike_to_head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            one, head = (_matrix(batch.column(c).to_pylist()) for c in ("sketch", "head_sketch"))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("path"), pa.array(((one == head).sum(1) >= ALIKE).astype(np.int32))], ["path", "alike"])
+
+
 def _links_of_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A forest over the alike members of each node: as many links as members at most."""
     for node in _groups(batches, ["path"]):
@@ -248,9 +257,11 @@ def loose_links(spark: SparkSession, classes: DataFrame) -> DataFrame:
 
     Every tree starts with one minwise token: documents with the same value share a node. A
     node of up to ``NODE`` documents is compared exhaustively by sketches, in one task, which
-    passes on a forest. A larger node branches its documents by ``BRANCHES`` more tokens chosen
-    by a hash of its path. Documents that still share a large node after ``DEPTH`` tokens are
-    linked to its smallest: nearly all of them are alike, and the exact step follows.
+    passes on a forest. In a larger node all documents are compared with its head. If many are
+    alike to it, branching would not make the node smaller, so the whole node is linked to its
+    head; the exact step tells its documents apart. Otherwise its documents branch by
+    ``BRANCHES`` more tokens chosen by a hash of its path. What still shares a large node after
+    ``DEPTH`` tokens is linked to the head as well.
     """
     tokens = F.transform(F.slice("tokens", 1, TREES), lambda x, i: F.xxhash64(i, x))
     paths = classes.select("class", F.explode(tokens).alias("path"))
@@ -267,13 +278,19 @@ def loose_links(spark: SparkSession, classes: DataFrame) -> DataFrame:
                            .sortWithinPartitions("path").mapInArrow(_links_of_nodes, "a long, b long"), "nd-loose"))
         if sizes.filter(F.col("n") > NODE).isEmpty():
             break
-        large = inside.filter(F.col("n") > NODE)
-        if depth == DEPTH:
-            found.append(large.select(F.col("class").alias("a"), F.col("head").alias("b")))
-            break
+        sketches = classes.select(F.col("class").alias("c"), "sketch", "tokens")
+        large = inside.filter(F.col("n") > NODE).join(sketches, F.col("class") == F.col("c")).drop("c")
+        heads = stage(spark, sizes.filter(F.col("n") > NODE).join(sketches, F.col("head") == F.col("c")).select(
+            F.col("p").alias("q"), F.col("sketch").alias("head_sketch")), "nd-heads")
+        alike = large.join(heads, F.col("path") == F.col("q")).select("path", "sketch", "head_sketch").mapInArrow(
+            _alike_to_head, "path long, alike int")
+        dense = stage(spark, alike.groupBy(F.col("path").alias("q")).agg(F.avg("alike").alias("share")).filter(
+            F.lit(depth == DEPTH) | (F.col("share") >= DENSE)).select("q"), "nd-dense")
+        found.append(large.join(dense, F.col("path") == F.col("q")).select(
+            F.col("class").alias("a"), F.col("head").alias("b")))
+        sparse = large.join(dense, F.col("path") == F.col("q"), "left_anti")
         chosen = F.array(*[F.pmod(F.xxhash64("path", F.lit(i)), F.lit(TOKENS)) for i in range(BRANCHES)])
-        with_tokens = large.join(classes.select(F.col("class").alias("c"), "tokens"), F.col("class") == F.col("c"))
-        paths = with_tokens.select("class", F.explode(F.transform(
+        paths = sparse.select("class", F.explode(F.transform(
             chosen, lambda i: F.xxhash64("path", i, F.element_at("tokens", (i + 1).cast("int"))))).alias("path"))
     out = found[0]
     for more in found[1:]:
