@@ -2,32 +2,65 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfcast.llm.common import components, stage
 
 WIDTH = 9  # characters of a shingle
 PERCENT = 80  # of the union that the intersection must reach
+PIECE = 256  # characters of a long line cut at once
+SHORT = 100  # characters below which all shingles enter the signature
 LOWEST = 32  # shingle hashes kept for the signature, the smallest ones
-BANDS, ROWS = 10, 3
-BUCKET = 16  # lines of a bucket in which all pairs are verified at once
+SKETCH = 16  # of these, kept to compare lines of a bucket
+# A pair at the threshold shares 13 of 16 on average; 6 lies over four deviations below.
+ALIKE = 6
+BANDS, ROWS = 12, 3
+BUCKET = 16  # lines of a bucket in which all pairs are compared at once
 PIVOTS = 8
 FEW = 500_000  # rows (of two longs) that are broadcast at most
+TASK_PAIRS = 2000  # pairs verified by one task
+
+
+def _cut(line: Column, width: int) -> Column:
+    """All runs of ``width`` characters of a line that has as many. Long lines are cut into
+    overlapping pieces first, since a place in a text is found by counting from its start."""
+    pieces = F.transform(F.sequence(F.lit(0), F.floor((F.char_length(line) - width) / PIECE).cast("int")),
+                         lambda i: F.substring(line, i * PIECE + 1, F.lit(PIECE + width - 1)))
+    return F.flatten(F.transform(pieces, lambda piece: F.transform(
+        F.sequence(F.lit(1), F.char_length(piece) - (width - 1)), lambda i: F.substring(piece, i, F.lit(width)))))
 
 
 def shingles(line: Column, width: int) -> Column:
-    """Distinct character shingles in order; a shorter line is one shingle."""
-    all_ = F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{width}}}))"), F.lit(1))
-    return F.when(F.char_length(line) < width, F.array(line)).otherwise(F.array_distinct(all_))
+    """Distinct character shingles; a shorter line is one shingle."""
+    return F.when(F.char_length(line) < width, F.array(line)).otherwise(F.array_distinct(_cut(line, width)))
+
 
+def _sampled(line: Column, words: Column, width: int, short: int) -> Column:
+    """Hashed shingles for the signature: all of a short line, those that start a word of a long
+    one (as far as three words reach). ``words`` must be a column, not computed in place.
 
-def signature(hashes: Column, bands: int, rows: int) -> Column:
-    """One key per band: a hash of ``rows`` minwise values. They are taken over the smallest
-    shingle hashes only, which similar lines share as they share all of them."""
+    Lines near the border get both kinds, marked apart, since a line of up to 5/4 the length
+    may be similar to a short one.
+    """
+    nothing = F.array().cast("array<bigint>")
+    size = F.char_length(line)
+    every = F.when(size < width, F.array(F.xxhash64(F.lit("all"), line))).when(
+        size < short * 5 // 4, F.transform(_cut(line, width), lambda s: F.xxhash64(F.lit("all"), s))).otherwise(nothing)
+    starts = F.transform(words, lambda w, i: F.xxhash64(F.substring(
+        F.concat_ws(" ", w, F.get(words, i + 1), F.get(words, i + 2)), 1, width)))
+    return F.array(every, F.when(size >= short, starts).otherwise(nothing))
+
+
+def signature(hashes: Column, seeds: list[int], rows: int) -> Column:
+    """One key per band: a hash of ``rows`` minwise values, or none without shingles. A value is
+    the hash nearest to a seed in its leading bits; hashes are random, so any is as likely."""
     def least(seed: int) -> Column:
-        return F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, F.lit(seed))))
+        return F.array_min(F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(seed))))
 
-    return F.array(*[F.xxhash64(F.lit(b), *[least(b * rows + r) for r in range(rows)]) for b in range(bands)])
+    keys = [F.xxhash64(F.lit(b), *[least(seeds[b * rows + r]) for r in range(rows)]) for b in range(len(seeds) // rows)]
+    return F.when(F.size(hashes) > 0, F.array(*keys)).otherwise(F.array().cast("array<bigint>"))
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -36,12 +69,14 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def _verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of lines whose shingle sets reach the similarity."""
+    """The pairs (a, b) of lines whose shingle sets reach the similarity. ``pairs`` is a table."""
+    pairs = pairs.repartition(max(1, pairs.count() // TASK_PAIRS), "a", "b")
     left = texts.select(F.col("class").alias("a"), F.col("line").alias("first"), F.col("n").alias("n1"))
     right = texts.select(F.col("class").alias("b"), F.col("line").alias("second"), F.col("n").alias("n2"))
     near = 100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")
     both = F.size(F.array_intersect(shingles(F.col("first"), width), shingles(F.col("second"), width)))
-    checked = pairs.join(left, "a").join(right, "b").filter(near).withColumn("both", both)
+    met = pairs.join(_small(left), "a").join(_small(right), "b").filter(near)
+    checked = met.withColumn("both", both)
     alike = 100 * F.col("both") >= percent * (F.col("n1") + F.col("n2") - F.col("both"))
     return stage(spark, checked.filter(alike).select("a", "b"), "line-links")
 
@@ -54,13 +89,14 @@ def fuzzy_lines(spark: SparkSession, docs: DataFrame, width: int = WIDTH, percen
                 bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Every line of every document, and the line that stands for its component.
 
-    Returns doc_id, line_no (from 0), n_shingles, keeper_doc_id, keeper_line_no, kept. Lines are
+    Returns doc_id, line_no (from 0), keeper_doc_id, keeper_line_no, kept. Lines are
     cut at line feeds. Equal lines, and lines whose character-shingle sets have a similarity of
     ``percent`` or more, are linked; the first line (by doc_id and line_no) of each component
     is kept. Blank lines stay as they are.
 
     Equal lines are one class, by a 64-bit digest. Bands of minwise values deal classes to
-    buckets. All pairs of a bucket with up to ``BUCKET`` lines are verified on their full sets.
+    buckets; long lines sample the shingles that start a word. All pairs of a bucket with up to
+    ``BUCKET`` lines are verified on their full sets, unless their sketches are far apart.
     In a larger one every line meets ``PIVOTS`` of its lines; after the components of these
     links, every line outside the bucket's largest component meets all others, so no pair of
     different components stays unseen. Union-find is distributed.
@@ -71,47 +107,59 @@ def fuzzy_lines(spark: SparkSession, docs: DataFrame, width: int = WIDTH, percen
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     filled = lines.filter(F.trim(F.translate("line", "\t\r\x0b\x0c", "    ")) != "").withColumn(
         "class", F.xxhash64("line"))
-    hashed = F.sort_array(F.transform("all", lambda s: F.xxhash64(s)))
+    rng = random.Random(5)
+    seeds = [rng.getrandbits(62) for _ in range(bands * rows)]
+    kinds = _sampled(F.col("line"), F.col("parts"), width, SHORT)
     read = stage(
-        spark, filled.withColumn("all", shingles(F.col("line"), width))
-        .select("doc_id", "line_no", "class", F.size("all").alias("n_shingles"), F.slice(hashed, 1, LOWEST).alias("low"))
-        .select("doc_id", "line_no", "class", "n_shingles", signature(F.col("low"), bands, rows).alias("bands")),
+        spark, filled.withColumn("parts", F.split("line", " ")).withColumn("kinds", kinds).withColumn("low", F.transform(
+            "kinds", lambda k: F.slice(F.sort_array(F.array_distinct(k)), 1, LOWEST)))
+        .select("doc_id", "line_no", "class", F.slice(F.flatten("low"), 1, SKETCH).alias("sketch"),
+                F.col("low")[0].alias("every"), F.col("low")[1].alias("words"))
+        .select("doc_id", "line_no", "class", "sketch", F.concat(
+            signature(F.col("every"), seeds, rows), signature(F.col("words"), seeds[::-1], rows)).alias("bands")),
         "lines")
-    dealt = read.select("class", F.explode("bands").alias("bucket"))
+    dealt = read.select("class", "sketch", F.explode("bands").alias("bucket"))
     live = stage(spark, dealt.groupBy("bucket").agg(
         F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high").select(
         F.col("bucket").alias("k")), "line-live")
-    members = stage(spark, dealt.join(_small(live), F.col("bucket") == F.col("k")).select(
-        "bucket", "class").distinct(), "line-members")
+    members = stage(spark, dealt.join(_small(live), F.col("bucket") == F.col("k")).drop("k").distinct(), "line-members")
     sizes = stage(spark, members.groupBy(F.col("bucket").alias("k")).agg(F.count(F.lit(1)).alias("size")), "line-sizes")
     sized = members.join(sizes, F.col("bucket") == F.col("k")).drop("k")
-    other = sized.select(F.col("bucket").alias("k"), F.col("class").alias("other"), F.col("size").alias("all"))
+    other = sized.select(F.col("bucket").alias("k"), F.col("class").alias("other"), F.col("size").alias("all"),
+                         F.col("sketch").alias("seen"))
     same = F.col("bucket") == F.col("k")
-    within = sized.filter(F.col("size") <= BUCKET).join(other.filter(F.col("all") <= BUCKET), same).filter(
-        "class > other").select(*_ordered(F.col("class"), F.col("other")))
+    # Lines that sample different kinds of shingles meet under the kind they share.
+    alike = (F.size(F.array_intersect("sketch", "seen")) >= F.least(F.lit(ALIKE), F.size("sketch") / 2)) | (
+        F.size("sketch") < SKETCH) | (F.size("seen") < SKETCH)
+    within = sized.filter(F.col("size") <= BUCKET).join(
+        other.filter(F.col("all") <= BUCKET), same & (F.col("class") > F.col("other")) & alike).select(
+        *_ordered(F.col("class"), F.col("other")))
     pivots = other.filter(F.col("all") > BUCKET).filter(
         F.pmod(F.xxhash64("other", "k"), F.ceil(F.col("all") / PIVOTS)) == 0)
-    to_pivots = sized.filter(F.col("size") > BUCKET).join(pivots, same).filter("class <> other").select(
-        *_ordered(F.col("class"), F.col("other")))
+    to_pivots = sized.filter(F.col("size") > BUCKET).join(
+        pivots, same & (F.col("class") != F.col("other")) & alike).select(*_ordered(F.col("class"), F.col("other")))
     pairs = stage(spark, within.unionAll(to_pivots).distinct(), "line-pairs")
 
-    wanted = members.select(F.col("class").alias("c")).distinct()
-    texts = stage(spark, filled.join(_small(wanted), F.col("class") == F.col("c")).select("class", "line").groupBy(
-        "class", "line").agg(F.lit(1).alias("one")).select(
-        "class", "line", F.size(shingles(F.col("line"), width)).alias("n")).dropDuplicates(["class"]), "line-texts")
+    wanted = pairs.select(F.col("a").alias("c")).unionAll(pairs.select("b")).distinct()
+    if not sizes.filter(F.col("size") > BUCKET).isEmpty():
+        wanted = wanted.unionAll(sized.filter(F.col("size") > BUCKET).select("class")).distinct()
+    texts = stage(spark, filled.join(_small(stage(spark, wanted, "line-wanted")), F.col("class") == F.col("c")).select(
+        "class", "line").dropDuplicates(["class"]).select(
+        "class", "line", F.size(shingles(F.col("line"), width)).alias("n")), "line-texts")
     links = _verified(spark, pairs, texts, width, percent)
     large = stage(spark, sized.filter(F.col("size") > BUCKET), "line-large")
     if not large.isEmpty():
         roots = stage(spark, components(spark, links), "line-roots")
         rooted = stage(spark, large.join(roots, F.col("class") == F.col("node"), "left").select(
-            "bucket", "class", F.coalesce("root", "class").alias("root")), "line-rooted")
+            "bucket", "class", "sketch", F.coalesce("root", "class").alias("root")), "line-rooted")
         largest = stage(spark, rooted.groupBy("bucket", "root").count().groupBy(F.col("bucket").alias("k")).agg(
             F.max_by("root", F.struct("count", "root")).alias("main")), "line-main")
         outside = rooted.join(largest, same & (F.col("root") == F.col("main")), "left_anti").select(
-            F.col("bucket").alias("k"), F.col("class").alias("other"), F.col("root").alias("own"))
-        rest = rooted.join(outside, same).filter("root <> own").select(
+            F.col("bucket").alias("k"), F.col("class").alias("other"), F.col("root").alias("own"),
+            F.col("sketch").alias("seen"))
+        rest = rooted.join(outside, same & (F.col("root") != F.col("own")) & alike).select(
             *_ordered(F.col("class"), F.col("other"))).distinct()
-        rest = rest.join(pairs, ["a", "b"], "left_anti")
+        rest = stage(spark, rest.join(pairs, ["a", "b"], "left_anti"), "line-rest")
         links = links.unionAll(_verified(spark, rest, texts, width, percent))
     roots = stage(spark, components(spark, links), "line-components")
 
@@ -130,10 +178,10 @@ def fuzzy_lines(spark: SparkSession, docs: DataFrame, width: int = WIDTH, percen
     answer = stage(spark, named.join(keepers, F.col("root") == F.col("r")).select(
         F.col("class").alias("c"), "keeper"), "line-answer")
     judged = read.join(answer, F.col("class") == F.col("c")).select(
-        "doc_id", "line_no", "n_shingles", F.col("keeper.doc_id").alias("keeper_doc_id"),
+        "doc_id", "line_no", F.col("keeper.doc_id").alias("keeper_doc_id"),
         F.col("keeper.line_no").alias("keeper_line_no"))
     blank = lines.filter(F.trim(F.translate("line", "\t\r\x0b\x0c", "    ")) == "").select(
-        "doc_id", "line_no", F.lit(0).alias("n_shingles"), F.col("doc_id").alias("keeper_doc_id"),
+        "doc_id", "line_no", F.col("doc_id").alias("keeper_doc_id"),
         F.col("line_no").alias("keeper_line_no"))
     return judged.unionAll(blank).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("keeper_doc_id")) & (F.col("line_no") == F.col("keeper_line_no")))
