@@ -47,8 +47,9 @@ def _items(benchmark: DataFrame, width: int, percent: int) -> DataFrame:
     sized = wide.withColumn("shingles", shingles).withColumn("n", F.size("shingles"))
     top = F.pow(F.lit(2), F.ceil(F.log2("n"))).cast("int")  # largest size of the class
     lacking = F.floor(top * (100 - percent) / 100).cast("int")
+    # Missing words of a narrower shingle are null, which a hash passes over.
     hashes = F.array_sort(F.transform("shingles", lambda s: F.xxhash64(*[
-        F.element_at(F.split(s, " "), i + 1) for i in range(width)])))
+        F.get(F.split(s, " "), F.lit(i)) for i in range(width)])))
     return (
         sized.withColumn("need", F.ceil(F.col("n") * percent / 100).cast("int"))
         .withColumn("probes", F.slice(hashes, 1, lacking + 1))

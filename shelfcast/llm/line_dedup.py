@@ -13,9 +13,9 @@ PERCENT = 80  # of the union that the intersection must reach
 PIECE = 256  # characters of a long line cut at once
 SHORT = 100  # characters below which all shingles enter the signature
 LOWEST = 32  # shingle hashes kept for the signature, the smallest ones
-SKETCH = 16  # of these, kept to compare lines of a bucket
-# A pair at the threshold shares 13 of 16 on average; 6 lies over four deviations below.
-ALIKE = 6
+SKETCH = 12  # of these, kept of either kind to compare lines of a bucket
+# A pair at the threshold shares 10 of 12 on average; 4 lies over four deviations below.
+ALIKE = 4
 BANDS, ROWS = 12, 3
 BUCKET = 16  # lines of a bucket in which all pairs are compared at once
 PIVOTS = 8
@@ -113,7 +113,7 @@ def fuzzy_lines(spark: SparkSession, docs: DataFrame, width: int = WIDTH, percen
     read = stage(
         spark, filled.withColumn("parts", F.split("line", " ")).withColumn("kinds", kinds).withColumn("low", F.transform(
             "kinds", lambda k: F.slice(F.sort_array(F.array_distinct(k)), 1, LOWEST)))
-        .select("doc_id", "line_no", "class", F.slice(F.flatten("low"), 1, SKETCH).alias("sketch"),
+        .select("doc_id", "line_no", "class", F.flatten(F.transform("low", lambda k: F.slice(k, 1, SKETCH))).alias("sketch"),
                 F.col("low")[0].alias("every"), F.col("low")[1].alias("words"))
         .select("doc_id", "line_no", "class", "sketch", F.concat(
             signature(F.col("every"), seeds, rows), signature(F.col("words"), seeds[::-1], rows)).alias("bands")),
@@ -128,9 +128,9 @@ def fuzzy_lines(spark: SparkSession, docs: DataFrame, width: int = WIDTH, percen
     other = sized.select(F.col("bucket").alias("k"), F.col("class").alias("other"), F.col("size").alias("all"),
                          F.col("sketch").alias("seen"))
     same = F.col("bucket") == F.col("k")
-    # Lines that sample different kinds of shingles meet under the kind they share.
-    alike = (F.size(F.array_intersect("sketch", "seen")) >= F.least(F.lit(ALIKE), F.size("sketch") / 2)) | (
-        F.size("sketch") < SKETCH) | (F.size("seen") < SKETCH)
+    # A line with few shingles is verified without this look.
+    alike = (F.size(F.array_intersect("sketch", "seen")) >= ALIKE) | (F.size("sketch") < SKETCH) | (
+        F.size("seen") < SKETCH)
     within = sized.filter(F.col("size") <= BUCKET).join(
         other.filter(F.col("all") <= BUCKET), same & (F.col("class") > F.col("other")) & alike).select(
         *_ordered(F.col("class"), F.col("other")))

@@ -8,19 +8,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm.common import Vocabulary, byte_words, crc_of_id, mixed, small_batches, stage, text_bytes
+from shelfcast.llm.common import Vocabulary, byte_words, crc_of_id, mixed, runs, small_batches, stage, text_bytes
 
 BASE = 1.5  # of the quantisation: level j stands for counts from BASE ** (j - 1)
 BITS_PER_ENTRY = 14.0
 PROBES = 6  # bits of one 64-bit word that an entry sets
 MAX_FILTER_MB = 256
 SEGMENTS = 256
-HEAVY = 1 << 18  # tokens with at least 1 / HEAVY of all occurrences are looked up by broadcast
+HEAVY = 1 << 20  # tokens with at least 1 / HEAVY of all occurrences are looked up by broadcast
 HOT_CONTEXTS = 64  # contexts with at least 1 / HOT_CONTEXTS of all tokens are split over segments
-BATCH_BYTES = 24 << 20
+COUNT_BYTES = 24 << 20
+SCORE_BYTES = 8 << 20
 CONTEXT_BITS = np.uint64(28)  # low bits of a bigram key tell its word, the rest its context
 
 END = b"\n"  # no word holds white space, so this cannot be one
@@ -131,7 +133,7 @@ def _segment(bigrams: np.ndarray, hot: np.ndarray) -> np.ndarray:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in small_batches(batches, "bytes", BATCH_BYTES):
+    for batch in small_batches(batches, "bytes", COUNT_BYTES):
         vocabulary, numbers, _ = _tokens(batch.column("bytes"))
         counts = np.bincount(numbers[1:], minlength=len(vocabulary))
         seen = counts > 0
@@ -139,15 +141,31 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(vocabulary.hashes()[seen].view(np.int64)), pa.array(counts[seen])], ["h", "n"])
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Whole numbers byte by byte, all first bytes first, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes())
+
+
+def _from_planes(data: bytes, kind: type) -> np.ndarray:
+    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(flat.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
 def _count_pairs(hot: np.ndarray) -> Callable:
+    """Counted pairs of a batch, one row per segment: differences of sorted keys, and counts."""
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "bytes", BATCH_BYTES):
+        for batch in small_batches(batches, "bytes", COUNT_BYTES):
             vocabulary, numbers, _ = _tokens(batch.column("bytes"))
             keys, counts = np.unique(_bigrams(vocabulary.hashes(), numbers), return_counts=True)
             segment = _segment(keys, hot)
+            order = np.argsort(segment, kind="stable")
+            keys, counts, cuts = keys[order], counts[order].astype(np.uint32), runs(segment[order])
+            rows = [(int(segment[order[a]]), _planes(np.diff(keys[a:b], prepend=_U(0))), _planes(counts[a:b]))
+                    for a, b in zip(cuts[:-1], cuts[1:])]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(segment.astype(np.int32)), pa.array(keys.view(np.int64)), pa.array(counts)],
-                ["segment", "key", "n"])
+                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))],
+                ["segment", "keys", "counts"])
 
     return count
 
@@ -165,14 +183,9 @@ def _build(hot: np.ndarray, bits_per_entry: float, probes: int) -> Callable:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: dict[int, list] = {}
         for batch in batches:
-            segment = batch.column("segment").to_numpy()
-            key = batch.column("key").to_numpy().view(np.uint64)
-            n = batch.column("n").to_numpy()
-            order = np.argsort(segment, kind="stable")
-            cuts = np.searchsorted(segment[order], np.arange(SEGMENTS + 1))
-            for s in np.unique(segment).tolist():
-                of = order[cuts[s] : cuts[s + 1]]
-                parts.setdefault(s, []).append((key[of], n[of]))
+            for s, keys, counts in zip(*(batch.column(c).to_pylist() for c in ("segment", "keys", "counts"))):
+                parts.setdefault(s, []).append(
+                    (np.cumsum(_from_planes(keys, np.uint64), dtype=np.uint64), _from_planes(counts, np.uint32).astype(np.int64)))
         for s, found in parts.items():
             keys, counts = _sum_by(np.concatenate([k for k, _ in found]), np.concatenate([n for _, n in found]))
             contexts, tokens, successors = _sum_by(keys >> CONTEXT_BITS << CONTEXT_BITS, counts, np.ones_like(counts))
@@ -243,7 +256,7 @@ class Model:
 def _score(shared: Broadcast) -> Callable:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
-        for batch in small_batches(batches, "bytes", BATCH_BYTES):
+        for batch in small_batches(batches, "bytes", SCORE_BYTES):
             vocabulary, numbers, lengths = _tokens(batch.column("bytes"))
             hashes = vocabulary.hashes()
             ends = np.cumsum(lengths)
@@ -339,7 +352,7 @@ def score_documents(spark: SparkSession, docs: DataFrame, *, modulus: int = 7, h
     room = max_filter_mb * 8e6
     word_bits = min(bits_per_entry, room / 4 / max(1, int(sums["levels"] or 0)))
     pair_bits = min(bits_per_entry, room * 3 / 4 / max(1, total + 2 * int(sums["levels"] or 0)))
-    pairs = train.mapInArrow(_count_pairs(hot), "segment int, key long, n long").repartition("segment").mapInArrow(
+    pairs = train.mapInArrow(_count_pairs(hot), "segment int, keys binary, counts binary").repartition("segment").mapInArrow(
         _build(hot, pair_bits, probes),
         "segment int, bits binary, context long, tokens long, successors long")
     word_rows = counts.repartition(F.pmod("h", F.lit(SEGMENTS))).mapInArrow(

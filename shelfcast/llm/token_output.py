@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import tiktoken
 import zlib
@@ -14,7 +13,7 @@ from pyarrow.fs import FileSystem
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm.common import mixed, small_batches, stage, text_bytes
+from shelfcast.llm.common import mixed, runs, small_batches, stage, text_bytes
 from shelfcast.llm.token_count import VOCABULARY, read_pieces
 
 LENGTH = 2048  # tokens of a sequence
@@ -49,16 +48,6 @@ def permuted(index: np.ndarray, size: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _pack(ids: np.ndarray) -> bytes:
-    """Low bytes, then high bytes, compressed: what is staged and shuffled."""
-    return zstandard.ZstdCompressor(level=6).compress(ids.view(np.uint8).reshape(-1, 2).T.tobytes())
-
-
-def _unpack(data: bytes, length: int) -> bytes:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    return planes.reshape(2, length).T.tobytes()
-
-
 def encoding(pieces: list[bytes]) -> tiktoken.Encoding:
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks={p: i for i, p in enumerate(pieces)}, special_tokens={})
 
@@ -77,13 +66,13 @@ def _sequences(shared: Broadcast, length: int) -> Callable:
             full = np.full(length, end, ID)
             full[: len(ids)] = ids
             place += 1
-            return part, place - 1, len(ids), list(dict.fromkeys(docs)), zlib.crc32(full.tobytes()), _pack(full)
+            return part, place - 1, len(ids), list(dict.fromkeys(docs)), zlib.crc32(full.tobytes()), full.tobytes()
 
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
             types = (pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int64(), pa.binary())
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows), types)],
-                ["part", "place", "n_tokens", "doc_ids", "crc", "packed"])
+                ["part", "place", "n_tokens", "doc_ids", "crc", "ids"])
 
         for batch in small_batches(batches, "bytes", BATCH_BYTES):
             rows = []
@@ -107,36 +96,72 @@ def _sequences(shared: Broadcast, length: int) -> Callable:
     return cut
 
 
+BUNDLE = "shard int, slots array<bigint>, n_tokens array<int>, doc_ids array<array<bigint>>, crcs array<bigint>, packed binary"
+
+
+def _bundle(size: int, key: int, shard_slots: int) -> Callable:
+    """Sequences of a batch by shard, with their slots; those of a shard compressed together."""
+
+    def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            slots = permuted(batch.column("number").to_numpy(), size, key)
+            order = np.argsort(slots, kind="stable")
+            cuts = runs(slots[order] // shard_slots)
+            n_tokens, docs, crcs, ids = (batch.column(c).to_pylist() for c in ("n_tokens", "doc_ids", "crc", "ids"))
+            rows = []
+            for x, y in zip(cuts[:-1], cuts[1:]):
+                of = order[x:y].tolist()
+                packed = zstandard.ZstdCompressor(level=3).compress(b"".join(ids[i] for i in of))
+                rows.append((int(slots[of[0]] // shard_slots), slots[of].tolist(), [n_tokens[i] for i in of],
+                             [[d for d in docs[i] if d is not None] for i in of], [crcs[i] for i in of], packed))
+            long = pa.int64()
+            types = (pa.int32(), pa.list_(long), pa.list_(pa.int32()), pa.list_(pa.list_(long)), pa.list_(long), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows), types)],
+                ["shard", "slots", "n_tokens", "doc_ids", "crcs", "packed"])
+
+    return bundle
+
+
 def _write(folder: str, length: int, shard_slots: int) -> Callable:
-    """Write sorted slots into their shard files. A file appears under its name when complete,
-    so a task that is run again only replaces it by the same bytes."""
+    """Gather the bundles of a shard (bounded by the size of its file) and write it. The file
+    appears under its name when complete, so a task that is run again replaces it by the same."""
     stride = length * ID.itemsize
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = FileSystem.from_uri(folder)
         fs.create_dir(base, recursive=True)
         attempt = TaskContext.get().taskAttemptId()
-        shard, out, draft = -1, None, ""
 
-        def close() -> None:
-            if out is not None:
-                out.close()
-                fs.move(draft, f"{base}/shard-{shard:06d}.bin")
+        def flush(shard: int, rows: list[tuple]) -> pa.RecordBatch:
+            rows.sort()
+            draft = f"{base}/_draft-{shard:06d}-{attempt}"
+            with fs.open_output_stream(draft) as out:
+                for *_, ids in rows:
+                    out.write(ids)
+            fs.move(draft, f"{base}/shard-{shard:06d}.bin")
+            slots, n_tokens, docs, crcs, _ = zip(*rows)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(slots, pa.int64()), pa.array([shard] * len(rows), pa.int32()), pa.array(n_tokens, pa.int32()),
+                 pa.array(docs, pa.list_(pa.int64())), pa.array(crcs, pa.int64()),
+                 pa.array([s % shard_slots * stride for s in slots], pa.int64())],
+                ["slot", "shard", "n_tokens", "doc_ids", "crc", "offset"])
 
+        now, held = None, []
         for batch in batches:
-            offsets = []
-            for slot, packed in zip(batch.column("slot").to_pylist(), batch.column("packed").to_pylist()):
-                if slot // shard_slots != shard:
-                    close()
-                    shard = slot // shard_slots
-                    draft = f"{base}/_draft-{shard:06d}-{attempt}"
-                    out = fs.open_output_stream(draft)
-                offsets.append(slot % shard_slots * stride)
-                out.write(_unpack(packed, length))
-            keep = ["slot", "shard", "n_tokens", "doc_ids", "crc"]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in keep], pa.array(offsets, pa.int64())], [*keep, "offset"])
-        close()
+            for row in batch.to_pylist():
+                if row["shard"] != now and held:
+                    yield flush(now, held)
+                    held = []
+                now = row["shard"]
+                data = zstandard.ZstdDecompressor().decompress(row["packed"])
+                held.extend(
+                    (s, n, d, c, data[i * stride : (i + 1) * stride]) for i, (s, n, d, c) in
+                    enumerate(zip(row["slots"], row["n_tokens"], row["doc_ids"], row["crcs"])))
+        if held:
+            yield flush(now, held)
 
     return write
 
@@ -155,7 +180,7 @@ def write_training_order(spark: SparkSession, docs: DataFrame, folder: str, *, v
     vocabulary), and cuts them; its last sequence is padded with end tokens. The sequences are
     staged with their task and place in it. Only the tasks' counts reach the driver; their
     running sum numbers all sequences, and a keyed Feistel permutation maps numbers to slots.
-    Sequences shuffle once, by shard. Every file is written whole by one task and then renamed.
+    Sequences shuffle once, by shard, compressed. Every file is written whole by one task and then renamed.
 
     A null or empty text is one end token; null ids are left out of doc_ids. Repeated rows are
     written each. An empty table gives no files and an empty result.
@@ -164,7 +189,7 @@ def write_training_order(spark: SparkSession, docs: DataFrame, folder: str, *, v
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes(F.col("text")).alias("bytes"))
     staged = stage(spark, read.mapInArrow(
         _sequences(shared, length),
-        "part int, place long, n_tokens int, doc_ids array<bigint>, crc long, packed binary"), "sequences")
+        "part int, place long, n_tokens int, doc_ids array<bigint>, crc long, ids binary"), "sequences")
     counts = {r["part"]: r["count"] for r in staged.groupBy("part").count().collect()}
     firsts, size = [], 0
     for part in sorted(counts):
@@ -172,17 +197,15 @@ def write_training_order(spark: SparkSession, docs: DataFrame, folder: str, *, v
         size += counts[part]
     starts = F.broadcast(spark.createDataFrame(firsts, "p int, first long"))  # a row per task
 
-    @F.pandas_udf("long")
-    def slot(number: pd.Series) -> pd.Series:
-        return pd.Series(permuted(number.to_numpy(np.int64), size, key))
-
-    placed = staged.join(starts, F.col("part") == F.col("p")).withColumn("slot", slot(F.col("first") + F.col("place")))
+    placed = staged.join(starts, F.col("part") == F.col("p")).select(
+        (F.col("first") + F.col("place")).alias("number"), "n_tokens", "doc_ids", "crc", "ids")
     shards = max(1, -(-size // shard_slots))
-    dealt = placed.withColumn("shard", F.floor(F.col("slot") / shard_slots).cast("int")).select(
-        "slot", "shard", "n_tokens", F.filter("doc_ids", lambda x: x.isNotNull()).alias("doc_ids"), "crc", "packed")
-    return dealt.repartition(shards, "shard").sortWithinPartitions("slot").mapInArrow(
-        _write(folder, length, shard_slots),
-        "slot long, shard int, n_tokens int, doc_ids array<bigint>, crc long, offset long")
+    return (
+        placed.mapInArrow(_bundle(size, key, shard_slots), BUNDLE).repartition(shards, "shard")
+        .sortWithinPartitions("shard").mapInArrow(
+            _write(folder, length, shard_slots),
+            "slot long, shard int, n_tokens int, doc_ids array<bigint>, crc long, offset long")
+    )
 
 
 def read_slots(folder: str, first: int, count: int, length: int = LENGTH, shard_slots: int = SHARD_SLOTS) -> np.ndarray:
