@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -14,7 +15,7 @@ def spark():
         app="tests",
         master="local[4]",
         shuffle_partitions=4,
-        extra={"spark.driver.memory": "6g", "spark.ui.showConsoleProgress": "false"},
+        extra={"spark.driver.memory": "6g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="shelfcast-"), "spark.ui.showConsoleProgress": "false"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
