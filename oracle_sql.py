@@ -499,9 +499,12 @@ def _admission(key: str, column: str) -> str:
 
 ORACLES["rate_limit"] = _admission("user_id", "user_id")
 ORACLES["rate_limit_global"] = _admission("'all'", "scope")
-ORACLES["rate_limit_stream"] = (
-    f"SELECT user_id, event_id, ts, admitted FROM ({ORACLES['rate_limit']}) t"
-)
+ORACLES["rate_limit_stream"] = ORACLES["rate_limit"]
+for _name in ("usage_window", "usage_now"):  # usage counts admitted events only
+    ORACLES[_name] = ORACLES[_name].replace(
+        "epoch_us(ts) AS us FROM events",
+        f"epoch_us(CAST(ts AS TIMESTAMP)) AS us FROM ({ORACLES['rate_limit']}) r WHERE admitted",
+    )
 ORACLES["replay_stream"] = ORACLES["replay_cards"]
 ORACLES["usage_stream"] = """
     SELECT user_id, strftime(until, '%Y-%m-%d %H:%M:%S') AS until, count(*) AS used

@@ -16,13 +16,13 @@ def _col(value: Column | str) -> Column:
 
 def round_decimal(value: Column | str, places: int) -> Column:
     """Round half-up on the decimal value, so that ties do not depend on binary noise."""
-    return F.round(_col(value).cast("decimal(18,6)"), places).cast("double")
+    return F.round(_col(value).cast("decimal(38,6)"), places).cast("double")
 
 
 def fixed_text(value: Column | str, places: int = 1) -> Column:
     """Text with a fixed number of decimals; NULL stays NULL."""
-    rounded = F.round(_col(value).cast("decimal(18,6)"), places)
-    return rounded.cast(f"decimal(18,{places})").cast("string")
+    rounded = F.round(_col(value).cast("decimal(38,6)"), places)
+    return rounded.cast(f"decimal(38,{places})").cast("string")
 
 
 def zero_floor(value: Column | str) -> Column:

@@ -57,11 +57,12 @@ def _running(fact: DataFrame, value: str, over: WindowSpec) -> DataFrame:
     """Running count, sum and sum of squares up to and including the current row."""
     so_far = over.rowsBetween(Window.unboundedPreceding, 0)
     number = F.col(value).cast("long")
+    wide = number.cast("decimal(14,0)")  # a long would overflow on sums of large squares
     return fact.select(
         "*",
         F.count(value).over(so_far).alias("_n"),
         F.coalesce(F.sum(number).over(so_far), F.lit(0)).alias("_s"),
-        F.coalesce(F.sum(number * number).over(so_far), F.lit(0)).alias("_q"),
+        F.coalesce(F.sum(wide * wide).over(so_far), F.lit(0)).alias("_q"),
     )
 
 
@@ -78,10 +79,13 @@ def _trailing_from_running(rows: Sequence[int], over: WindowSpec) -> list[Column
     out = []
     for n in rows:
         count = total("_n", 1) - total("_n", n + 1)
-        sums = (total("_s", 1) - total("_s", n + 1)).cast("double")
-        squares = (total("_q", 1) - total("_q", n + 1)).cast("double")
-        spread = (count * squares - sums * sums) / (count * (count - 1))
-        out.append(F.when(count > 0, sums / count).alias(f"roll_mean_{n}"))
+        sums = (total("_s", 1) - total("_s", n + 1)).cast("decimal(19,0)")
+        squares = (total("_q", 1) - total("_q", n + 1)).cast("decimal(32,0)")
+        # The difference of two large numbers: taken before anything is rounded to a double.
+        spread = (count.cast("decimal(5,0)") * squares - sums * sums).cast("double") / (
+            count * (count - 1)
+        )
+        out.append(F.when(count > 0, sums.cast("double") / count).alias(f"roll_mean_{n}"))
         out.append(F.when(count > 1, F.sqrt(spread)).alias(f"roll_std_{n}"))
     return out
 

@@ -68,6 +68,6 @@ def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
 
 
 def first_series(fact: DataFrame, n: int) -> DataFrame:
-    """All rows of the first n series. The key set has at most n rows, so it is broadcast."""
+    """All rows of the first n series. The key set has at most n rows."""
     keys = first_rows(fact.select(*config.SERIES).distinct(), config.SERIES, n)
-    return fact.join(F.broadcast(keys), list(config.SERIES), "left_semi")
+    return fact.join(keys, list(config.SERIES), "left_semi")

@@ -21,7 +21,7 @@ def with_batch(scored: DataFrame, batch_days: int = 1) -> DataFrame:
     batches = ranked.select(
         F.col("date").alias("_date"), F.floor(F.col("_r") / batch_days).cast("int").alias("batch")
     )
-    return scored.join(F.broadcast(batches), F.col("date") == F.col("_date")).drop("_date")
+    return scored.join(batches, F.col("date") == F.col("_date")).drop("_date")
 
 
 def batch_cards(

@@ -22,7 +22,7 @@ FEED_COLUMNS = (
     "anomaly_flag",
     "summary",
 )
-NO_RATIONALE = "No rationale logged."
+NO_RATIONALE = "(no reason given)"
 
 
 def kpi(scored: DataFrame, cards: DataFrame) -> DataFrame:

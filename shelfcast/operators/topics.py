@@ -161,7 +161,7 @@ class TopicStore:
         return (
             self.queue()
             .where(F.col("topic") == topic)
-            .join(F.broadcast(marked), "id", "left_semi")
+            .join(marked, "id", "left_semi")
         )
 
     def mark(self, batch: DataFrame, now: Column) -> None:

@@ -700,19 +700,24 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _admitted(spark: SparkSession, folder: str) -> DataFrame:
+    decided = admission.rate_admission(_events(spark, folder), "user_id", "ts", "event_id")
+    return decided.where("admitted").select("event_id", "user_id", "ts")
+
+
 @query
 def usage_window(spark, folder):
-    """Events per user in the 60 seconds and 24 hours up to each event."""
+    """Admitted events per user in the 60 seconds and 24 hours up to each of them."""
     rows = admission.usage_counts(
-        _events(spark, folder), "user_id", "ts", "event_id", admission.USAGE_WINDOWS
+        _admitted(spark, folder), "user_id", "ts", "event_id", admission.USAGE_WINDOWS
     )
     return rows.drop("ts")
 
 
 @query
 def usage_now(spark, folder):
-    """Usage per user at the moment of the newest event."""
-    log = _events(spark, folder)
+    """Admitted usage per user at the moment of the newest admitted event."""
+    log = _admitted(spark, folder)
     now = log.select(F.max("ts")).scalar()
     return admission.usage_snapshot(log, "user_id", "ts", now)
 
@@ -793,15 +798,15 @@ def usage_stream(spark, folder):
 
 @query
 def rate_limit_stream(spark, folder):
-    """Admission of every event per user, as a stream."""
+    """Admission of every event per user, as a stream of several out-of-order batches."""
     base = scratch_path(spark, "admission")
-    _events(spark, folder).repartitionByRange(4, "ts").sortWithinPartitions("ts").write.parquet(
-        f"{base}/events"
+    # Dealt by id, so that every file reaches over the whole time and most asks arrive late.
+    _events(spark, folder).repartition(4, "event_id").write.parquet(f"{base}/events")
+    stream = sinks.read_files(
+        spark, f"{base}/events", "event_id long, user_id long, ts timestamp", files_per_trigger=1
     )
-    stream = sinks.read_files(spark, f"{base}/events", "event_id long, user_id long, ts timestamp")
-    decided = admission_streams.admit_stream(stream, "user_id", "ts", "event_id")
-    sinks.append_files(
-        decided, f"{base}/decided", f"{base}/checkpoint", "admission"
+    admission_streams.admit_stream(
+        stream, "user_id", "ts", "event_id", f"{base}/decided", f"{base}/checkpoint"
     ).awaitTermination()
-    rows = spark.read.parquet(f"{base}/decided")
+    rows = admission_streams.verdicts(spark, f"{base}/decided", "user_id", "event_id")
     return rows.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -58,15 +57,13 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach, for checkpoints and written tables.
 
-    The deployment names it in ``spark.checkpoint.dir``. Only a local master may fall back
-    to a temporary folder, because there driver and executors are one process.
+    The deployment names it in ``spark.checkpoint.dir``, or by ``setCheckpointDir``. There is
+    no fallback, on any master.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="shelfcast-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named

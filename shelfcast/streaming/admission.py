@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQuery
 
 from shelfcast import config
-from shelfcast.operators.admission import admit_in_order
-
-_DAY_MS = config.DAILY_SECONDS * 1000
+from shelfcast.operators.admission import rate_admission
 
 
 def admit_stream(
@@ -20,58 +15,49 @@ def admit_stream(
     key: str,
     time: str,
     ask_id: str,
+    path: str,
+    checkpoint: str,
     burst_max: int = config.BURST_MAX,
     burst_seconds: int = config.BURST_SECONDS,
     daily_max: int = config.DAILY_MAX,
-    lateness: str = "10 minutes",
-) -> DataFrame:
-    """Admit or refuse asks as they arrive.
+) -> StreamingQuery:
+    """Admit or refuse asks as they arrive, in any order, and none is left out.
 
-    The state of a key is its admitted times that still count, at most the daily limit of
-    them; a key without asks for a day of event time leaves the state. Asks may arrive up
-    to ``lateness`` behind the newest one. They are decided in time order within a
-    micro-batch, whose size (the source's trigger limit) bounds what one key brings into
-    one task.
+    Every micro-batch is added to a log below ``path``. The keys it touches are decided again
+    in time order from the log, so an ask that arrives late is judged by the admissions before
+    it, and may change verdicts after it. A batch that is repeated replaces its own folders.
+    :func:`verdicts` reads the newest verdict of each ask.
     """
-    timed = asks.withColumn("_time", F.col(time).cast("timestamp"))
-    narrow = timed.withWatermark("_time", lateness).select(
-        F.col(key).alias("key"),
-        F.col(ask_id).alias("ask_id"),
-        "_time",
-        F.unix_micros("_time").alias("at"),
-    )
-    kinds = {f.name: f.dataType.simpleString() for f in narrow.schema.fields}
-    limits = (burst_max, burst_seconds, daily_max)
 
-    def decide(
-        name: tuple, rows: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        arrived = pd.concat(list(rows)).sort_values(["at", "ask_id"])
-        carry = list(state.get[0]) if state.exists else []
-        verdict, kept = admit_in_order(arrived["at"].to_numpy(), carry, *limits)
-        state.update((kept,))
-        idle_from = kept[-1] // 1000 + _DAY_MS
-        state.setTimeoutTimestamp(max(idle_from, state.getCurrentWatermarkMs() + 1))
-        yield arrived[["key", "ask_id", "at"]].assign(admitted=verdict == 0)
+    def decide(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.select(key, ask_id, time)
+        rows.write.mode("overwrite").parquet(f"{path}/asks/_round={number}")
+        log = spark.read.schema(rows.schema).parquet(
+            *[f"{path}/asks/_round={n}" for n in range(number + 1)]
+        )
+        touched = log.join(rows.select(key).distinct(), key, "left_semi")
+        decided = rate_admission(touched, key, time, ask_id, burst_max, burst_seconds, daily_max)
+        decided.withColumn("round", F.lit(number)).write.mode("overwrite").parquet(
+            f"{path}/verdicts/_round={number}"
+        )
 
-    decided = narrow.groupBy("key").applyInPandasWithState(
-        decide,
-        outputStructType=f"key {kinds['key']}, ask_id {kinds['ask_id']}, at long, admitted boolean",
-        stateStructType="times array<long>",
-        outputMode="append",
-        timeoutConf=GroupStateTimeout.EventTimeTimeout,
-    )
-    return decided.select(
-        F.col("key").alias(key),
-        F.col("ask_id").alias(ask_id),
-        F.timestamp_micros("at").alias(time),
-        "admitted",
+    return (
+        asks.writeStream.foreachBatch(decide)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
 
 
+def verdicts(spark: SparkSession, path: str, key: str, ask_id: str) -> DataFrame:
+    """The newest verdict of each ask: key, ask id, time, ``admitted`` and ``refused_by``."""
+    rows = spark.read.parquet(f"{path}/verdicts/_round=*")
+    others = [c for c in rows.columns if c not in (key, ask_id, "round")]
+    newest = F.max_by(F.struct(*others), "round").alias("_newest")
+    return rows.groupBy(key, ask_id).agg(newest).select(key, ask_id, "_newest.*")
+
+
 def sliding_usage(
     log: DataFrame,
     key: str,

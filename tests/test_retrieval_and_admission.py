@@ -138,14 +138,17 @@ def test_admission_stream_equals_batch(spark, tmp_path):
     rng = np.random.default_rng(4)
     times = sorted(BASE + timedelta(seconds=float(s)) for s in rng.uniform(0, 3000, 300))
     data = asks(spark, {"u": times, "v": times[::7]})
-    data.repartitionByRange(3, "at").sortWithinPartitions("at").write.parquet(f"{tmp_path}/asks")
+    # Out of order, over several micro-batches.
+    data.repartition(5, "ask").write.parquet(f"{tmp_path}/asks")
     stream = sinks.read_files(
-        spark, f"{tmp_path}/asks", "user string, ask long, at timestamp"
+        spark, f"{tmp_path}/asks", "user string, ask long, at timestamp", files_per_trigger=1
     )
-    decided = admission_streams.admit_stream(stream, "user", "at", "ask")
-    sinks.append_files(decided, f"{tmp_path}/out", f"{tmp_path}/cp", "adm").awaitTermination()
+    admission_streams.admit_stream(
+        stream, "user", "at", "ask", f"{tmp_path}/out", f"{tmp_path}/cp"
+    ).awaitTermination()
+    decided = admission_streams.verdicts(spark, f"{tmp_path}/out", "user", "ask")
     got = {}
-    for r in spark.read.parquet(f"{tmp_path}/out").orderBy("user", "ask").collect():
-        got.setdefault(r.user, []).append(r.admitted)
-    assert got["u"] == [v == "" for v in one_by_one(times)]
-    assert got["v"] == [v == "" for v in one_by_one(times[::7])]
+    for r in decided.orderBy("user", "ask").collect():
+        got.setdefault(r.user, []).append(r.refused_by)
+    assert got["u"] == list(one_by_one(times))
+    assert got["v"] == list(one_by_one(times[::7]))
