@@ -1,3 +1,4 @@
+import statistics
 from datetime import date, timedelta
 
 import pytest
@@ -97,14 +98,26 @@ def test_lags_and_frames_agree_with_hand_values(spark):
 def test_running_totals_equal_window_frames(spark):
     values = [(i * 7919) % 23 for i in range(60)]
     fact = series(spark, values).unionByName(series(spark, [5] * 60, "b"))
-    fact = fact.unionByName(series(spark, [10**9 + v % 3 for v in values], "c"))
     columns = ["roll_mean_7", "roll_std_7", "roll_mean_28", "roll_std_28"]
     fast = features.build_features(fact, drop_short_history=False, running_totals=True)
     slow = features.build_features(fact, drop_short_history=False, running_totals=False)
     order = ["item_id", "date"]
     for a, b in zip(fast.orderBy(*order).collect(), slow.orderBy(*order).collect()):
         for c in columns:
-            assert a[c] == (None if b[c] is None else pytest.approx(b[c], abs=1e-8))
+            assert a[c] == (None if b[c] is None else pytest.approx(b[c], abs=1e-12))
+
+
+def test_running_totals_of_large_counts(spark):
+    values = [10**9 + (i * 7919) % 23 % 3 for i in range(60)]
+    rows = features.build_features(
+        series(spark, values), drop_short_history=False, running_totals=True
+    ).orderBy("date").collect()
+    for i, row in enumerate(rows):
+        for n in (7, 28):
+            before = values[max(0, i - n) : i]
+            if len(before) > 1:
+                exact = statistics.stdev(v - 10**9 for v in before)
+                assert row[f"roll_std_{n}"] == pytest.approx(exact, abs=1e-12)
 
 
 def test_no_leakage(spark):
