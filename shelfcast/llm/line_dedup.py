@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import random
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -10,57 +10,84 @@ from shelfcast.llm.common import components, stage
 
 WIDTH = 9  # characters of a shingle
 PERCENT = 80  # of the union that the intersection must reach
-PIECE = 256  # characters of a long line cut at once
 SHORT = 100  # characters below which all shingles enter the signature
-LOWEST = 32  # shingle hashes kept for the signature, the smallest ones
-SKETCH = 12  # of these, kept of either kind to compare lines of a bucket
-# A pair at the threshold shares 10 of 12 on average; 4 lies over four deviations below.
-ALIKE = 4
+# Characters per space: up to the first, a long line samples the shingles that start a word;
+# beyond the second, too few words start, and all shingles enter. Between them it does both.
+DENSE, SPARSE = 14, 20
 BANDS, ROWS = 12, 3
+BITS = 5  # of each minwise value, kept in the sketch that compares lines of a bucket
+PACK = 12  # values in one long of the sketch
+EXACT = 1 << 20  # stands for the number of shingles drawn where all are
+DEVIATIONS = 4  # below their mean, by which agreeing places of a pair at the threshold may fall
 BUCKET = 16  # lines of a bucket in which all pairs are compared at once
 PIVOTS = 8
 FEW = 500_000  # rows (of two longs) that are broadcast at most
+FEW_BYTES = 32 << 20  # of lines that are broadcast at most
 TASK_PAIRS = 2000  # pairs verified by one task
+BLANK = " \t\r\x0b\x0c"
 
+# A match may not begin inside a character of two UTF-16 units.
+_WHOLE = r"\x{DC00}-\x{DFFF}"
 
-def _cut(line: Column, width: int) -> Column:
-    """All runs of ``width`` characters of a line that has as many. Long lines are cut into
-    overlapping pieces first, since a place in a text is found by counting from its start."""
-    pieces = F.transform(F.sequence(F.lit(0), F.floor((F.char_length(line) - width) / PIECE).cast("int")),
-                         lambda i: F.substring(line, i * PIECE + 1, F.lit(PIECE + width - 1)))
-    return F.flatten(F.transform(pieces, lambda piece: F.transform(
-        F.sequence(F.lit(1), F.char_length(piece) - (width - 1)), lambda i: F.substring(piece, i, F.lit(width)))))
 
+def _runs(line: Column, width: int) -> Column:
+    """All runs of ``width`` characters of a line that has as many."""
+    return F.regexp_extract_all(line, F.lit(rf"(?s)(?=([^{_WHOLE}].{{{width - 1}}}))"), F.lit(1))
 
-def shingles(line: Column, width: int) -> Column:
-    """Distinct character shingles; a shorter line is one shingle."""
-    return F.when(F.char_length(line) < width, F.array(line)).otherwise(F.array_distinct(_cut(line, width)))
 
+def _word_runs(line: Column, width: int) -> Column:
+    """Those runs that start a word."""
+    return F.regexp_extract_all(line, F.lit(rf"(?s)(?<![^ ])(?=([^ {_WHOLE}].{{{width - 1}}}))"), F.lit(1))
 
-def _sampled(line: Column, words: Column, width: int, short: int) -> Column:
-    """Hashed shingles for the signature: all of a short line, those that start a word of a long
-    one (as far as three words reach). ``words`` must be a column, not computed in place.
 
-    Lines near the border get both kinds, marked apart, since a line of up to 5/4 the length
-    may be similar to a short one.
-    """
-    nothing = F.array().cast("array<bigint>")
-    size = F.char_length(line)
-    every = F.when(size < width, F.array(F.xxhash64(F.lit("all"), line))).when(
-        size < short * 5 // 4, F.transform(_cut(line, width), lambda s: F.xxhash64(F.lit("all"), s))).otherwise(nothing)
-    starts = F.transform(words, lambda w, i: F.xxhash64(F.substring(
-        F.concat_ws(" ", w, F.get(words, i + 1), F.get(words, i + 2)), 1, width)))
-    return F.array(every, F.when(size >= short, starts).otherwise(nothing))
+def shingles(line: Column, width: int) -> Column:
+    """Character shingles, not made distinct; a shorter line is one shingle."""
+    return F.when(F.char_length(line) < width, F.array(line)).otherwise(_runs(line, width))
 
 
-def signature(hashes: Column, seeds: list[int], rows: int) -> Column:
-    """One key per band: a hash of ``rows`` minwise values, or none without shingles. A value is
-    the hash nearest to a seed in its leading bits; hashes are random, so any is as likely."""
-    def least(seed: int) -> Column:
-        return F.array_min(F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(seed))))
+def _signatures(lines: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
+    """Per class of equal lines and kind of shingles: ``bands`` keys, and the sketch.
 
-    keys = [F.xxhash64(F.lit(b), *[least(seeds[b * rows + r]) for r in range(rows)]) for b in range(len(seeds) // rows)]
-    return F.when(F.size(hashes) > 0, F.array(*keys)).otherwise(F.array().cast("array<bigint>"))
+    Shingles become rows, and the minwise values their grouped minima, combined before the
+    shuffle. A long line enters with the shingles that start a word, a short one, and one with
+    few spaces, with all. Lines near a border enter with both kinds, since a line on the other
+    side of it may be similar.
+    """
+    size = F.char_length("line")
+    spaces = size - F.char_length(F.replace("line", F.lit(" "), F.lit("")))
+    nothing = F.array().cast("array<string>")
+    every = F.when((size < SHORT * 5 // 4) | (spaces * DENSE < size), shingles(F.col("line"), width)).otherwise(nothing)
+    words = F.when((size >= SHORT) & (spaces * SPARSE >= size), _word_runs(F.col("line"), width)).otherwise(nothing)
+    kinds = F.array(*[F.struct(F.lit(whole).alias("whole"), found.alias("found")) for whole, found in ((True, every), (False, words))])
+    dealt = lines.select("class", F.explode(kinds).alias("kind")).select(
+        "class", "kind.whole", F.when(F.col("kind.whole"), EXACT).otherwise(F.size("kind.found")).alias("drawn"),
+        F.explode("kind.found").alias("shingle")).select("class", "whole", "drawn", F.xxhash64("shingle").alias("h"))
+    least = dealt.groupBy("class", "whole").agg(
+        F.max("drawn").alias("drawn"), *[F.min(F.hash(F.lit(i), "h")).alias(f"v{i}") for i in range(bands * rows)])
+    keys = [F.xxhash64("whole", F.lit(b), *[f"v{b * rows + r}" for r in range(rows)]) for b in range(bands)]
+    packs = []
+    for begin in range(0, bands * rows, PACK):
+        places = [F.shiftleft(F.col(f"v{i}").bitwiseAND(2**BITS - 1).cast("long"), BITS * (i - begin))
+                  for i in range(begin, min(begin + PACK, bands * rows))]
+        packs.append(reduce(Column.bitwiseOR, places).alias(f"s{begin // PACK}"))
+    return least.select("class", F.struct("drawn", *packs).alias("sketch"), F.array(*keys).alias("bands"))
+
+
+def _alike(one: str, other: str, places: int, percent: int) -> Column:
+    """Whether two sketches agree in enough of their ``places`` for a pair at the threshold.
+
+    The share of agreeing places strays by the number of places, and that of common shingles by
+    the number of shingles drawn; both are taken as binomial.
+    """
+    lowest = sum(1 << (BITS * i) for i in range(PACK))
+    differ = F.lit(0)
+    for pack in range(-(-places // PACK)):
+        x = F.col(f"{one}.s{pack}").bitwiseXOR(F.col(f"{other}.s{pack}"))
+        any_bit = reduce(Column.bitwiseOR, [F.shiftrightunsigned(x, i) for i in range(BITS)])
+        differ = differ + F.bit_count(any_bit.bitwiseAND(F.lit(lowest)))
+    share = percent / 100
+    spread = F.sqrt(share * (1 - share) * (1 / F.least(f"{one}.drawn", f"{other}.drawn") + 1 / places))
+    return places - differ >= places * (share - DEVIATIONS * spread)
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -73,11 +100,13 @@ def _verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, width: in
     pairs = pairs.repartition(max(1, pairs.count() // TASK_PAIRS), "a", "b")
     left = texts.select(F.col("class").alias("a"), F.col("line").alias("first"), F.col("n").alias("n1"))
     right = texts.select(F.col("class").alias("b"), F.col("line").alias("second"), F.col("n").alias("n2"))
+    if (texts.agg(F.sum(F.octet_length("line") + 16)).first()[0] or 0) <= FEW_BYTES:
+        left, right = F.broadcast(left), F.broadcast(right)
     near = 100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")
     both = F.size(F.array_intersect(shingles(F.col("first"), width), shingles(F.col("second"), width)))
-    met = pairs.join(_small(left), "a").join(_small(right), "b").filter(near)
-    checked = met.withColumn("both", both)
-    alike = 100 * F.col("both") >= percent * (F.col("n1") + F.col("n2") - F.col("both"))
+    # The union is what the intersection lacks of both sizes; written so that it is made once.
+    alike = (100 + percent) * both >= percent * (F.col("n1") + F.col("n2"))
+    checked = pairs.join(left, "a").join(right, "b").filter(near)
     return stage(spark, checked.filter(alike).select("a", "b"), "line-links")
 
 
@@ -95,7 +124,7 @@ def fuzzy_lines(spark: SparkSession, docs: DataFrame, width: int = WIDTH, percen
     is kept. Blank lines stay as they are.
 
     Equal lines are one class, by a 64-bit digest. Bands of minwise values deal classes to
-    buckets; long lines sample the shingles that start a word. All pairs of a bucket with up to
+    buckets; long lines sample the shingles that start a word, if enough do. All pairs of a bucket with up to
     ``BUCKET`` lines are verified on their full sets, unless their sketches are far apart.
     In a larger one every line meets ``PIVOTS`` of its lines; after the components of these
     links, every line outside the bucket's largest component meets all others, so no pair of
@@ -104,33 +133,22 @@ def fuzzy_lines(spark: SparkSession, docs: DataFrame, width: int = WIDTH, percen
     A null text has no line, an empty one a blank line. Null ids come last. Rows that repeat an
     id and its text count as one document. An empty table gives an empty result.
     """
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    filled = lines.filter(F.trim(F.translate("line", "\t\r\x0b\x0c", "    ")) != "").withColumn(
-        "class", F.xxhash64("line"))
-    rng = random.Random(5)
-    seeds = [rng.getrandbits(62) for _ in range(bands * rows)]
-    kinds = _sampled(F.col("line"), F.col("parts"), width, SHORT)
-    read = stage(
-        spark, filled.withColumn("parts", F.split("line", " ")).withColumn("kinds", kinds).withColumn("low", F.transform(
-            "kinds", lambda k: F.slice(F.sort_array(F.array_distinct(k)), 1, LOWEST)))
-        .select("doc_id", "line_no", "class", F.flatten(F.transform("low", lambda k: F.slice(k, 1, SKETCH))).alias("sketch"),
-                F.col("low")[0].alias("every"), F.col("low")[1].alias("words"))
-        .select("doc_id", "line_no", "class", "sketch", F.concat(
-            signature(F.col("every"), seeds, rows), signature(F.col("words"), seeds[::-1], rows)).alias("bands")),
-        "lines")
-    dealt = read.select("class", "sketch", F.explode("bands").alias("bucket"))
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")).withColumn(
+        "class", F.when(F.ltrim("line", F.lit(BLANK)) != "", F.xxhash64("line")))
+    filled = lines.filter(F.col("class").isNotNull())
+    read = stage(spark, lines.select("doc_id", "line_no", "class"), "lines")
+    signed = stage(spark, _signatures(filled, width, bands, rows), "line-signatures")
+    dealt = signed.select("class", "sketch", F.explode("bands").alias("bucket"))
     live = stage(spark, dealt.groupBy("bucket").agg(
         F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high").select(
         F.col("bucket").alias("k")), "line-live")
-    members = stage(spark, dealt.join(_small(live), F.col("bucket") == F.col("k")).drop("k").distinct(), "line-members")
+    members = stage(spark, dealt.join(_small(live), F.col("bucket") == F.col("k")).drop("k"), "line-members")
     sizes = stage(spark, members.groupBy(F.col("bucket").alias("k")).agg(F.count(F.lit(1)).alias("size")), "line-sizes")
     sized = members.join(sizes, F.col("bucket") == F.col("k")).drop("k")
     other = sized.select(F.col("bucket").alias("k"), F.col("class").alias("other"), F.col("size").alias("all"),
                          F.col("sketch").alias("seen"))
     same = F.col("bucket") == F.col("k")
-    # A line with few shingles is verified without this look.
-    alike = (F.size(F.array_intersect("sketch", "seen")) >= ALIKE) | (F.size("sketch") < SKETCH) | (
-        F.size("seen") < SKETCH)
+    alike = _alike("sketch", "seen", bands * rows, percent)
     within = sized.filter(F.col("size") <= BUCKET).join(
         other.filter(F.col("all") <= BUCKET), same & (F.col("class") > F.col("other")) & alike).select(
         *_ordered(F.col("class"), F.col("other")))
@@ -145,7 +163,7 @@ def fuzzy_lines(spark: SparkSession, docs: DataFrame, width: int = WIDTH, percen
         wanted = wanted.unionAll(sized.filter(F.col("size") > BUCKET).select("class")).distinct()
     texts = stage(spark, filled.join(_small(stage(spark, wanted, "line-wanted")), F.col("class") == F.col("c")).select(
         "class", "line").dropDuplicates(["class"]).select(
-        "class", "line", F.size(shingles(F.col("line"), width)).alias("n")), "line-texts")
+        "class", "line", F.size(F.array_distinct(shingles(F.col("line"), width))).alias("n")), "line-texts")
     links = _verified(spark, pairs, texts, width, percent)
     large = stage(spark, sized.filter(F.col("size") > BUCKET), "line-large")
     if not large.isEmpty():
@@ -164,6 +182,7 @@ def fuzzy_lines(spark: SparkSession, docs: DataFrame, width: int = WIDTH, percen
     roots = stage(spark, components(spark, links), "line-components")
 
     first = F.min(F.struct("doc_id", "line_no"))
+    read, blank = read.filter(F.col("class").isNotNull()), read.filter(F.col("class").isNull())
     present = read.filter(F.col("doc_id").isNotNull())
     starts = stage(spark, present.groupBy("class").agg(first.alias("first")).unionAll(
         read.filter(F.col("doc_id").isNull()).groupBy("class").agg(first.alias("first"))).groupBy("class").agg(
@@ -180,8 +199,7 @@ def fuzzy_lines(spark: SparkSession, docs: DataFrame, width: int = WIDTH, percen
     judged = read.join(answer, F.col("class") == F.col("c")).select(
         "doc_id", "line_no", F.col("keeper.doc_id").alias("keeper_doc_id"),
         F.col("keeper.line_no").alias("keeper_line_no"))
-    blank = lines.filter(F.trim(F.translate("line", "\t\r\x0b\x0c", "    ")) == "").select(
-        "doc_id", "line_no", F.col("doc_id").alias("keeper_doc_id"),
-        F.col("line_no").alias("keeper_line_no"))
+    blank = blank.select("doc_id", "line_no", F.col("doc_id").alias("keeper_doc_id"),
+                         F.col("line_no").alias("keeper_line_no"))
     return judged.unionAll(blank).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("keeper_doc_id")) & (F.col("line_no") == F.col("keeper_line_no")))
