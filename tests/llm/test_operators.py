@@ -182,6 +182,26 @@ def test_fuzzy_lines(spark, rows, empty, monkeypatch):
     assert line_dedup.fuzzy_lines(spark, empty).count() == 0
 
 
+def test_line_shingles(spark):
+    lines = ["", "short", "exactly 9", "wide \U0001f600\U0001f601 signs \U0001f602\U0001f603!", "ß" * 300 + "\r x", "a  b " * 40]
+    table = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = table.select("line", line_dedup.shingles(F.col("line"), 9).alias("cut"),
+                       line_dedup._word_runs(F.col("line"), 9).alias("words")).collect()
+    for r in got:
+        every = [r.line[i : i + 9] for i in range(len(r.line) - 8)]
+        assert r.cut == (every if len(r.line) >= 9 else [r.line])
+        assert r.words == [x for i, x in enumerate(every) if x[0] != " " and (i == 0 or r.line[i - 1] == " ")]
+
+
+def test_long_lines_without_spaces(spark):
+    rng = random.Random(9)
+    base = ["".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(400)) for _ in range(6)]
+    near = [x[:200] + "一" + x[201:] for x in base]  # 9 of 392 shingles differ
+    table = spark.createDataFrame(list(enumerate(base + near)), "doc_id long, text string")
+    got = {r.doc_id: r.keeper_doc_id for r in line_dedup.fuzzy_lines(spark, table).collect()}
+    assert got == {i: i % 6 for i in range(12)}
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 64, 1000, 4097])
 def test_permutation(size):
     out = token_output.permuted(np.arange(size), size, 5)
