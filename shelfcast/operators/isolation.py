@@ -31,16 +31,18 @@ def draw_samples(
 ) -> DataFrame:
     """About ``size`` rows for each tree, chosen by hashing the row key.
 
-    Hashes do not depend on partitioning, so a repeated or recomputed task draws the same
-    rows. Every tree is trimmed to ``size`` rows, which bounds its group.
+    A row is offered to as many trees as give each about 1.3 times ``size`` rows, all of them
+    at most. They lie a stride apart that has no factor in common with ``trees``, so they
+    differ. Hashes do not depend on partitioning, so a repeated or recomputed task draws the
+    same rows. Every tree is trimmed to ``size`` rows, which bounds its group.
     """
-    if total <= 4 * size:
-        slots, share = trees, 1.0
-        tree = F.col("_slot")
-    else:
-        wanted = 1.3 * trees * size / total
-        slots, share = math.ceil(wanted), wanted / math.ceil(wanted)
-        tree = F.pmod(F.xxhash64(F.lit(seed + 1), "_slot", *key), F.lit(trees)).cast("int")
+    wanted = min(1.3 * trees * size / max(total, 1), trees)
+    slots = math.ceil(wanted)
+    share = wanted / slots
+    strides = F.array(*[F.lit(s) for s in range(1, trees + 1) if math.gcd(s, trees) == 1])
+    begin = F.pmod(F.xxhash64(F.lit(seed + 1), *key), F.lit(trees))
+    stride = F.get(strides, F.pmod(F.xxhash64(F.lit(seed + 2), *key), F.size(strides)).cast("int"))
+    tree = F.pmod(begin + F.col("_slot") * stride, F.lit(trees)).cast("int")
     rank = F.xxhash64(F.lit(seed), "_slot", *key)
     uniform = rank.bitwiseAND(F.lit(2**53 - 1)) / F.lit(float(2**53))
     drawn = (

@@ -11,6 +11,7 @@ from shelfcast import config
 from shelfcast.functions.scalars import in_list, json_field
 from shelfcast.operators import topics
 
+# Fixed format: the columns a consumer of the feed reads.
 FEED_COLUMNS = (
     "id",
     "item_id",

@@ -221,7 +221,7 @@ def dense_panel(spark, folder):
 def fact_panel(spark, folder):
     """Long sales joined with the calendar and the weekly prices."""
     span = retail.span_of(spark, folder)
-    daily = retail.daily_sales(spark, folder, "coarse")
+    daily = stage(retail.daily_sales(spark, folder, "coarse"), "daily")
     fact = panel.build_fact(
         retail.sales_long(daily, span),
         retail.calendar(spark, span),
@@ -234,7 +234,7 @@ def fact_panel(spark, folder):
 def price_left_join(spark, folder):
     """Weekly prices joined to every fine series: days without a price are kept."""
     span = retail.span_of(spark, folder)
-    daily = retail.daily_sales(spark, folder)
+    daily = stage(retail.daily_sales(spark, folder), "daily")
     days = panel.with_calendar(retail.sales_long(daily, span), retail.calendar(spark, span))
     priced = panel.with_prices(days, retail.weekly_prices(daily, span))
     return priced.groupBy(*config.SERIES).agg(
@@ -742,12 +742,13 @@ def replay_stream(spark, folder):
     """The two-day batches as a stream over the scored days."""
     rows = _scored(spark, folder)
     base = scratch_path(spark, "replay")
-    rows.select(*score.SCORED_COLUMNS).repartitionByRange(8, "date").write.parquet(f"{base}/days")
+    # Dealt by item, so that every file reaches over the whole time and most days arrive late.
+    rows.select(*score.SCORED_COLUMNS).repartition(8, "item_id").write.parquet(f"{base}/days")
     first = rows.agg(F.min("date")).first()[0]
     schema = spark.read.parquet(f"{base}/days").schema
     stream = sinks.read_files(spark, f"{base}/days", schema, files_per_trigger=2)
     card_streams.replay_state(
-        stream, first, f"{base}/cards", f"{base}/checkpoint", batch_days=2, lateness="30 days"
+        stream, first, f"{base}/cards", f"{base}/checkpoint", batch_days=2
     ).awaitTermination()
     return card_streams.replayed_cards(spark, f"{base}/cards").select(
         "batch", *config.SERIES_DAY, "days_flagged", "stockout_risk_flag", "p90_forecast",
@@ -786,13 +787,16 @@ def decision_stream(spark, folder):
 
 @query
 def usage_stream(spark, folder):
-    """Events per user in sliding daily windows, as a stream."""
+    """Events per user in sliding daily windows, as a stream of out-of-order batches."""
     base = scratch_path(spark, "usage")
-    _events(spark, folder).write.parquet(f"{base}/events")
-    stream = sinks.read_files(spark, f"{base}/events", "event_id long, user_id long, ts timestamp")
-    usage = admission_streams.sliding_usage(stream, "user_id", "ts", slide="12 hours")
-    sinks.update_table(usage, f"{base}/usage", f"{base}/checkpoint", "usage").awaitTermination()
-    rows = sinks.current_rows(spark, f"{base}/usage", ["user_id", "until"])
+    _events(spark, folder).repartition(4, "event_id").write.parquet(f"{base}/events")
+    stream = sinks.read_files(
+        spark, f"{base}/events", "event_id long, user_id long, ts timestamp", files_per_trigger=1
+    )
+    admission_streams.usage_stream(
+        stream, "user_id", "ts", f"{base}/usage", f"{base}/checkpoint", slide="12 hours"
+    ).awaitTermination()
+    rows = admission_streams.sliding_usage(spark, f"{base}/usage", "user_id")
     return rows.withColumn("until", F.date_format("until", "yyyy-MM-dd HH:mm:ss"))
 
 

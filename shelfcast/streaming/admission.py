@@ -58,20 +58,38 @@ def verdicts(spark: SparkSession, path: str, key: str, ask_id: str) -> DataFrame
     return rows.groupBy(key, ask_id).agg(newest).select(key, ask_id, "_newest.*")
 
 
-def sliding_usage(
+def usage_stream(
     log: DataFrame,
     key: str,
     time: str,
+    path: str,
+    checkpoint: str,
     length: str = "24 hours",
     slide: str = "1 hour",
-    lateness: str = "10 minutes",
-) -> DataFrame:
-    """Rows per key in sliding windows. A row later than ``lateness`` behind the newest
-    may be left out of windows that are already closed."""
+) -> StreamingQuery:
+    """Count rows per key in sliding windows as they arrive, in any order.
+
+    Every micro-batch writes its own counts, and :func:`sliding_usage` adds them up. So a row
+    counts however late it is, and no state is kept. A batch that is repeated replaces its
+    own folder.
+    """
+
+    def count(batch: DataFrame, number: int) -> None:
+        moment = F.col(time).cast("timestamp")
+        counts = batch.groupBy(F.window(moment, length, slide), key).agg(F.count("*").alias("used"))
+        counts.select(key, F.col("window.end").alias("until"), "used").write.mode(
+            "overwrite"
+        ).parquet(f"{path}/_round={number}")
+
     return (
-        log.withColumn(time, F.col(time).cast("timestamp"))
-        .withWatermark(time, lateness)
-        .groupBy(F.window(time, length, slide), key)
-        .agg(F.count("*").alias("used"))
-        .select(key, F.col("window.end").alias("until"), "used")
+        log.writeStream.foreachBatch(count)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
+
+
+def sliding_usage(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """Rows per key and window end ``until`` over all micro-batches of :func:`usage_stream`."""
+    counts = spark.read.parquet(f"{path}/_round=*")
+    return counts.groupBy(key, "until").agg(F.sum("used").alias("used"))

@@ -36,20 +36,17 @@ def replay_state(
     path: str,
     checkpoint: str,
     batch_days: int = 1,
-    lateness: str = "2 days",
     name: str = "replay_cards",
 ) -> StreamingQuery:
     """State per series and batch of ``batch_days`` consecutive days, each batch alone.
 
     Batches are tumbling windows that start at the first day, so it does not matter how
-    files fall into micro-batches. Days may arrive up to ``lateness`` behind the newest
-    one; older windows leave the state.
+    files fall into micro-batches, and a day counts however late it arrives: there is no
+    watermark. The state is one row per flagged series and batch.
     """
     offset = (first - _EPOCH).days % batch_days
-    moment = F.col("date").cast("timestamp")
-    timed = scored.withColumn("_at", moment).withWatermark("_at", lateness)
-    span = F.window("_at", f"{batch_days} days", startTime=f"{offset} days")
-    state = cards.latest_state(timed.withColumn("_span", span), ["_span"])
+    span = F.window(F.col("date").cast("timestamp"), f"{batch_days} days", startTime=f"{offset} days")
+    state = cards.latest_state(scored.withColumn("_span", span), ["_span"])
     batch = F.floor(F.datediff(F.col("_span.start"), F.lit(first)) / batch_days).cast("int")
     return update_table(state.withColumn("batch", batch).drop("_span"), path, checkpoint, name)
 

@@ -141,3 +141,17 @@ def test_learners_and_scoring_run(spark, tmp_path):
     upper = forecast.fit_quantile_forecast(train, rounds=10, depth=3, step=0.3, min_rows=5)
     cover = upper.predict(train).agg(F.avg((F.col("sales") <= F.col("p90_forecast")).cast("int")))
     assert 0.84 <= cover.first()[0] <= 0.97
+
+
+def test_forest_samples_at_every_size(spark):
+    """One rule of drawing: full trees of different rows, whatever the number of rows."""
+    trees, size = 20, 32
+    for total in (32, 45, 100, 700, 4000):
+        rows = spark.range(total).select(F.col("id").alias("k"))
+        drawn = isolation.draw_samples(rows, ["k"], trees, size, total, 1)
+        got = drawn.groupBy("tree").agg(
+            F.count("*").alias("n"), F.count_distinct("k").alias("different")
+        ).collect()
+        assert sorted(r.tree for r in got) == list(range(trees))
+        assert all(r.n == r.different for r in got)
+        assert all(r.n == size for r in got) if total <= 100 else all(r.n > size // 2 for r in got)

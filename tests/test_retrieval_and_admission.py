@@ -1,3 +1,4 @@
+from collections import Counter
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -152,3 +153,28 @@ def test_admission_stream_equals_batch(spark, tmp_path):
         got.setdefault(r.user, []).append(r.refused_by)
     assert got["u"] == list(one_by_one(times))
     assert got["v"] == list(one_by_one(times[::7]))
+
+
+def test_usage_stream_counts_late_rows(spark, tmp_path):
+    """One file per batch, the newest first: every row counts in both of its windows."""
+    for number, second in enumerate([500_000, 100, 43_300, 100]):
+        rows = spark.createDataFrame([("u", number, second)], "k string, i long, s long")
+        rows.select("k", "i", F.timestamp_seconds("s").alias("at")).coalesce(1).write.parquet(
+            f"{tmp_path}/in/part={number}"
+        )
+    stream = sinks.read_files(
+        spark, f"{tmp_path}/in/*", "k string, i long, at timestamp", files_per_trigger=1
+    )
+    admission_streams.usage_stream(
+        stream, "k", "at", f"{tmp_path}/out", f"{tmp_path}/mark", slide="12 hours"
+    ).awaitTermination()
+    got = {
+        r.until: r.used
+        for r in admission_streams.sliding_usage(spark, f"{tmp_path}/out", "k")
+        .select(F.unix_timestamp("until").alias("until"), "used").collect()
+    }
+    want = Counter()
+    for second in [500_000, 100, 43_300, 100]:
+        end = (second // 43_200 + 1) * 43_200
+        want.update([end, end + 43_200])
+    assert got == want
