@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from shelfcast.llm.common import Vocabulary, byte_words, crc_of_id, mixed, runs,
 BASE = 1.5  # of the quantisation: level j stands for counts from BASE ** (j - 1)
 BITS_PER_ENTRY = 14.0
 PROBES = 6  # bits of one 64-bit word that an entry sets
-MAX_FILTER_MB = 256
+MAX_FILTER_MB = 256  # of filter segments broadcast at a time
 SEGMENTS = 256
 HEAVY = 1 << 20  # tokens with at least 1 / HEAVY of all occurrences are looked up by broadcast
 HOT_CONTEXTS = 64  # contexts with at least 1 / HOT_CONTEXTS of all tokens are split over segments
@@ -99,10 +100,11 @@ def build_segment(keys: np.ndarray, counts: np.ndarray, bits_per_entry: float, p
 
 
 class LogFrequencyFilter:
-    """All segments laid end to end. ``count`` probes level after level until one is missing, so
+    """All segments laid end to end; ``held`` tells which are there. ``count`` probes level after level until one is missing, so
     its answer is never below the quantised count, and above it with a small known chance."""
 
-    def __init__(self, segments: list[np.ndarray], probes: int):
+    def __init__(self, segments: list[np.ndarray], probes: int, held: np.ndarray | None = None):
+        self.held = np.ones(len(segments), bool) if held is None else held
         self.array = np.concatenate(segments)
         self.sizes = np.array([len(s) for s in segments], np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
@@ -223,7 +225,7 @@ def _build_unigrams(bits_per_entry: float, probes: int) -> Callable:
 
 @dataclass
 class Model:
-    """What the scoring tasks get by broadcast."""
+    """What the scoring tasks of a pass get by broadcast: a group of segments of each filter."""
 
     words: LogFrequencyFilter
     pairs: LogFrequencyFilter
@@ -288,23 +290,46 @@ def _score(shared: Broadcast) -> Callable:
             direct = np.where(seen, together / scale, 0.0)
             backoff = np.where(seen, successors / scale, 1.0)
             chance = direct[inverse] + backoff[inverse] * first
-            total = np.add.reduceat(np.log10(chance), ends - lengths)
+            # A token counts in the one pass that holds the segments of its word and of its pair.
+            mine = model.words.held[(hashes % _U(SEGMENTS)).astype(np.int64)][numbers[1:]]
+            mine &= model.pairs.held[_segment(pairs, model.hot)][inverse]
+            total = np.add.reduceat(np.where(mine, np.log10(chance), 0.0), ends - lengths)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(lengths), pa.array(total),
+                [batch.column("doc_id"), batch.column("digest"), batch.column("held_out"), pa.array(lengths), pa.array(total),
                  pa.array(base), pa.array(known),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes[rows[1]].view(np.int64))),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(repeats))],
-                ["doc_id", "held_out", "n_tokens", "score", "log_sum", "known", "rare", "times"])
+                ["doc_id", "digest", "held_out", "n_tokens", "score", "log_sum", "known", "rare", "times"])
 
     return score
 
 
-def _segments(rows: list, probes: int) -> LogFrequencyFilter:
+def _load(segments: DataFrame, group: list[int], probes: int) -> LogFrequencyFilter:
+    """The filter of a group of segments; the others are empty and marked as not held."""
     arrays = [np.zeros(1, np.uint64)] * SEGMENTS
-    for r in rows:
-        if r["bits"] is not None:
-            arrays[r["segment"]] = np.frombuffer(bytes(r["bits"]), np.uint64)
-    return LogFrequencyFilter(arrays, probes)
+    for r in segments.filter(F.col("segment").isin(group) & F.col("bits").isNotNull()).select("segment", "bits").collect():
+        arrays[r["segment"]] = np.frombuffer(bytes(r["bits"]), np.uint64)
+    return LogFrequencyFilter(arrays, probes, np.isin(np.arange(SEGMENTS), group))
+
+
+def _sizes(segments: DataFrame) -> np.ndarray:
+    """Bytes of each segment."""
+    sizes = np.zeros(SEGMENTS, np.int64)
+    for r in segments.filter(F.col("bits").isNotNull()).select("segment", F.octet_length("bits").alias("n")).collect():
+        sizes[r["segment"]] = r["n"]
+    return sizes
+
+
+def packed(sizes: np.ndarray, room: float) -> list[list[int]]:
+    """All segments in groups of neighbours that hold ``room`` bytes at most, or one segment."""
+    groups, filled = [[]], 0
+    for segment, size in enumerate(sizes.tolist()):
+        if groups[-1] and filled + size > room:
+            groups.append([])
+            filled = 0
+        groups[-1].append(segment)
+        filled += size
+    return groups
 
 
 def score_documents(spark: SparkSession, docs: DataFrame, *, modulus: int = 7, held_remainder: int = 2,
@@ -322,9 +347,10 @@ def score_documents(spark: SparkSession, docs: DataFrame, *, modulus: int = 7, h
     with their numbers of tokens and of distinct successors. Scoring probes levels until one
     is missing, and interpolates pair and word estimates after Witten and Bell.
 
-    Filters of ``bits_per_entry`` bits per entry are broadcast. Their size has a bound: with
-    more entries than ``max_filter_mb`` holds at that rate, every entry keeps its place and gets
-    fewer bits, so that the error rate rises; nothing is left out. The exact counts of the base
+    Filters have ``bits_per_entry`` bits per entry at every size of the input. They are broadcast
+    in groups of segments of ``max_filter_mb`` together, one pass over the texts for each: a
+    token is scored in the pass that holds the segments of its word and of its pair, and the
+    parts of a text are added up by id and digest. The exact counts of the base
     score are broadcast for tokens with at least 1 / ``heavy`` of all occurrences, of which
     there are ``heavy`` at most; all others are joined by hash.
 
@@ -334,12 +360,11 @@ def score_documents(spark: SparkSession, docs: DataFrame, *, modulus: int = 7, h
     """
     read = docs.select(
         F.col("doc_id"), (crc_of_id(F.col("doc_id")) % modulus == held_remainder).alias("held_out"),
-        text_bytes(F.col("text")).alias("bytes"))
+        text_bytes(F.col("text")).alias("bytes")).withColumn("digest", F.xxhash64("bytes"))
     train = read.filter(~F.col("held_out")).select("bytes")
     counts = stage(spark, train.mapInArrow(_count_words, "h long, n long").groupBy("h").agg(
         F.sum("n").alias("n")), "lm-words")
-    sums = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"),
-                      F.sum(F.floor(F.log(BASE, F.col("n"))) + 1).alias("levels")).first()
+    sums = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     total, distinct = int(sums["n"] or 0), int(sums["v"])
     frequent = counts.filter(F.col("n") * heavy >= total).toPandas()
     order = np.argsort(frequent["h"].to_numpy(np.int64).view(np.uint64))
@@ -347,33 +372,46 @@ def score_documents(spark: SparkSession, docs: DataFrame, *, modulus: int = 7, h
     heavy_counts = frequent["n"].to_numpy(np.int64)[order]
     hot = np.unique(heavy_hashes[heavy_counts * HOT_CONTEXTS >= max(total, 1)] >> CONTEXT_BITS)
 
-    # A bound on the entries: every token adds one level of its pair at most, and every context
-    # has two counts. Half the room is the words' share at most.
-    room = max_filter_mb * 8e6
-    word_bits = min(bits_per_entry, room / 4 / max(1, int(sums["levels"] or 0)))
-    pair_bits = min(bits_per_entry, room * 3 / 4 / max(1, total + 2 * int(sums["levels"] or 0)))
-    pairs = train.mapInArrow(_count_pairs(hot), "segment int, keys binary, counts binary").repartition("segment").mapInArrow(
-        _build(hot, pair_bits, probes),
-        "segment int, bits binary, context long, tokens long, successors long")
-    word_rows = counts.repartition(F.pmod("h", F.lit(SEGMENTS))).mapInArrow(
-        _build_unigrams(word_bits, probes), "segment int, bits binary").collect()
-    pair_rows = pairs.collect()
-    split = {}
-    for r in pair_rows:
-        if r["context"] is not None:
-            t, s = split.get(r["context"], (0, 0))
-            split[r["context"]] = (t + r["tokens"], s + r["successors"])
+    pair_segments = stage(spark, train.mapInArrow(
+        _count_pairs(hot), "segment int, keys binary, counts binary").repartition("segment").mapInArrow(
+        _build(hot, bits_per_entry, probes),
+        "segment int, bits binary, context long, tokens long, successors long"), "lm-pair-segments")
+    word_segments = stage(spark, counts.repartition(F.pmod("h", F.lit(SEGMENTS))).mapInArrow(
+        _build_unigrams(bits_per_entry, probes), "segment int, bits binary"), "lm-word-segments")
+    split = {r["context"]: (r["tokens"], r["successors"]) for r in pair_segments.filter(
+        F.col("context").isNotNull()).groupBy("context").agg(
+        F.sum("tokens").alias("tokens"), F.sum("successors").alias("successors")).collect()}
     hot_known = np.array(sorted(split), np.uint64)
-    model = Model(
-        _segments(word_rows, probes), _segments(pair_rows, probes), hot_known,
-        np.array([split[int(c)][0] for c in hot_known], float), np.array([split[int(c)][1] for c in hot_known], float),
-        heavy_hashes, heavy_counts, total, distinct)
-    del word_rows, pair_rows
-    shared = spark.sparkContext.broadcast(model)
-    scored = stage(spark, read.mapInArrow(
-        _score(shared), "doc_id " + docs.schema["doc_id"].dataType.simpleString()
-        + ", held_out boolean, n_tokens long, score double, log_sum double, known long, rare array<long>, times array<long>"
-    ).withColumn("row", F.monotonically_increasing_id()), "lm-scored")
+    hot_tokens, hot_successors = (np.array([split[int(c)][i] for c in hot_known], float) for i in (0, 1))
+    room = max_filter_mb * 1e6
+    word_sizes, pair_sizes = _sizes(word_segments), _sizes(pair_segments)
+    word_groups = packed(word_sizes, max(room / 4, room - pair_sizes.sum()))
+    pair_room = room - max(word_sizes[group].sum() for group in word_groups)
+    passes = [(w, p) for w in word_groups for p in packed(pair_sizes, pair_room)]
+
+    def scored_by(words: list[int], pairs: list[int]) -> tuple[DataFrame, Broadcast]:
+        shared = spark.sparkContext.broadcast(Model(
+            _load(word_segments, words, probes), _load(pair_segments, pairs, probes),
+            hot_known, hot_tokens, hot_successors, heavy_hashes, heavy_counts, total, distinct))
+        return read.mapInArrow(_score(shared), (
+            "doc_id " + docs.schema["doc_id"].dataType.simpleString() + ", digest long, held_out boolean, n_tokens long, "
+            "score double, log_sum double, known long, rare array<long>, times array<long>")), shared
+
+    first, shared = scored_by(*passes[0])
+    scored = stage(spark, first.withColumn("row", F.monotonically_increasing_id()), "lm-scored")
+    shared.destroy()
+    later = []
+    for words, pairs in passes[1:]:
+        part, shared = scored_by(words, pairs)
+        # Rows that repeat an id and a text have the same part.
+        later.append(stage(spark, part.groupBy("doc_id", "digest").agg(F.max("score").alias("part")), "lm-pass"))
+        shared.destroy()
+    if later:
+        parts = reduce(DataFrame.unionAll, later).groupBy(F.col("doc_id").alias("i"), F.col("digest").alias("d")).agg(
+            F.sum("part").alias("part"))
+        scored = stage(spark, scored.join(
+            parts, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("digest") == F.col("d")), "left").withColumn(
+            "score", F.col("score") + F.col("part")).drop("i", "d", "part"), "lm-whole")
     listed = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
         "row", F.col("x.rare").alias("h"), F.col("x.times").alias("times"))
     joined = listed.join(counts, "h").groupBy("row").agg(

@@ -69,6 +69,40 @@ def test_language_model(spark, docs, rows, empty):
     assert lm_score.score_documents(spark, empty).count() == 0
 
 
+def test_language_model_in_passes(spark, docs, rows):
+    """Probabilities by exact quantised counts, in one pass and where the filters exceed the room."""
+    words, pairs = Counter(), Counter()
+    for i, t, *_ in rows:
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            own = [*tokens(t), b"\n"]
+            words.update(own)
+            pairs.update(zip([b"\n", *own], own))
+    total, context, successors = sum(words.values()), Counter(), Counter()
+    for (c, _), n in pairs.items():
+        context[c] += n
+        successors[c] += 1
+    hot = {w for w, n in words.items() if 64 * n >= total}
+
+    def held(n):
+        return lm_score.ESTIMATE[int(lm_score.levels(np.array([n]))[0])] if n else 0.0
+
+    texts, want = {r[0]: r[1] for r in rows}, {}
+    for i, t in texts.items():
+        own, want[i] = [*tokens(t), b"\n"], 0.0
+        for c, w in zip([b"\n", *own], own):
+            first = (min(held(words[w]), total) + 1) / (total + len(words) + 1)
+            n, s = (context[c], successors[c]) if c in hot else (held(context[c]), held(successors[c]))
+            s = min(s, n)
+            want[i] += math.log10((min(held(pairs[c, w]), n) + s * first) / (n + s) if n else first)
+    small = 0.008  # MB, several passes over words and pairs
+    for most in (256, small):
+        got = lm_score.score_documents(spark, docs, max_filter_mb=most).collect()
+        assert len(got) == len(rows)
+        off = [abs(r.score - want[r.doc_id]) / r.n_tokens for r in got]
+        assert sum(off) / len(off) < 0.02 and max(off) < 0.3
+    assert lm_score.packed(np.array([3, 3, 9, 1, 1]), 6) == [[0, 1], [2], [3, 4]]
+
+
 def test_filter_holds_quantised_counts():
     keys = lm_score.mixed(np.arange(5000, dtype=np.uint64))
     counts = np.arange(5000) % 90 + 1
