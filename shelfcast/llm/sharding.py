@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from shelfcast.llm.common import stage
@@ -10,6 +11,9 @@ from shelfcast.llm.common import stage
 SHARDS = 8
 # Groups are ordered by a 64-bit digest; the driver holds one sum per run of this many top bits.
 BUCKET_BITS = 16
+FINER_BITS = 8  # by which a bucket in question is split further
+LISTED = 1024  # groups of a bucket that are rather listed
+NEAR = 4  # buckets about a cut that are split before it is known which of them matter
 CELL_ROWS = 2000  # rows numbered together
 
 
@@ -39,93 +43,106 @@ def smallest_capacity(ends: np.ndarray, parts: int, low: int, high: int) -> int:
     return high
 
 
-def _coarse(ends: np.ndarray, capacity: int, parts: int, early: bool) -> bool:
-    """Feasibility with cuts only between buckets (``early``: a sure yes), or with cuts anywhere
-    (else: a sure no when False)."""
-    filled = 0
+def _walk(ends: np.ndarray, single: np.ndarray, capacity: int, parts: int, early: bool) -> tuple[list[int], list[int]]:
+    """Bytes before the end of each part, taken greedily, and the buckets that would have to be
+    known finer. ``single`` buckets hold one group. Others are cut nowhere (``early``: exact
+    cuts come no earlier) or anywhere (else: they come no later)."""
+    filled, total, places, unsure = 0, int(ends[-1]), [], []
     for _ in range(parts):
-        if filled + capacity >= ends[-1]:
-            return True
-        if early:
-            at = int(np.searchsorted(ends, filled + capacity, "right"))
-            filled = max(filled, int(ends[at - 1]) if at else 0)
-        else:
-            filled += capacity
-    return False
-
-
-def _reach(ends: np.ndarray, low: int, high: int, parts: int) -> np.ndarray:
-    """Buckets that may hold a cut for some capacity from low to high."""
-    wanted, least, most = set(), 0, 0
-    total = int(ends[-1])
-    for _ in range(parts):
-        first = int(np.searchsorted(ends, least + low, "right"))
-        last = int(np.searchsorted(ends, min(most + high, total), "left"))
-        wanted.update(range(first, min(last, len(ends) - 1) + 1))
-        least = max(least, int(ends[first - 1]) if first else 0)
-        most = min(most + high, total)
-        if least + low >= total:
-            break
-    return np.array(sorted(wanted), np.int64)
+        reach = filled + capacity
+        if reach >= total:
+            return [*places, total], unsure
+        at = int(np.searchsorted(ends, reach, "right"))
+        border = int(ends[at - 1]) if at else 0
+        if reach > border and not single[at]:
+            unsure.append(at)
+        filled = max(filled, border) if early or single[at] else reach
+        places.append(filled)
+    return places, unsure
+
+
+def _decided(ends: np.ndarray, single: np.ndarray, capacity: int, parts: int) -> bool | None:
+    """Whether ``parts`` parts of ``capacity`` hold all groups; None if the buckets do not tell."""
+    if _walk(ends, single, capacity, parts, True)[0][-1] == ends[-1]:
+        return True
+    return None if _walk(ends, single, capacity, parts, False)[0][-1] == ends[-1] else False
+
+
+def _in_question(ends: np.ndarray, single: np.ndarray, low: int, high: int, parts: int) -> list[int]:
+    """Buckets to split: where the cuts for the middle capacity fall, and those about each cut
+    for any capacity from low to high, if they are few."""
+    wanted = set()
+    for early in (True, False):
+        wanted.update(_walk(ends, single, (low + high) // 2, parts, early)[1])
+    least, most = (_walk(ends, single, c, parts, e)[0] for c, e in ((low, True), (high, False)))
+    for x, y in zip([0, *least], [0, *most]):
+        first = int(np.searchsorted(ends, x + low, "right"))
+        last = int(np.searchsorted(ends, min(y + high, int(ends[-1])), "left"))
+        if last - first < NEAR:
+            wanted.update(i for i in range(first, min(last, len(ends) - 1) + 1) if not single[i])
+    return sorted(wanted)
+
+
+def _summed(groups: DataFrame, bits: int | None) -> DataFrame:
+    """A row per bucket of this many top bits, or per group: what it holds, and its first group."""
+    by = [F.shiftright("digest", 64 - bits)] if bits else ["digest", "crc", "size"]
+    first = F.min(F.struct("digest", "crc", "size"))
+    return groups.groupBy(*by).agg(
+        first.alias("first"), F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"), F.max("bytes").alias("most")
+    ).select("first.*", F.lit(bits or 64).alias("bits"), "n", "bytes", "most")
+
+
+def _split(groups: DataFrame, buckets: pd.DataFrame) -> pd.DataFrame:
+    """The rows of finer buckets within the given ones; of single groups where those are few."""
+    listed = (buckets["n"] <= LISTED) | (buckets["bits"] + FINER_BITS > 64)
+    found = None
+    for (bits, single), part in buckets.groupby([buckets["bits"], listed]):
+        bits = int(bits)
+        tops = [int(x) >> (64 - bits) for x in part["digest"]]
+        inside = groups.filter(F.shiftright("digest", 64 - bits).isin(tops))
+        sums = _summed(inside, None if single else bits + FINER_BITS)
+        found = sums if found is None else found.unionAll(sums)
+    fetched = found.toPandas()
+    bound = np.where(listed, buckets["n"], 1 << FINER_BITS).sum()
+    assert len(fetched) <= bound, f"{len(fetched)} rows of {len(buckets)} buckets"
+    return fetched
 
 
 def minimax_cuts(spark: SparkSession, groups: DataFrame, parts: int) -> tuple[int, list[tuple]]:
     """Smallest capacity, and the key (digest, crc, size) that opens each part after the first.
 
-    ``groups``: digest, crc, size, bytes, bucket. The driver gets one sum per bucket (65,536 at
-    most), which brackets the capacity. Then it gets the groups of the few buckets in which a
-    cut can fall under a capacity within the bracket, and searches there exactly.
+    ``groups``: digest, crc, size, bytes. The driver gets one sum per bucket of digests (65,536
+    at most) and searches the capacity. Where the sums do not tell whether a capacity will do,
+    the buckets in which its cuts fall are split by more bits of the digest, in the end into
+    single groups: a few per part in a round, however many documents and however large a group.
     """
-    sums = groups.groupBy("bucket").agg(
-        F.sum("bytes").alias("bytes"), F.max("bytes").alias("most")).toPandas().sort_values("bucket")
-    if not len(sums):
+    known = _summed(groups, BUCKET_BITS).toPandas()
+    if not len(known):
         return 0, []
-    names = sums["bucket"].to_numpy(np.int64)
-    ends = np.cumsum(sums["bytes"].to_numpy(np.int64))
-    total, most = int(ends[-1]), int(sums["most"].max())
+    total, most = int(known["bytes"].sum()), int(known["most"].max())
     low = max(-(-total // parts), most) - 1  # sure to fail
     high = -(-total // parts) + most  # sure to do
-    # Both bounds move as far as the bucket sums can prove.
-    sure_no, sure_yes = low, high
-    while sure_yes - sure_no > 1:
-        middle = (sure_no + sure_yes) // 2
-        if _coarse(ends, middle, parts, early=True):
-            sure_yes = middle
-        elif not _coarse(ends, middle, parts, early=False):
-            sure_no = middle
-        else:
-            # undecided: narrow each side by itself
-            a, b = sure_no, middle
-            while b - a > 1:
-                c = (a + b) // 2
-                a, b = (a, c) if _coarse(ends, c, parts, early=False) else (c, b)
-            sure_no = a
-            a, b = middle, sure_yes
-            while b - a > 1:
-                c = (a + b) // 2
-                a, b = (a, c) if _coarse(ends, c, parts, early=True) else (c, b)
-            sure_yes = b
-            break
-    reach = _reach(ends, sure_no + 1, sure_yes, parts)
-    fine = (
-        groups.filter(F.col("bucket").isin([int(x) for x in names[reach]]))
-        .select("bucket", "digest", "crc", "size", "bytes").toPandas()
-        .sort_values(["digest", "crc", "size"])
-    )
-    # Running totals: single groups within reach, whole buckets elsewhere.
-    pieces, keys = [], []
-    inside = {b: part for b, part in fine.groupby("bucket", sort=False)}
-    for i, name in enumerate(names):
-        if name in inside:
-            part = inside[name]
-            pieces.append(part["bytes"].to_numpy(np.int64))
-            keys.extend(part[["digest", "crc", "size"]].itertuples(index=False, name=None))
-        else:
-            pieces.append(np.array([ends[i] - (ends[i - 1] if i else 0)], np.int64))
-            keys.append((int(name - (1 << (BUCKET_BITS - 1))) << (64 - BUCKET_BITS), -1, -1))
-    totals = np.cumsum(np.concatenate(pieces))
-    capacity = smallest_capacity(totals, parts, sure_no, sure_yes)
-    return capacity, [tuple(int(x) for x in keys[at]) for at in greedy(totals, capacity, parts)]
+    while True:
+        known = known.sort_values(["digest", "crc", "size"], ignore_index=True)
+        ends = np.cumsum(known["bytes"].to_numpy(np.int64))
+        single = known["n"].to_numpy() == 1
+        # Both bounds move as far as the sums can prove.
+        fails, does = (low, high), (low, high)
+        while fails[1] - fails[0] > 1:
+            middle = sum(fails) // 2
+            fails = (middle, fails[1]) if _decided(ends, single, middle, parts) is False else (fails[0], middle)
+        while does[1] - does[0] > 1:
+            middle = sum(does) // 2
+            does = (does[0], middle) if _decided(ends, single, middle, parts) else (middle, does[1])
+        low, high = fails[0], does[1]
+        if high - low == 1:
+            places, _ = _walk(ends, single, high, parts, True)
+            if places == _walk(ends, single, high, parts, False)[0]:
+                break
+        wanted = _in_question(ends, single, low + 1, high, parts)
+        known = pd.concat([known.drop(index=wanted), _split(groups, known.iloc[wanted])])
+    cuts = np.searchsorted(ends, places[:-1], "right")
+    return high, [tuple(int(known[c][at]) for c in ("digest", "crc", "size")) for at in cuts]
 
 
 def shard_documents(spark: SparkSession, docs: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -146,9 +163,8 @@ def shard_documents(spark: SparkSession, docs: DataFrame, shards: int = SHARDS)
     rows = stage(spark, docs.select(
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("crc"), digest.alias("digest")), "shard-rows")
-    bucket = F.shiftright("digest", 64 - BUCKET_BITS) + (1 << (BUCKET_BITS - 1))
     groups = stage(spark, rows.groupBy("digest", "crc", "size").agg(
-        F.sum("size").alias("bytes")).withColumn("bucket", bucket), "shard-groups")
+        F.sum("size").alias("bytes")), "shard-groups")
     _, cuts = minimax_cuts(spark, groups, shards)
     key = F.struct("digest", "crc", "size")
 

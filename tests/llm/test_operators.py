@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -296,6 +297,24 @@ def test_sharding(spark, docs, rows, empty):
     assert sharding.shard_documents(spark, empty).count() == 0
 
 
+@pytest.mark.parametrize("offset", [0.03, 0.2, 0.55])
+def test_sharding_with_a_giant_group(spark, monkeypatch, offset):
+    """The cuts of all groups in one list, from a small share of them."""
+    monkeypatch.setattr(sharding, "BUCKET_BITS", 12)
+    rng, n = np.random.default_rng(8), 20000
+    digests = np.sort(rng.integers(-2**63, 2**63, n))
+    sizes = rng.integers(50, 5000, n)
+    sizes[int(offset * n)] = sizes.sum() // 2
+    table = pd.DataFrame({"digest": digests, "crc": 1, "size": 2, "bytes": sizes, "bucket": (digests >> 52) + 2048})
+    groups, fetched, plain = spark.createDataFrame(table), [], type(spark.range(0)).toPandas
+    monkeypatch.setattr(type(groups), "toPandas", lambda df: fetched.append(plain(df)) or fetched[-1])
+    capacity, cuts = sharding.minimax_cuts(spark, groups, 8)
+    ends = np.cumsum(sizes)
+    assert capacity == sharding.smallest_capacity(ends, 8, 0, int(ends[-1]))
+    assert cuts == [(int(digests[at]), 1, 2) for at in sharding.greedy(ends, capacity, 8)]
+    assert sum(len(x) for x in fetched[1:]) < n // 20
+
+
 def test_smallest_capacity():
     rng = random.Random(5)
     for _ in range(60):
