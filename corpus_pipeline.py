@@ -12,6 +12,8 @@ from shelfcast.llm import decontaminate, mixing, near_dedup, quality, token_outp
 from shelfcast.llm.common import stage
 from shelfcast.session import scratch_path
 
+SHINGLE = 5  # words; op4_near_dedup by itself has four
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -24,8 +26,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return near_dedup.distinct_documents(spark, docs)
+    """One document of each group of near copies, by shingles of ``SHINGLE`` words."""
+    return near_dedup.distinct_documents(spark, docs, width=SHINGLE)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

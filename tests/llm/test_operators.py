@@ -11,6 +11,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from shelfcast.llm import (
     decontaminate, line_dedup, lm_score, mixing, near_dedup, quality, sharding, token_count, token_output, topk_search,
 )
@@ -194,6 +195,25 @@ def test_near_duplicates(spark, docs, rows, empty, monkeypatch):
     assert near_dedup.near_duplicates(spark, empty).count() == 0
 
 
+def test_near_dedup_stage_takes_five_words(spark):
+    rng = random.Random(7)
+    one = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    texts = {1: one}
+    for i, changes in ((2, 3), (3, 5), (4, 12)):  # similarity by five words about 0.86, 0.78, 0.54
+        texts[i] = [f"x{i}" if k % (200 // changes) == 10 and k < 200 // changes * changes else w for k, w in enumerate(one)]
+    texts[5], texts[6] = texts[3][:], [f"v{k}" for k in range(50)]
+    fifths, fourths = ({i: {tuple(t[k : k + n]) for k in range(len(t) - n + 1)} for i, t in texts.items()} for n in (5, 4))
+    for i in (3, 5):  # a pair between the two limits
+        assert 100 * len(fifths[1] & fifths[i]) < 80 * len(fifths[1] | fifths[i])
+        assert 100 * len(fourths[1] & fourths[i]) >= 80 * len(fourths[1] | fourths[i])
+    texts.pop(2)  # it would link the two
+    fifths.pop(2)
+    want = linked_groups(fifths, 80)
+    table = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    kept = corpus_pipeline.keep_one_of_each(spark, table, "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i in want if want[i] == i) == [1, 3, 4, 6]
+
+
 def test_fuzzy_lines(spark, rows, empty, monkeypatch):
     rng = random.Random(3)
     lines = [words(rng, rng.randrange(3, 40)) for _ in range(20)]
