@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from shelfcast.llm.common import WORD, stage
+from shelfcast.llm.common import SPACE_CHARS, WORD, stage
 
 WEIGHTS = (5, 2, 1)  # by source in code point order, repeating
 SHARE = 1.5  # words of the mix, as a share of all words
@@ -14,6 +14,7 @@ EPOCHS = 2  # a document is taken this often at most
 BLOCK = 64  # words
 SHARD_WORDS = 1 << 18
 SEED = 20
+_WITH_SPACE = WORD + "[\\x20\\x09-\\x0D]*"  # a word and the white space after it
 
 
 def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
@@ -95,8 +96,9 @@ def draw(spark: SparkSession, docs: DataFrame, *, weights: Sequence[float] = WEI
          whole_rows: bool = False) -> DataFrame:
     """How many words of each document the mix takes.
 
-    Returns a row per document: doc_id, size, source_size, target, taken; with
-    ``whole_rows`` also the input row as a struct ``row``. Each source gets whole blocks of equal words by Sainte-Lague, in proportion to its
+    Returns a row per document: doc_id, size, source_size, target, taken; with ``whole_rows``
+    also the input row as a struct ``row``, and ``spans``, the runs of words taken: an array of
+    (from, to), from 0, without the word at ``to``. Each source gets whole blocks of equal words by Sainte-Lague, in proportion to its
     target. Within a source, documents are dealt by a seeded hash to shards of about
     ``shard_words`` words, and its blocks are shared among the shards in the same way. A shard
     lays its documents end to end in seeded order, starts at a seeded block and takes as many
@@ -106,9 +108,9 @@ def draw(spark: SparkSession, docs: DataFrame, *, weights: Sequence[float] = WEI
     A null text has size 0; the null source is a source, the last one. Documents without words
     take 0. Repeated rows are rows of their own. Empty tables give empty results.
     """
-    keep = ["row"] if whole_rows else []
+    keep = ["row", "spans"] if whole_rows else []
     rows = stage(spark, docs.select(
-        "doc_id", "source", *[F.struct(*docs.columns).alias(c) for c in keep],
+        "doc_id", "source", *[F.struct(*docs.columns).alias(c) for c in keep[:1]],
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.xxhash64(F.lit(seed), "doc_id", "text").alias("place"),
     ), "mix-rows")
@@ -139,30 +141,36 @@ def draw(spark: SparkSession, docs: DataFrame, *, weights: Sequence[float] = WEI
         .withColumn("start", first)
         .withColumn("end", F.col("start") + F.col("wanted") - F.col("whole") * F.col("words"))
     )
-    ahead = F.greatest(F.lit(0), F.least("b", "end") - F.greatest("a", "start"))
-    round_ = F.greatest(F.lit(0), F.least("b", F.col("end") - F.col("words")) - F.col("a"))
+    low, high = F.greatest("a", "start"), F.least("b", "end")
+    back = F.least("b", F.col("end") - F.col("words"))
+    ahead = F.greatest(F.lit(0), high - low)
+    round_ = F.greatest(F.lit(0), back - F.col("a"))
     taken = F.col("whole") * F.col("size") + ahead + round_
+
+    def span(begin: Column, end: Column) -> Column:
+        return F.struct(begin.cast("long").alias("from"), end.cast("long").alias("to"))
+
+    spans = F.concat(
+        F.array_repeat(span(F.lit(0), F.col("size")), F.col("whole").cast("int")),
+        F.array(span(F.lit(0), back - F.col("a")), span(low - F.col("a"), high - F.col("a"))))
+    laid = laid.withColumn("spans", F.filter(spans, lambda x: x["to"] > x["from"]))
     return laid.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), *keep)
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, **settings) -> DataFrame:
-    """The documents of the mix: each as often as it is taken whole, and once more cut to its
-    first words, joined by single spaces, where it is taken in part. Same columns as ``docs``.
+    """The documents of the mix: each as often as it is taken whole, and one more row for each
+    run of words taken in part: these words of the text, with the white space between them.
+    Same columns as ``docs``.
 
     The text length column ``n_chars`` follows a cut text. Documents of which nothing is taken
     are left out.
     """
     drawn = draw(spark, docs, whole_rows=True, **settings)
-    copies = F.floor(F.col("taken") / F.greatest("size", F.lit(1))).cast("int")
-    rest = F.col("taken") - copies * F.col("size")
-    parts = F.concat(
-        F.when(copies > 0, F.array_repeat(F.lit(None).cast("long"), copies)).otherwise(
-            F.array().cast("array<bigint>")),
-        F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))
-    words = F.regexp_extract_all("row.text", F.lit(WORD), F.lit(0))
-    cut = F.array_join(F.slice(words, 1, F.col("part").cast("int")), " ")
-    out = drawn.withColumn("part", F.explode(parts)).withColumn(
-        "cut", F.when(F.col("part").isNotNull(), cut))
+    out = drawn.withColumn("span", F.explode("spans"))
+    first, n = F.col("span.from"), F.col("span.to") - F.col("span.from")
+    words = F.regexp_extract_all("row.text", F.lit(_WITH_SPACE), F.lit(0))
+    cut = F.rtrim(F.array_join(F.slice(words, (first + 1).cast("int"), n.cast("int")), ""), F.lit(SPACE_CHARS))
+    out = out.withColumn("cut", F.when(n < F.col("size"), cut))
     final = {"text": F.coalesce("cut", "row.text")}
     if "n_chars" in docs.columns:
         final["n_chars"] = F.coalesce(

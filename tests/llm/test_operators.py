@@ -402,3 +402,29 @@ def test_mixing(spark, docs, rows, empty):
     assert copies.columns == docs.columns
     assert sum(len(tokens(r.text)) for r in copies.collect()) == sum(taken.values())
     assert mixing.draw(spark, empty).count() == 0
+
+
+def test_mixed_texts_are_the_spans_drawn(spark, docs):
+    rng, n = random.Random(10), 403
+    text = "\n " + "".join(f"w{i}{rng.choice([' ', chr(10), '  ', chr(9), chr(10) * 2])}" for i in range(n))
+    table = spark.createDataFrame([(1, text, "en", "s", len(text), 7, 8, 9)], SCHEMA)
+    starts = set()
+    for seed, share, copies in ((0, 0.5, 0), (1, 0.5, 0), (2, 1.3, 1)):
+        settings = dict(block=4, share=share, seed=seed)
+        drawn = mixing.draw(spark, table, whole_rows=True, **settings).first()
+        got = [r for r in mixing.mixed_documents(spark, table, **settings).collect()]
+        assert sum(r.text == text for r in got) == copies
+        parts = [r.text for r in got if r.text != text]
+        assert all(p in text and r.n_chars == len(r.text) for p, r in zip(parts, got))
+        cuts = sorted([int(x[1:]) for x in p.split()] for p in parts)
+        assert all(c == list(range(c[0], c[-1] + 1)) for c in cuts)
+        assert cuts == sorted(list(range(s["from"], s["to"])) for s in drawn.spans if s["to"] - s["from"] < n)
+        assert sum(map(len, cuts)) + copies * n == drawn.taken
+        # one run of blocks, round the end if need be
+        assert len(cuts) == 1 or (len(cuts) == 2 and cuts[0][0] == 0 and cuts[1][-1] == n - 1)
+        assert cuts[-1][0] % 4 == 0
+        starts.add(cuts[-1][0])
+    assert len(starts) > 1
+    for r in mixing.draw(spark, docs, block=4, shard_words=500, whole_rows=True).collect():
+        assert sum(s["to"] - s["from"] for s in r.spans) == r.taken
+        assert all(0 <= s["from"] < s["to"] <= r["size"] for s in r.spans)
