@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfcast.llm.common import Vocabulary, byte_words, components, mixed, runs, small_batches, stage, text_bytes
 
@@ -206,11 +206,11 @@ def _links_of_clusters(percent: int) -> Callable:
 
 
 def _links_to_pivots(percent: int) -> Callable:
-    """Verified links between a block's members, which come first, and pivots, one after
+    """Verified links between a block of members and a block of pivots, one pivot after
     another. Pairs that are connected already are passed over."""
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _groups(batches, ["cluster", "block"]):
+        for block in _groups(batches, ["cluster", "block", "pivot_block"]):
             members, pivots = block[~block["pivot"]], block[block["pivot"]]
             if not len(members) or not len(pivots):
                 continue
@@ -298,16 +298,30 @@ def loose_links(spark: SparkSession, classes: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def _to_pivots(members: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
-    """Links between all members of large clusters and the pivots of the same cluster, by blocks
-    of about ``CLUSTER`` members."""
+def _blocks(spark: SparkSession, members: DataFrame, pivots: DataFrame) -> DataFrame:
+    """Members of large clusters and pivots of the same cluster, both dealt into blocks of about
+    ``CLUSTER``, so that every member meets every pivot in one group (cluster, block, pivot_block)."""
+    counted = stage(spark, pivots.groupBy(F.col("cluster").alias("k")).agg(
+        F.ceil(F.count(F.lit(1)) / CLUSTER).cast("int").alias("pivot_blocks")), "nd-pivot-blocks")
     blocks = F.ceil(F.col("size") / CLUSTER).cast("int")
-    held = members.select("cluster", F.pmod(F.xxhash64("class", F.lit(7)), blocks).cast("int").alias("block"),
-                          F.lit(False).alias("pivot"), "class", "root", "sketch", "members")
-    dealt = pivots.select("cluster", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"),
-                          F.lit(True).alias("pivot"), "class", "root", "sketch", "members")
+
+    def dealt(rows: DataFrame, block: Column, pivot_block: Column, pivot: bool) -> DataFrame:
+        return rows.join(counted, F.col("cluster") == F.col("k")).withColumn("block", block).withColumn(
+            "pivot_block", pivot_block).select(
+            "cluster", "block", "pivot_block", F.lit(pivot).alias("pivot"), "class", "root", "sketch", "members")
+
+    held = dealt(members, F.pmod(F.xxhash64("class", F.lit(7)), blocks).cast("int"),
+                 F.explode(F.sequence(F.lit(0), F.col("pivot_blocks") - 1)), False)
+    met = dealt(pivots, F.explode(F.sequence(F.lit(0), blocks - 1)),
+                F.pmod(F.xxhash64("class", F.lit(11)), F.col("pivot_blocks")).cast("int"), True)
+    return held.unionAll(met)
+
+
+def _to_pivots(spark: SparkSession, members: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
+    """Links between all members of large clusters and the pivots of the same cluster."""
     return (
-        held.unionAll(dealt).repartition("cluster", "block").sortWithinPartitions("cluster", "block")
+        _blocks(spark, members, pivots).repartition("cluster", "block", "pivot_block")
+        .sortWithinPartitions("cluster", "block", "pivot_block")
         .mapInArrow(_links_to_pivots(percent), "a long, b long")
     )
 
@@ -322,7 +336,7 @@ def _large_links(spark: SparkSession, members: DataFrame, percent: int) -> DataF
     share = F.ceil(F.col("size") / PIVOTS)
     pivots = members.filter(F.pmod(F.xxhash64("class", F.lit(3)), share) == 0)
     alone = [x.withColumn("root", F.col("class")) for x in (members, pivots)]
-    first = stage(spark, _to_pivots(*alone, percent), "nd-first")
+    first = stage(spark, _to_pivots(spark, *alone, percent), "nd-first")
     roots = stage(spark, components(spark, first), "nd-roots")
     rooted = members.join(roots, F.col("class") == F.col("node"), "left").withColumn(
         "root", F.coalesce("root", "class")).drop("node")
@@ -330,7 +344,7 @@ def _large_links(spark: SparkSession, members: DataFrame, percent: int) -> DataF
     largest = stage(spark, rooted.groupBy("cluster", "root").count().groupBy(F.col("cluster").alias("k")).agg(
         F.max_by("root", F.struct("count", "root")).alias("main")), "nd-main")
     outside = rooted.join(largest, (F.col("cluster") == F.col("k")) & (F.col("root") == F.col("main")), "left_anti")
-    return first.unionAll(stage(spark, _to_pivots(rooted, outside, percent), "nd-second"))
+    return first.unionAll(stage(spark, _to_pivots(spark, rooted, outside, percent), "nd-second"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:

@@ -195,6 +195,20 @@ def test_near_duplicates(spark, docs, rows, empty, monkeypatch):
     assert near_dedup.near_duplicates(spark, empty).count() == 0
 
 
+def test_blocks_of_pivots_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "CLUSTER", 16)
+    members = spark.createDataFrame(
+        [(i % 2, 150, i, i, b"s", b"m") for i in range(300)], "cluster long, size long, class long, root long, sketch binary, members binary")
+    pivots = members.filter("class < 200")
+    blocks = near_dedup._blocks(spark, members, pivots).collect()
+    groups = {}
+    for r in blocks:
+        groups.setdefault((r.cluster, r.block, r.pivot_block), {True: [], False: []})[r.pivot].append(r["class"])
+    assert max(len(g[x]) for g in groups.values() for x in g) <= 3 * 16  # 100 pivots of a cluster were in one
+    met = Counter(p for g in groups.values() for p in itertools.product(g[False], g[True]))
+    assert met == Counter((i, j) for i in range(300) for j in range(200) if i % 2 == j % 2)
+
+
 def test_near_dedup_stage_takes_five_words(spark):
     rng = random.Random(7)
     one = [f"w{rng.randrange(10**6)}" for _ in range(200)]
