@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfcast.llm import (
-    decontaminate, line_dedup, lm_score, mixing, near_dedup, quality, sharding, token_count, token_output, topk_search,
+    decontaminate, license_scan, line_dedup, lm_score, mixing, near_dedup, quality, sharding, token_count, token_output,
+    topk_search,
 )
+from shelfcast.llm.license_rules import RULES, SPAN
 from shelfcast.session import scratch_path
 
 
@@ -58,6 +60,10 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.draw(spark, _table(spark, folder, "documents"))
 
 
+def op11_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.license_report(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
     "op2_decontaminate": op2_decontaminate,
@@ -69,17 +75,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_token_count": op9_token_count,
     "op10_mixing": op10_mixing,
+    "op11_license_scan": op11_license_scan,
 }
 
 # Top-k by brute force; the list functions of the oracle's engine do the integer products.
 _TOP_K = """
 WITH v AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS parts
+  SELECT DISTINCT vec_id, [CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT) FOR x IN embedding] AS parts
   FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.parts, c.parts), p -> p[1] * p[2])) AS BIGINT) AS score
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([p[1] * p[2] FOR p IN list_zip(q.parts, c.parts)]) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.parts) = len(c.parts)
   WHERE q.vec_id % 50 = 0
 )
@@ -88,4 +95,46 @@ SELECT query_id, rank, vec_id, score FROM (
 ) WHERE rank <= 5
 """
 
-ORACLES: dict[str, str] = {"op7_topk_search": _TOP_K}
+
+
+def _license_sql() -> str:
+    """Every place of a gate word, joined with the rules of that word; containment by a self-join within a row."""
+    rules = ",\n".join(f"({r.rule}, '{r.label}', '{r.gate}', ' {r.pattern} ', {r.priority}, {r.confidence}, {r.base})"
+                       for r in RULES)
+    return f"""
+WITH rules(rule, label, gate, pattern, priority, confidence, base) AS (VALUES {rules}
+), d AS (
+  SELECT row_number() OVER () AS line, doc_id, [w FOR w IN regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF w <> ''] AS words
+  FROM documents
+), p AS (
+  SELECT line, words, unnest(words) AS gate, unnest(range(len(words))) AS place FROM d
+), m AS (
+  SELECT line, place, rules.*, regexp_extract(
+    concat(' ', array_to_string(words[greatest(place + 1 - {SPAN}, 1):place], ' '), CASE WHEN place > 0 THEN ' ' ELSE '' END, '<', array_to_string(words[place + 1:place + {SPAN}], ' '), ' '), pattern) AS found
+  FROM p JOIN rules USING (gate)
+), f AS (
+  SELECT *, place - (len(split_part(found, '<', 1)) - len(replace(split_part(found, '<', 1), ' ', ''))) + 1 AS begins,
+    len(found) - len(replace(found, ' ', '')) - 1 AS n
+  FROM m WHERE found <> ''
+), k AS (
+  SELECT f.*, NOT EXISTS (
+    SELECT 1 FROM f g WHERE g.line = f.line AND g.begins <= f.begins AND g.begins + g.n >= f.begins + f.n
+      AND (g.priority, -g.n, g.rule) < (f.priority, -f.n, f.rule)) AS kept
+  FROM f
+), a AS (
+  SELECT line, count(*) FILTER (base) AS n_base, min(begins) FILTER (base) AS first_word, max(begins) FILTER (base) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base OR kept) AS labels,
+    max(confidence) FILTER (kept) AS score
+  FROM k GROUP BY line
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+  CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels,
+  coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM d LEFT JOIN a USING (line)
+"""
+
+
+ORACLES: dict[str, str] = {"op7_topk_search": _TOP_K, "op11_license_scan": _license_sql()}
