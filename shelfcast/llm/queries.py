@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfcast.llm import (
-    decontaminate, license_scan, line_dedup, lm_score, mixing, near_dedup, quality, sharding, token_count, token_output,
+    decontaminate, hard_negatives, license_scan, line_dedup, lm_score, mixing, near_dedup, quality, sharding, token_count, token_output,
     topk_search,
 )
 from shelfcast.llm.license_rules import RULES, SPAN
@@ -64,6 +64,17 @@ def op11_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.license_report(_table(spark, folder, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    odd = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    vec_id, label = F.col("vec_id").cast("long"), F.col("label").cast("long")
+    rows = _table(spark, folder, "embeddings").filter(
+        F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull()).filter(~odd)
+    return hard_negatives.mine(spark, rows.select(
+        vec_id.alias("vec_id"), F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"),
+        F.transform("embedding", lambda x: F.floor(x.cast("double") * 256)).alias("parts"),
+        (vec_id % 50 == 0).alias("anchor")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
     "op2_decontaminate": op2_decontaminate,
@@ -76,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_count": op9_token_count,
     "op10_mixing": op10_mixing,
     "op11_license_scan": op11_license_scan,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 # Top-k by brute force; the list functions of the oracle's engine do the integer products.
@@ -96,6 +108,30 @@ SELECT query_id, rank, vec_id, score FROM (
 """
 
 
+_NEGATIVES = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+    [CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT) FOR x IN embedding] AS parts
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike, a.vec_id <> c.vec_id AS other,
+    CAST(list_sum([p[1] * p[2] FOR p IN list_zip(a.parts, c.parts)]) AS BIGINT) AS score
+  FROM v a JOIN v c ON len(a.parts) = len(c.parts)
+  WHERE a.vec_id % 50 = 0
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE alike AND other
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
 
 def _license_sql() -> str:
     """Every place of a gate word, joined with the rules of that word; containment by a self-join within a row."""
@@ -137,4 +173,5 @@ FROM d LEFT JOIN a USING (line)
 """
 
 
-ORACLES: dict[str, str] = {"op7_topk_search": _TOP_K, "op11_license_scan": _license_sql()}
+ORACLES: dict[str, str] = {"op7_topk_search": _TOP_K, "op11_license_scan": _license_sql(),
+                           "op12_hard_negatives": _NEGATIVES}
