@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfcast.llm import (
-    decontaminate, hard_negatives, license_scan, line_dedup, lm_score, mixing, near_dedup, quality, sharding, token_count, token_output,
-    topk_search,
+    decontaminate, hard_negatives, license_scan, line_dedup, lm_score, mixing, near_dedup, quality, sharding, token_alignment, token_count,
+    token_output, topk_search,
 )
 from shelfcast.llm.license_rules import RULES, SPAN
 from shelfcast.session import scratch_path
@@ -75,6 +75,10 @@ def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
         (vec_id % 50 == 0).alias("anchor")))
 
 
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.align_tokens(spark, _table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
     "op2_decontaminate": op2_decontaminate,
@@ -88,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
     "op11_license_scan": op11_license_scan,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 # Top-k by brute force; the list functions of the oracle's engine do the integer products.
