@@ -5,8 +5,9 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 from typing import NamedTuple
 
 import numpy as np
@@ -15,11 +16,13 @@ import pyarrow as pa
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm.common import mixed, small_batches, stage
+from shelfcast.llm.common import Vocabulary as Numbers, mixed, small_batches, stage
 
 TOKENIZER_A = "/opt/tokenizers/byte_bpe_50k.json"
 TOKENIZER_B = "/opt/tokenizers/piece_bpe_32k.model"
-BATCH_BYTES = 1 << 20  # text encoded together
+BATCH_BYTES = 1 << 22  # text read together
+RUN_LETTERS = 1 << 14  # words encoded together
+HELD_WORDS, HELD_LETTERS = 1 << 19, 1 << 24  # words a worker remembers
 HELD = 1 << 22  # pairs a task holds before it combines them
 SEGMENTS = 1024  # most parts of the pair space; a part holds V_A * V_B / SEGMENTS pairs at most
 TABLE_MB = 64  # hash, keys and counts that are broadcast at a time
@@ -152,17 +155,25 @@ class Tokenizers:
         self.names = [f"{mark}{i}" for mark in ",;|" for i in range(entries)]
         self.entries = entries
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Token ids of each text; none where the tokens do not spell space and text."""
+        # Words can be encoded apart if no piece of B holds a space after another character and A
+        # cuts words by the usual pattern before it merges.
+        made = json.loads(a_file)
+        cutter = made.get("pre_tokenizer") or {}
+        self.apart = (
+            all("▁" not in self.b.id_to_piece(i).lstrip("▁") for i in range(self.width))
+            and self.b.encode_as_pieces("a  b") == ["▁a", "▁", "▁b"] and made.get("normalizer") is None
+            and cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not cutter.get("add_prefix_space"))
+
+    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
+        """Token ids of each text, A with a space before it; None where they do not spell both."""
         spaced = [" " + text for text in texts]
-        a = [e.ids for e in self.a.encode_batch(spaced, add_special_tokens=False)]
-        b = self.b.encode(texts, num_threads=1)
-        for n, text in enumerate(spaced):
-            whole = text.encode()
-            if len(whole) == 1 or b"".join(map(self.a_bytes.__getitem__, a[n])) != whole or b"".join(
-                    map(self.b_bytes.__getitem__, b[n])) != whole:
-                a[n], b[n] = [], []
-        return a, b
+        out = []
+        for text, a, b in zip(spaced, self.a.encode_batch(spaced, add_special_tokens=False),
+                              self.b.encode(texts, num_threads=1)):
+            whole, ids = text.encode(), a.ids
+            spelled = b"".join(map(self.a_bytes.__getitem__, ids)) == whole == b"".join(map(self.b_bytes.__getitem__, b))
+            out.append((ids, b) if spelled else None)
+        return out
 
 
 def vocabulary_sizes(a_file: bytes, b_file: bytes) -> tuple[int, int]:
@@ -174,30 +185,68 @@ def vocabulary_sizes(a_file: bytes, b_file: bytes) -> tuple[int, int]:
 
 
 class Aligned(NamedTuple):
-    """Texts of a batch cut into groups; tokens and groups are numbered through the batch."""
+    """Words of a batch cut into groups; tokens and groups are numbered through the batch."""
 
-    texts: int
+    words: int
     a: np.ndarray
     b: np.ndarray
     a_group: np.ndarray
     b_group: np.ndarray
-    a_ends: np.ndarray  # tokens up to the end of each text
+    a_ends: np.ndarray  # tokens up to the end of each word
     b_ends: np.ndarray
-    group_ends: np.ndarray  # groups up to the end of each text
+    group_ends: np.ndarray  # groups up to the end of each word
+
+
+_SPACED = re.compile(r" \s")
+_INNER = re.compile(r"(?<=\S) (?=\S)")
+
 
+def cut_words(text: str) -> list[str]:
+    """A text cut at spaces that open a word, without these; both tokenizers always cut there.
 
-def align(of: Tokenizers, texts: list[str]) -> Aligned:
-    """Groups end where tokens of both end. Every text with tokens is spelled by both, so the
-    byte offsets of a batch run on from text to text."""
-    a, b = of.encode(texts)
-    a_ends, b_ends = (np.cumsum([len(x) for x in ids], dtype=np.int64) for ids in (a, b))
-    a, b = (np.fromiter(chain.from_iterable(ids), np.int64, int(ends[-1]) if len(ends) else 0)
-            for ids, ends in ((a, a_ends), (b, b_ends)))
+    A space between two other characters does, whatever white space comes before it.
+    """
+    if not text[0].isspace() and not _SPACED.search(text):
+        return text.split(" ")
+    return _INNER.split(text)
+
+
+def _runs_of(words: list[str]) -> Iterator[list[str]]:
+    """Runs of words that are encoded as one text. A word that ends with a space ends its run, as
+    B would join that space with the next."""
+    run, size = [], 0
+    for word in words:
+        run.append(word)
+        size += len(word) + 1
+        if size > RUN_LETTERS or not word or word[-1] == " ":
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
+
+
+def align(of: Tokenizers, words: list[str]) -> tuple[Aligned, np.ndarray]:
+    """Groups of each word, and which words both tokenizers spell; the others have none.
+
+    Groups end where tokens of both end. Words are encoded in runs, and byte offsets run on from
+    one to the next.
+    """
+    runs = list(_runs_of(words))
+    a, b, sizes, good = [], [], [], []
+    for run, ids in zip(runs, of.encode([" ".join(run) for run in runs])):
+        for part, found in [(run, ids)] if ids else [([w], x) for w, x in zip(run, of.encode(run))]:
+            good += [found is not None] * len(part)
+            sizes += [(len(w) if w.isascii() else len(w.encode())) + 1 if found else 0 for w in part]
+            if found:
+                a.append(found[0])
+                b.append(found[1])
+    a, b = (np.fromiter(chain.from_iterable(ids), np.int64, sum(map(len, ids))) for ids in (a, b))
     a_at, b_at = np.cumsum(of.a_size[a]), np.cumsum(of.b_size[b])
     common = np.intersect1d(a_at, b_at, assume_unique=True)
-    a_group, b_group = np.searchsorted(common, a_at), np.searchsorted(common, b_at)
-    closed = np.concatenate((a_group, [-1]))[a_ends - 1] + 1  # index -1: no text has tokens so far
-    return Aligned(len(texts), a, b, a_group, b_group, a_ends, b_ends, np.where(a_ends > 0, closed, 0))
+    ends = np.cumsum(sizes, dtype=np.int64)
+    batch = Aligned(len(words), a, b, np.searchsorted(common, a_at), np.searchsorted(common, b_at),
+                    *(np.searchsorted(at, ends, "right") for at in (a_at, b_at, common)))
+    return batch, np.array(good, bool)
 
 
 def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -207,14 +256,14 @@ def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def links(batch: Aligned, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Pairs as keys (A id * width + B id), the text of each and how often it is linked there.
+    """Pairs as keys (A id * width + B id), the word of each and how often it is linked there.
 
     Every A token of a small group meets its B tokens one by one; of a group with more than
     ``GROUP_LINKS`` links the distinct ids meet, with the product of their numbers.
     """
-    groups = int(batch.group_ends[-1]) if batch.texts else 0
+    groups = int(batch.group_ends[-1]) if batch.words else 0
     n_a, n_b = np.bincount(batch.a_group, minlength=groups), np.bincount(batch.b_group, minlength=groups)
-    text_of = np.repeat(np.arange(batch.texts), np.diff(batch.group_ends, prepend=0))
+    word_of = np.repeat(np.arange(batch.words), np.diff(batch.group_ends, prepend=0))
     large = n_a * n_b > GROUP_LINKS
     first_a, first_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
     times = np.where(large[batch.a_group], 0, n_b[batch.a_group])
@@ -222,41 +271,110 @@ def links(batch: Aligned, width: int) -> Iterator[tuple[np.ndarray, np.ndarray,
     within = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - times, times)
     group = np.repeat(batch.a_group, times)
     keys = np.repeat(batch.a, times) * width + batch.b[first_b[group] + within]
-    yield keys, text_of[group], np.ones(len(keys), np.int64)
+    yield keys, word_of[group], np.ones(len(keys), np.int64)
     for g in np.flatnonzero(large):
         a, many_a = np.unique(batch.a[first_a[g] : first_a[g] + n_a[g]], return_counts=True)
         b, many_b = np.unique(batch.b[first_b[g] : first_b[g] + n_b[g]], return_counts=True)
         for begin in range(0, len(a), max(1, HELD // len(b))):
             part = slice(begin, begin + max(1, HELD // len(b)))
             keys = (a[part, None] * width + b[None, :]).ravel()
-            yield keys, np.full(len(keys), text_of[g]), (many_a[part, None] * many_b[None, :]).ravel()
+            yield keys, np.full(len(keys), word_of[g]), (many_a[part, None] * many_b[None, :]).ravel()
 
 
-def _digests(of: Tokenizers, batch: Aligned) -> list[str]:
-    """sha256 of each text's groups, written as ``a1,a2|b1;a3|b2``."""
-    groups = int(batch.group_ends[-1]) if batch.texts else 0
+def _spelled(of: Tokenizers, batch: Aligned) -> list[str]:
+    """Each word's groups, written as ``a1,a2|b1;a3|b2``."""
+    groups = int(batch.group_ends[-1]) if batch.words else 0
     n_a, n_b = np.bincount(batch.a_group, minlength=groups), np.bincount(batch.b_group, minlength=groups)
     opens_a, opens_b = np.diff(batch.a_group, prepend=-1) > 0, np.diff(batch.b_group, prepend=-1) > 0
     names = np.empty(len(batch.a) + len(batch.b), np.int64)
     names[np.arange(len(batch.a)) + (np.cumsum(n_b) - n_b)[batch.a_group]] = batch.a + of.entries * opens_a
     names[np.arange(len(batch.b)) + np.cumsum(n_a)[batch.b_group]] = batch.b + 2 * of.entries * opens_b
-    out, begin = [], 0
+    out, begin, numbers = [], 0, names.tolist()
     for end in (batch.a_ends + batch.b_ends).tolist():
-        spelled = "".join(map(of.names.__getitem__, names[begin:end].tolist()))
-        out.append(hashlib.sha256(spelled[1:].encode()).hexdigest() if spelled else "")
+        out.append("".join(map(of.names.__getitem__, numbers[begin:end]))[1:])
         begin = end
     return out
 
 
+class Words:
+    """Alignments of the words a worker has met: counts, pairs and spelled groups by number."""
+
+    def __init__(self, of: Tokenizers):
+        self.of = of
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = Numbers()
+        self.letters = 0
+        self.spelled: list[str] = []
+        self.good = np.zeros(0, bool)
+        # Per word: tokens of A, of B, groups, links; and where its pairs begin and how many it has.
+        self.totals = np.zeros((4, 0), np.int64)
+        self.first, self.many = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.keys, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Word numbers of all texts, one after another, and where each text ends. A text with a
+        word that is not spelled has no words."""
+        if len(self.number) > HELD_WORDS or self.letters > HELD_LETTERS:
+            self.forget()
+        known = len(self.number)
+        numbers, ends = [], []
+        for text in texts:
+            if text:
+                numbers.extend(map(self.number.__getitem__, cut_words(text) if self.of.apart else [text]))
+            ends.append(len(numbers))
+        self._learn([*islice(self.number, known, None)])
+        flat, ends = np.array(numbers, np.int64), np.array(ends, np.int64)
+        lost = _sums(~self.good[flat], ends) > 0
+        if lost.any():
+            sizes = np.diff(ends, prepend=0)
+            flat = flat[~np.repeat(lost, sizes)]
+            ends = np.cumsum(np.where(lost, 0, sizes))
+        return flat, ends
+
+    def _learn(self, words: list[str]) -> None:
+        if not words:
+            return
+        batch, good = align(self.of, words)
+        self.letters += sum(map(len, words))
+        found = list(links(batch, self.of.width))
+        keys, word, times = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((keys, word))
+        keys, word, times = keys[order], word[order], times[order]
+        new = np.ones(len(keys), bool)
+        new[1:] = (keys[1:] != keys[:-1]) | (word[1:] != word[:-1])
+        first = np.flatnonzero(new)
+        times = np.add.reduceat(times, first) if len(first) else times
+        many = np.bincount(word[first], minlength=len(words))
+        n_links = np.bincount(word[first], times, len(words)).astype(np.int64)
+        ends = (batch.a_ends, batch.b_ends, batch.group_ends)
+        totals = np.stack([*(np.diff(e, prepend=0) for e in ends), n_links])
+        self.totals = np.concatenate((self.totals, totals), axis=1)
+        self.first = np.concatenate((self.first, len(self.keys) + np.cumsum(many) - many))
+        self.many = np.concatenate((self.many, many))
+        self.keys = np.concatenate((self.keys, keys[first]))
+        self.times = np.concatenate((self.times, times))
+        self.good = np.concatenate((self.good, good))
+        self.spelled += _spelled(self.of, batch)
+
+    def pairs(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``keys`` of the pairs of the given words, and for each the word's place."""
+        many = self.many[numbers]
+        ends = np.cumsum(many)
+        within = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - many, many)
+        return np.repeat(self.first[numbers], many) + within, np.repeat(np.arange(len(numbers)), many)
+
+
 # Tasks ------------------------------------------------------------------------------------
 
-_BUILT: dict[str, Tokenizers] = {}
+_BUILT: dict[str, Words] = {}
 
 
-def _tokenizers(shared: Broadcast, name: str) -> Tokenizers:
+def _words(shared: Broadcast, name: str) -> Words:
     if name not in _BUILT:  # once per worker
         _BUILT.clear()
-        _BUILT[name] = Tokenizers(*shared.value)
+        _BUILT[name] = Words(Tokenizers(*shared.value))
     return _BUILT[name]
 
 
@@ -288,12 +406,15 @@ def _count_pairs(shared: Broadcast, name: str, segments: int, space: int):
             "counts": pa.array([x.tobytes() for x in counts[: len(some)]], pa.binary())})
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = _tokenizers(shared, name)
+        known = _words(shared, name)
         keys, counts, held = [], [], 0
         for _, texts in _texts(batches):
-            batch = align(of, texts)
-            each = [np.unique(text * space + found) for found, text, _ in links(batch, of.width)]
-            key, n = np.unique(np.unique(np.concatenate(each)) % space, return_counts=True)
+            numbers, ends = known.read(texts)
+            total = max(1, len(known.spelled))
+            text = np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0))
+            once = np.unique(text * total + numbers)
+            place, word = known.pairs(once % total)
+            key, n = np.unique(np.unique((once // total)[word] * space + known.keys[place]) % space, return_counts=True)
             keys.append(key)
             counts.append(n.astype(np.int64))
             held += len(key)
@@ -369,22 +490,25 @@ def _highest(width: int):
 def _report(shared: Broadcast, name: str, lookup: Broadcast):
     """Second pass: alignment of each document and what its links count."""
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = _tokenizers(shared, name)
+        known = _words(shared, name)
         table, best = lookup.value
         for rows, texts in _texts(batches):
-            batch = align(of, texts)
-            n_links, n_best, total = (np.zeros(batch.texts, np.int64) for _ in range(3))
-            for keys, text, times in links(batch, of.width):
-                counts = table.look_up(keys) * times
-                top = (counts > 0) & (counts == best[keys // of.width] * times)
-                for out, values in ((n_links, times), (n_best, np.where(top, times, 0)), (total, counts)):
-                    sums = _sums(values, np.searchsorted(text, np.arange(batch.texts), "right"))
-                    out += sums
-            ends = (batch.a_ends, batch.b_ends, batch.group_ends)
+            numbers, ends = known.read(texts)
+            some, where = np.unique(numbers, return_inverse=True)
+            place, word = known.pairs(some)
+            keys, times = known.keys[place], known.times[place]
+            counts = table.look_up(keys)
+            top = (counts > 0) & (counts == best[keys // known.of.width])
+            borders = np.searchsorted(word, np.arange(len(some)), "right")
+            found = [*known.totals[:, some], _sums(np.where(top, times, 0), borders), _sums(counts * times, borders)]
+            digests, begin, listed = [], 0, numbers.tolist()
+            for end in ends.tolist():
+                spelled = ";".join(map(known.spelled.__getitem__, listed[begin:end]))
+                digests.append(hashlib.sha256(spelled.encode()).hexdigest() if spelled else "")
+                begin = end
             yield pa.RecordBatch.from_arrays(
                 [c for n, c in zip(rows.schema.names, rows.columns) if n != "text"]
-                + [pa.array(np.diff(e, prepend=0)) for e in ends]
-                + [pa.array(n_links), pa.array(n_best), pa.array(total), pa.array(_digests(of, batch))],
+                + [pa.array(_sums(values[where], ends)) for values in found] + [pa.array(digests)],
                 [n for n in rows.schema.names if n != "text"]
                 + ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
 
@@ -424,7 +548,9 @@ def align_tokens(spark: SparkSession, docs: DataFrame, a_path: str = TOKENIZER_A
     that hold it linked. Returns doc_id, n_a, n_b, n_groups, n_links, n_best (links whose count
     is the highest of their A id), count_sum and groups_sha256.
 
-    Texts are tokenised twice: to count and to look up. The tables that go to the tasks (hash,
+    Texts are cut at spaces that open a word, where both tokenizers always cut, and a worker
+    aligns each distinct word once (vocabularies that do not cut there get whole texts). Every text
+    is read twice: to count and to look up. The tables that go to the tasks (hash,
     keys and counts) are bounded by ``table_mb``; with more pairs the second pass is repeated
     over groups of segments. A pair is a pair of vocabulary ids, so the table has at most
     V_A * V_B entries, and the vector of highest counts V_A. Both files are read on the driver
