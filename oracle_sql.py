@@ -500,18 +500,13 @@ def _admission(key: str, column: str) -> str:
 ORACLES["rate_limit"] = _admission("user_id", "user_id")
 ORACLES["rate_limit_global"] = _admission("'all'", "scope")
 ORACLES["rate_limit_stream"] = ORACLES["rate_limit"]
+ORACLES["rate_limit_bounded_stream"] = ORACLES["rate_limit"]
 for _name in ("usage_window", "usage_now"):  # usage counts admitted events only
     ORACLES[_name] = ORACLES[_name].replace(
         "epoch_us(ts) AS us FROM events",
         f"epoch_us(CAST(ts AS TIMESTAMP)) AS us FROM ({ORACLES['rate_limit']}) r WHERE admitted",
     )
 ORACLES["replay_stream"] = ORACLES["replay_cards"]
-ORACLES["usage_stream"] = """
-    SELECT user_id, strftime(until, '%Y-%m-%d %H:%M:%S') AS until, count(*) AS used
-    FROM events, unnest([
-        date_trunc('day', ts) + INTERVAL 12 HOUR * CAST(floor(hour(ts) / 12) + 1 AS INT),
-        date_trunc('day', ts) + INTERVAL 12 HOUR * CAST(floor(hour(ts) / 12) + 2 AS INT)
-    ]) AS u(until)
-    GROUP BY ALL"""
+ORACLES["usage_stream"] = ORACLES["usage_window"]
 ORACLES["cumulative_cards"] = ORACLES["insight_cards"]
 ORACLES["decision_stream"] = ORACLES["finance"]

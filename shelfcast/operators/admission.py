@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections import defaultdict
+from collections.abc import Callable
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast import config
@@ -17,7 +21,7 @@ _MINUTE = 60 * _SECOND
 # Rows of one key a single task may take. A key with more is cut into chunks in time.
 CHUNK_ROWS = 4_000_000
 
-ADMITTED, BURST, DAILY = "", "burst", "daily"
+ADMITTED, BURST, DAILY, LATE = "", "burst", "daily", "late"
 
 
 def admit_in_order(
@@ -53,6 +57,153 @@ def admit_in_order(
     return verdict, kept
 
 
+class Cell(NamedTuple):
+    """Consecutive asks of one key in time order, with what was decided about them.
+
+    ``carry`` are the admitted times before the cell that can still count in it.
+    """
+
+    times: list[int]
+    ids: list
+    verdicts: list[int]
+    burst_used: list[int]
+    daily_used: list[int]
+    carry: list[int]
+
+
+class Decision(NamedTuple):
+    id: object
+    at: int
+    verdict: int
+    burst_used: int
+    daily_used: int
+
+
+FIRST_CELL = -(2**63)
+
+
+def _time_then_id(ask: tuple) -> tuple:
+    at, name = ask
+    return (at, name is None, 0 if name is None else name)
+
+
+class KeyHistory:
+    """The asks of one key, kept as cells so that a late ask is replayed from its cell on.
+
+    ``starts`` are the cells' names in order: a cell holds the asks from its name up to the next
+    one. ``load``, ``store`` and ``drop`` reach a cell by name. A cell that outgrows
+    ``cell_asks`` is split where the time changes.
+    """
+
+    def __init__(
+        self,
+        starts: list[int],
+        load: Callable[[int], Cell],
+        store: Callable[[int, Cell], None],
+        drop: Callable[[int], None],
+        burst_max: int = config.BURST_MAX,
+        burst_seconds: int = config.BURST_SECONDS,
+        daily_max: int = config.DAILY_MAX,
+        cell_asks: int = 4096,
+    ):
+        self.starts, self.load, self.store, self.drop = list(starts), load, store, drop
+        self.limits = (burst_max, burst_seconds, daily_max)
+        self.cell_asks = cell_asks
+        self.decided = 0  # asks looked at by :meth:`add`
+
+    def _carried(self, cell: Cell, at: int) -> list[int]:
+        """Admitted times of a cell and before it that still count at ``at``."""
+        burst_max, _, daily_max = self.limits
+        admitted = [t for t, v in zip(cell.times, cell.verdicts) if v == 0]
+        since = at - config.DAILY_SECONDS * _SECOND
+        return [t for t in cell.carry + admitted if t > since][-max(burst_max, daily_max) :]
+
+    def _decide(self, times: list[int], ids: list, carry: list[int]) -> Cell:
+        self.decided += len(times)
+        at = np.array(times, dtype="int64")
+        verdict, _ = admit_in_order(at, carry, *self.limits)
+        admitted = np.concatenate([np.array(carry, dtype="int64"), at[verdict == 0]])
+        now = np.searchsorted(admitted, at, "right")
+
+        def used(seconds: int) -> list[int]:
+            before = np.searchsorted(admitted, at - seconds * _SECOND, "right")
+            return np.where(verdict == 0, now - before, 0).tolist()
+
+        return Cell(
+            times, ids, verdict.tolist(), used(self.limits[1]), used(config.DAILY_SECONDS), carry
+        )
+
+    def _split(self, start: int, cell: Cell) -> None:
+        """Store a cell, in pieces if it has too many asks. Asks of one moment stay together."""
+        begin = 0
+        while len(cell.times) - begin > self.cell_asks:
+            end = begin + self.cell_asks // 2
+            while end < len(cell.times) and cell.times[end] == cell.times[end - 1]:
+                end += 1
+            if end == len(cell.times):
+                break
+            piece = Cell(*(c[begin:end] for c in cell[:5]), cell.carry)
+            self.store(start, piece)
+            start = cell.times[end]
+            self.starts.insert(bisect_right(self.starts, start), start)
+            cell = cell._replace(carry=self._carried(piece, start))
+            begin = end
+        self.store(start, Cell(*(c[begin:] for c in cell[:5]), cell.carry))
+
+    def add(self, asks: list[tuple[int, object]]) -> list[Decision]:
+        """Decide new asks (time, id), in any order. Returns what is new or has changed.
+
+        The asks of a cell are decided again from the times carried into it, and so are the
+        cells after it, up to the first one into which the same times are carried as before.
+        """
+        if not self.starts:
+            self.starts = [FIRST_CELL]
+            self.store(FIRST_CELL, Cell([], [], [], [], [], []))
+        fresh = defaultdict(list)
+        for at, ask in asks:
+            fresh[self.starts[bisect_right(self.starts, at) - 1]].append((at, ask))
+        changes: list[Decision] = []
+        order = list(self.starts)
+        place, carry = 0, None
+        while place < len(order):
+            start = order[place]
+            cell = None
+            if carry is None:  # nothing before has changed: go on with the next cell that has new asks
+                waiting = [n for n in range(place, len(order)) if order[n] in fresh]
+                if not waiting:
+                    break
+                place = waiting[0]
+                start = order[place]
+                cell = self.load(start)
+                carry = cell.carry
+            cell = cell or self.load(start)
+            added = fresh.pop(start, [])
+            if not added and carry == cell.carry:
+                carry = None
+                continue
+            new = set(added)
+            rows = sorted([*zip(cell.times, cell.ids), *added], key=_time_then_id)
+            known = {}
+            for row in zip(cell.ids, cell.times, cell.verdicts, cell.burst_used, cell.daily_used):
+                known[row[1], row[0]] = Decision(*row)
+            decided = self._decide([t for t, _ in rows], [i for _, i in rows], carry)
+            for row in zip(decided.ids, decided.times, *decided[2:5]):
+                decision = Decision(*row)
+                if (row[1], row[0]) in new or known.get((row[1], row[0])) != decision:
+                    changes.append(decision)
+            self._split(start, decided)
+            place += 1
+            carry = self._carried(decided, order[place]) if place < len(order) else None
+        return changes
+
+    def forget_before(self, at: int) -> None:
+        """Drop the cells that end before ``at``, but for the last, from which times are carried."""
+        ended = bisect_right(self.starts, at) - 1
+        for start in self.starts[: max(ended - 1, 0)]:
+            self.drop(start)
+        self.starts = self.starts[max(ended - 1, 0) :]
+
+
 def _hot_cuts(asks: DataFrame, chunk_rows: int) -> DataFrame:
     """Minutes at which a key with many rows starts a new chunk.
 
@@ -127,18 +278,20 @@ def rate_admission(
         chunked.write.parquet(path)
         cuts.unpersist()
         decided = _decide_chunks(spark.read.parquet(path), decide, key_type, decided_schema)
-    verdict = F.col("_verdict")
     return decided.select(
         F.col("_key").alias(key),
         F.col("_id").alias(ask_id),
         F.timestamp_micros("_at").alias(time),
-        (verdict == 0).alias("admitted"),
-        F.when(verdict == 1, BURST).when(verdict == 2, DAILY).otherwise(ADMITTED).alias(
-            "refused_by"
-        ),
+        *named_verdict(F.col("_verdict")),
     )
 
 
+def named_verdict(code: Column) -> list[Column]:
+    """``admitted`` and ``refused_by`` from the code of a decision."""
+    reason = F.when(code == 1, BURST).when(code == 2, DAILY).when(code == 3, LATE)
+    return [(code == 0).alias("admitted"), reason.otherwise(ADMITTED).alias("refused_by")]
+
+
 def _decide_chunks(chunked: DataFrame, decide, key_type: str, decided_schema: str) -> DataFrame:
     spark = chunked.sparkSession
     group = ["_key", "_chunk"]

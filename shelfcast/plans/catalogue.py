@@ -785,32 +785,56 @@ def decision_stream(spark, folder):
     return streams.actions("finance_agent").select(details.alias("_d")).select("_d.*")
 
 
-@query
-def usage_stream(spark, folder):
-    """Events per user in sliding daily windows, as a stream of out-of-order batches."""
-    base = scratch_path(spark, "usage")
-    _events(spark, folder).repartition(4, "event_id").write.parquet(f"{base}/events")
+def _decided_stream(spark: SparkSession, folder: str, late: int | None) -> str:
+    """Decisions of a stream over all events, and the path they are stored at.
+
+    Without a bound on lateness the files are dealt by id, so that each reaches over the whole
+    time and most asks come late. With a bound they are cut in time, and every tenth ask waits
+    for the file after its own.
+    """
+    base = scratch_path(spark, "admission")
+    rows = _events(spark, folder)
+    if late is None:
+        rows.repartition(4, "event_id").write.parquet(f"{base}/events")
+    else:
+        bounds = rows.agg(F.min("ts"), F.max("ts")).first()
+        width = max((bounds[1] - bounds[0]).total_seconds() / 6, 1)
+        since = (F.unix_micros("ts") - F.unix_micros(F.lit(bounds[0]))) / 1_000_000
+        part = F.floor(since / width) + (F.col("event_id") % 10 == 0).cast("int")
+        numbered = rows.withColumn("_file", part.cast("int"))
+        for number in range(8):
+            numbered.where(F.col("_file") == number).drop("_file").coalesce(1).write.mode("append").parquet(
+                f"{base}/events"
+            )
     stream = sinks.read_files(
         spark, f"{base}/events", "event_id long, user_id long, ts timestamp", files_per_trigger=1
     )
-    admission_streams.usage_stream(
-        stream, "user_id", "ts", f"{base}/usage", f"{base}/checkpoint", slide="12 hours"
+    admission_streams.admit_stream(
+        stream, "user_id", "ts", "event_id", f"{base}/decided", f"{base}/checkpoint", late=late
     ).awaitTermination()
-    rows = admission_streams.sliding_usage(spark, f"{base}/usage", "user_id")
-    return rows.withColumn("until", F.date_format("until", "yyyy-MM-dd HH:mm:ss"))
+    return f"{base}/decided"
+
+
+@query
+def usage_stream(spark, folder):
+    """Admitted events per user in the trailing windows up to each, as a stream keeps them."""
+    path = _decided_stream(spark, folder, None)
+    return admission_streams.usage(spark, path, "user_id", "event_id").drop("ts")
 
 
 @query
 def rate_limit_stream(spark, folder):
     """Admission of every event per user, as a stream of several out-of-order batches."""
-    base = scratch_path(spark, "admission")
-    # Dealt by id, so that every file reaches over the whole time and most asks arrive late.
-    _events(spark, folder).repartition(4, "event_id").write.parquet(f"{base}/events")
-    stream = sinks.read_files(
-        spark, f"{base}/events", "event_id long, user_id long, ts timestamp", files_per_trigger=1
-    )
-    admission_streams.admit_stream(
-        stream, "user_id", "ts", "event_id", f"{base}/decided", f"{base}/checkpoint"
-    ).awaitTermination()
-    rows = admission_streams.verdicts(spark, f"{base}/decided", "user_id", "event_id")
+    path = _decided_stream(spark, folder, None)
+    rows = admission_streams.verdicts(spark, path, "user_id", "event_id")
+    return rows.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+@query
+def rate_limit_bounded_stream(spark, folder):
+    """The same from files in time order with late asks, and state that lets old asks go."""
+    span = _events(spark, folder).agg(F.max("ts") - F.min("ts")).first()[0]
+    late = int(span.total_seconds() / 3) + 1 if span else 1
+    path = _decided_stream(spark, folder, late)
+    rows = admission_streams.verdicts(spark, path, "user_id", "event_id")
     return rows.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))

@@ -2,94 +2,169 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from shelfcast import config
-from shelfcast.operators.admission import rate_admission
+from shelfcast.operators.admission import Cell, Decision, KeyHistory, named_verdict
 
+_LATE_CODE = 3
+_SECOND = 1_000_000
+_NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
 
-def admit_stream(
+
+class AskHistory(StatefulProcessor):
+    """Keyed state of :func:`admit_stream`: the names of a key's cells, and the cells."""
+
+    def __init__(self, id_type: str, limits: tuple[int, int, int], late: int | None, cell_asks: int):
+        self.id_type, self.limits, self.late, self.cell_asks = id_type, limits, late, cell_asks
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        # State goes when its key has been silent for twice the time an ask can still need it.
+        ttl = None if self.late is None else 2000 * (self.late + config.DAILY_SECONDS)
+        cell = (
+            f"times array<long>, ids array<{self.id_type}>, verdicts array<int>, "
+            "burst_used array<long>, daily_used array<long>, carry array<long>"
+        )
+        self.order = handle.getValueState("order", "starts array<long>, newest long", ttl)
+        self.cells = handle.getMapState("cells", "start long", cell, ttl)
+
+    def _load(self, start: int) -> Cell:
+        return Cell(*(list(values) for values in self.cells.getValue((start,))))
+
+    def _store(self, start: int, cell: Cell) -> None:
+        self.cells.updateValue((start,), tuple(cell))
+
+    def _drop(self, start: int) -> None:
+        self.cells.removeKey((start,))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        known = self.order.get() if self.order.exists() else None
+        starts, newest = (list(known[0]), known[1]) if known else ([], None)
+        asks = [(int(at), name) for frame in rows for at, name in zip(frame["at"], frame["id"].tolist())]
+        horizon = None if self.late is None or newest is None else newest - self.late * _SECOND
+        refused = [a for a in asks if horizon is not None and a[0] < horizon]
+        history = KeyHistory(
+            starts, self._load, self._store, self._drop, *self.limits, cell_asks=self.cell_asks
+        )
+        changes = history.add([a for a in asks if horizon is None or a[0] >= horizon])
+        changes += [Decision(name, at, _LATE_CODE, 0, 0) for at, name in refused]
+        newest = max([at for at, _ in asks] + ([] if newest is None else [newest]))
+        if self.late is not None:
+            history.forget_before(newest - self.late * _SECOND)
+        self.order.update((history.starts, newest))
+        frame = pd.DataFrame(changes, columns=Decision._fields)
+        frame.insert(0, "key", [key[0]] * len(frame))
+        yield frame
+
+    def close(self) -> None:
+        pass
+
+
+def decide_stream(
     asks: DataFrame,
     key: str,
     time: str,
     ask_id: str,
-    path: str,
-    checkpoint: str,
+    late: int | None,
     burst_max: int = config.BURST_MAX,
     burst_seconds: int = config.BURST_SECONDS,
     daily_max: int = config.DAILY_MAX,
-) -> StreamingQuery:
-    """Admit or refuse asks as they arrive, in any order, and none is left out.
-
-    Every micro-batch is added to a log below ``path``. The keys it touches are decided again
-    in time order from the log, so an ask that arrives late is judged by the admissions before
-    it, and may change verdicts after it. A batch that is repeated replaces its own folders.
-    :func:`verdicts` reads the newest verdict of each ask.
+    cell_asks: int = 4096,
+) -> DataFrame:
+    """New and changed decisions of a stream of asks: key, id, time, verdict code and usage.
+
+    Spark keeps a key's asks in its state store as cells of at most ``cell_asks`` in time order,
+    each with the admitted times carried into it. An ask that comes late is decided in its
+    place: its cell is decided again, and cells after it as long as the times carried on differ.
+    So the work of a batch follows the cells it touches, not the length of the history.
+
+    ``late`` is by how many seconds an ask may come after a newer one of its key in an earlier
+    batch. One that comes later is refused as late. Cells older than that are dropped, and the state
+    of a silent key expires. With None every ask is kept and none is too late.
     """
-
-    def decide(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.select(key, ask_id, time)
-        rows.write.mode("overwrite").parquet(f"{path}/asks/_round={number}")
-        log = spark.read.schema(rows.schema).parquet(
-            *[f"{path}/asks/_round={n}" for n in range(number + 1)]
-        )
-        touched = log.join(rows.select(key).distinct(), key, "left_semi")
-        decided = rate_admission(touched, key, time, ask_id, burst_max, burst_seconds, daily_max)
-        decided.withColumn("round", F.lit(number)).write.mode("overwrite").parquet(
-            f"{path}/verdicts/_round={number}"
-        )
-
-    return (
-        asks.writeStream.foreachBatch(decide)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+    narrow = asks.select(
+        F.col(key).alias("key"),
+        F.col(ask_id).alias("id"),
+        F.unix_micros(F.col(time).cast("timestamp")).alias("at"),
+    )
+    kind = {c: narrow.schema[c].dataType.simpleString() for c in ("key", "id")}
+    decided = narrow.groupBy("key").transformWithStateInPandas(
+        statefulProcessor=AskHistory(
+            kind["id"], (burst_max, burst_seconds, daily_max), late, cell_asks
+        ),
+        outputStructType=(
+            f"key {kind['key']}, id {kind['id']}, at long, verdict int, "
+            "burst_used long, daily_used long"
+        ),
+        outputMode="Update",
+        timeMode="None" if late is None else "ProcessingTime",
+    )
+    return decided.select(
+        F.col("key").alias(key),
+        F.col("id").alias(ask_id),
+        F.timestamp_micros("at").alias(time),
+        "verdict",
+        "burst_used",
+        "daily_used",
     )
 
 
-def verdicts(spark: SparkSession, path: str, key: str, ask_id: str) -> DataFrame:
-    """The newest verdict of each ask: key, ask id, time, ``admitted`` and ``refused_by``."""
-    rows = spark.read.parquet(f"{path}/verdicts/_round=*")
-    others = [c for c in rows.columns if c not in (key, ask_id, "round")]
-    newest = F.max_by(F.struct(*others), "round").alias("_newest")
-    return rows.groupBy(key, ask_id).agg(newest).select(key, ask_id, "_newest.*")
-
-
-def usage_stream(
-    log: DataFrame,
+def admit_stream(
+    asks: DataFrame,
     key: str,
     time: str,
+    ask_id: str,
     path: str,
     checkpoint: str,
-    length: str = "24 hours",
-    slide: str = "1 hour",
+    late: int | None,
+    **limits: int,
 ) -> StreamingQuery:
-    """Count rows per key in sliding windows as they arrive, in any order.
+    """Admit or refuse asks as they arrive, in any order; see :func:`decide_stream`.
 
-    Every micro-batch writes its own counts, and :func:`sliding_usage` adds them up. So a row
-    counts however late it is, and no state is kept. A batch that is repeated replaces its
-    own folder.
+    What a micro-batch decides is written below ``path`` under the id of the query and the
+    number of the batch, so a repeated batch replaces its own folder. :func:`verdicts` and
+    :func:`usage` read the newest decision of each ask.
     """
 
-    def count(batch: DataFrame, number: int) -> None:
-        moment = F.col(time).cast("timestamp")
-        counts = batch.groupBy(F.window(moment, length, slide), key).agg(F.count("*").alias("used"))
-        counts.select(key, F.col("window.end").alias("until"), "used").write.mode(
-            "overwrite"
-        ).parquet(f"{path}/_round={number}")
-
-    return (
-        log.writeStream.foreachBatch(count)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    def write(batch: DataFrame, number: int) -> None:
+        name = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        batch.write.mode("overwrite").parquet(f"{path}/_query={name}/_round={number}")
+
+    decided = decide_stream(asks, key, time, ask_id, late, **limits).writeStream.outputMode("update")
+    started = decided.foreachBatch(write).option("checkpointLocation", checkpoint)
+    # State that expires asks for batches without data, and would never run out of them. Expired
+    # entries are hidden at once and cleared with the next data. The query keeps its own copy of the
+    # session's settings.
+    conf = asks.sparkSession.conf
+    before = conf.get(_NO_DATA, "true")
+    conf.set(_NO_DATA, "false")
+    try:
+        return started.trigger(availableNow=True).start()
+    finally:
+        conf.set(_NO_DATA, before)
+
+
+def _newest(spark: SparkSession, path: str, key: str, ask_id: str) -> DataFrame:
+    rows = spark.read.option("basePath", path).parquet(f"{path}/_query=*/_round=*")
+    if rows.select("_query").distinct().count() > 1:
+        raise ValueError(f"{path} holds decisions of several checkpoints; give each a path of its own")
+    others = [c for c in rows.columns if c not in (key, ask_id, "_query", "_round")]
+    newest = F.max_by(F.struct(*others), "_round").alias("_newest")
+    return rows.groupBy(key, ask_id).agg(newest).select(key, ask_id, "_newest.*")
+
+
+def verdicts(spark: SparkSession, path: str, key: str, ask_id: str) -> DataFrame:
+    """The newest verdict of each ask: key, ask id, time, ``admitted`` and ``refused_by``."""
+    rows = _newest(spark, path, key, ask_id)
+    plain = [c for c in rows.columns if c not in ("verdict", "burst_used", "daily_used")]
+    return rows.select(*plain, *named_verdict(F.col("verdict")))
 
 
-def sliding_usage(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """Rows per key and window end ``until`` over all micro-batches of :func:`usage_stream`."""
-    counts = spark.read.parquet(f"{path}/_round=*")
-    return counts.groupBy(key, "until").agg(F.sum("used").alias("used"))
+def usage(spark: SparkSession, path: str, key: str, ask_id: str) -> DataFrame:
+    """For every admitted ask, the admitted asks of its key in the trailing windows up to it."""
+    return _newest(spark, path, key, ask_id).where("verdict = 0").drop("verdict")

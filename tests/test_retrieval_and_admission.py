@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 from datetime import datetime, timedelta
 
@@ -145,7 +146,7 @@ def test_admission_stream_equals_batch(spark, tmp_path):
         spark, f"{tmp_path}/asks", "user string, ask long, at timestamp", files_per_trigger=1
     )
     admission_streams.admit_stream(
-        stream, "user", "at", "ask", f"{tmp_path}/out", f"{tmp_path}/cp"
+        stream, "user", "at", "ask", f"{tmp_path}/out", f"{tmp_path}/cp", late=None, cell_asks=32
     ).awaitTermination()
     decided = admission_streams.verdicts(spark, f"{tmp_path}/out", "user", "ask")
     got = {}
@@ -155,26 +156,66 @@ def test_admission_stream_equals_batch(spark, tmp_path):
     assert got["v"] == list(one_by_one(times[::7]))
 
 
-def test_usage_stream_counts_late_rows(spark, tmp_path):
-    """One file per batch, the newest first: every row counts in both of its windows."""
-    for number, second in enumerate([500_000, 100, 43_300, 100]):
-        rows = spark.createDataFrame([("u", number, second)], "k string, i long, s long")
-        rows.select("k", "i", F.timestamp_seconds("s").alias("at")).coalesce(1).write.parquet(
-            f"{tmp_path}/in/part={number}"
-        )
+def deal(asks_of, rng, size):
+    while asks_of:
+        taken = rng.randint(1, size)
+        yield asks_of[:taken]
+        asks_of = asks_of[taken:]
+
+
+@pytest.mark.parametrize("spread", [0, 90, 10**6])
+def test_history_equals_deciding_in_order(spread):
+    """Asks in order, a little late, or in any order; few and many in a cell."""
+    rng = random.Random(spread)
+    for n, span in ((5, 300), (300, 4000), (300, 300_000)):
+        rows = [(rng.randrange(2 * span) * 500_000, i) for i in range(n)]
+        cells, starts, latest, decided = {}, [], {}, []
+        for batch in deal(sorted(rows, key=lambda r: r[0] + rng.randrange(spread + 1) * 1_000_000), rng, 30):
+            history = admission.KeyHistory(
+                starts, cells.__getitem__, cells.__setitem__, cells.__delitem__, 3, 60, 10, cell_asks=16)
+            latest |= {d.id: d for d in history.add(batch)}
+            starts = history.starts
+            decided.append(history.decided)
+            assert sorted(cells) == starts
+        rows.sort()
+        at = np.array([t for t, _ in rows])
+        want, _ = admission.admit_in_order(at, [], 3, 60, 10)
+        taken = at[want == 0]
+        for (t, i), verdict in zip(rows, want):
+            got = latest[i]
+            assert (got.at, got.verdict) == (t, verdict)
+            for used, seconds in ((got.burst_used, 60), (got.daily_used, 86_400)):
+                assert used == (((taken <= t) & (taken > t - seconds * 10**6)).sum() if verdict == 0 else 0)
+
+
+def test_decided_asks_do_not_grow_with_the_history():
+    """Batches of the same lateness look at about as many asks at the end as at the start."""
+    rng = random.Random(8)
+    rows = sorted(((n * 2_000_000, n) for n in range(20_000)), key=lambda r: r[0] + rng.randrange(60) * 10**6)
+    cells, starts, decided = {}, [], []
+    for begin in range(0, len(rows), 100):
+        history = admission.KeyHistory(starts, cells.__getitem__, cells.__setitem__, cells.__delitem__, cell_asks=64)
+        history.add(rows[begin : begin + 100])
+        history.forget_before(rows[begin][0] - 3600 * 10**6)
+        starts = history.starts
+        decided.append(history.decided)
+    assert max(decided[100:]) <= max(decided[2:100]) + 64
+    assert len(cells) < 100
+
+
+def test_asks_beyond_the_lateness_are_refused_as_late(spark, tmp_path):
+    for number, seconds in enumerate([[100_000], [100_020, 40_000], [99_990]]):
+        rows = asks(spark, {"u": [BASE + timedelta(seconds=s) for s in seconds]})
+        rows.withColumn("ask", F.col("ask") + 10 * number).coalesce(1).write.mode("append").parquet(f"{tmp_path}/asks")
     stream = sinks.read_files(
-        spark, f"{tmp_path}/in/*", "k string, i long, at timestamp", files_per_trigger=1
+        spark, f"{tmp_path}/asks", "user string, ask long, at timestamp", files_per_trigger=1
     )
-    admission_streams.usage_stream(
-        stream, "k", "at", f"{tmp_path}/out", f"{tmp_path}/mark", slide="12 hours"
-    ).awaitTermination()
-    got = {
-        r.until: r.used
-        for r in admission_streams.sliding_usage(spark, f"{tmp_path}/out", "k")
-        .select(F.unix_timestamp("until").alias("until"), "used").collect()
-    }
-    want = Counter()
-    for second in [500_000, 100, 43_300, 100]:
-        end = (second // 43_200 + 1) * 43_200
-        want.update([end, end + 43_200])
-    assert got == want
+    decided = admission_streams.admit_stream(
+        stream, "user", "at", "ask", f"{tmp_path}/out", f"{tmp_path}/cp", late=3600
+    )
+    decided.awaitTermination()
+    got = admission_streams.verdicts(spark, f"{tmp_path}/out", "user", "ask")
+    late = {r["at"] for r in got.where("refused_by = 'late'").collect()}
+    assert late == {BASE + timedelta(seconds=40_000)}
+    used = admission_streams.usage(spark, f"{tmp_path}/out", "user", "ask").collect()
+    assert {(r["at"] - BASE).total_seconds(): r.burst_used for r in used} == {99_990: 1, 100_000: 2, 100_020: 3}
