@@ -446,6 +446,13 @@ ORACLES: dict[str, str] = {
     "action_fields": f"""WITH {_ACTIONS}
         SELECT card_id, rationale FROM actions WHERE action = 'reorder_recommended'""",
     "cosine_topk": f"WITH {_HITS} SELECT query_id, id, score, rank FROM hits",
+    "cosine_topk_cells": f"WITH {_HITS} SELECT query_id, id, score, rank FROM hits",
+    "stored_search": f"""WITH {_HITS}
+        SELECT query_id, id, score, rank, label FROM hits JOIN embeddings ON vec_id = id
+        WHERE query_id % 10 = 0""",
+    "cells_recall": """SELECT vec_id AS query_id, least(5, (SELECT count(*) FROM embeddings) - 1) AS n_hits,
+            0::BIGINT AS n_wrong, true AS recall_reached
+        FROM embeddings""",
     "context_assembly": f"""WITH {_HITS},
         lines AS (
             SELECT query_id, string_agg('- vector ' || id || ' label ' || label, chr(10)

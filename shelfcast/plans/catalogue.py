@@ -13,6 +13,7 @@ from shelfcast.operators import (
     admission,
     anomaly,
     cards,
+    cells,
     decisions,
     evaluate,
     features,
@@ -592,6 +593,59 @@ def cosine_topk_lsh(spark, folder):
     return retrieval.cosine_top_k_lsh(asked, points, drop_same=True)
 
 
+def _stored_vectors(spark: SparkSession, folder: str, replaced: int = 0) -> cells.CellIndex:
+    """The vectors as a stored collection, with their label as payload."""
+    path = scratch_path(spark, "points")
+    points = _vectors(spark, folder).join(
+        read_table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), "label"), "id"
+    )
+    for _ in range(replaced):
+        cells.store_points(points.where("id % 2 = 0"), path, payload=["label"])
+    cells.store_points(points, path, payload=["label"])
+    return cells.open_points(spark, path)
+
+
+@query
+def cosine_topk_cells(spark, folder):
+    """Nearest five other vectors by cells, with the second round that makes it exact."""
+    asked = _vectors(spark, folder).withColumnRenamed("id", "query_id")
+    hits = cells.search_cells(asked, _stored_vectors(spark, folder), drop_same=True, exact=True)
+    return hits.drop("cell")
+
+
+@query
+def stored_search(spark, folder):
+    """Hits in the newest version of a stored collection, with the payload kept there."""
+    index = _stored_vectors(spark, folder, replaced=1)
+    asked = _vectors(spark, folder).withColumnRenamed("id", "query_id").where("query_id % 10 = 0")
+    hits = cells.search_cells(asked, index, drop_same=True, exact=True)
+    return cells.with_payload(hits, index, ["label"]).drop("cell")
+
+
+@query
+def cells_recall(spark, folder):
+    """Search of as many cells as a sample asks for, against the exact one: per question its hits,
+    scores that differ from the cosine of the pair, and whether nine in ten true hits are found."""
+    index = _stored_vectors(spark, folder)
+    points = _vectors(spark, folder)
+    asked = points.withColumnRenamed("id", "query_id")
+    probes = cells.choose_probes(asked, index, drop_same=True)
+    found = stage(cells.search_cells(asked, index, probes=probes, drop_same=True), "found")
+    true = retrieval.cosine_top_k(asked, points, drop_same=True).select("query_id", "id")
+    shared = found.join(true, ["query_id", "id"]).agg(F.count("*").alias("shared"))
+    all_true = true.agg(F.count("*").alias("true"))
+    recall = shared.select(F.col("shared")).scalar() / all_true.select(F.col("true")).scalar()
+    pairs = found.join(asked.withColumnRenamed("vector", "_q"), "query_id").join(
+        points.withColumnRenamed("vector", "_p"), "id"
+    )
+    off = F.abs(F.col("score") - retrieval.cosine(F.col("_q"), F.col("_p"))) > 1e-5
+    return pairs.groupBy("query_id").agg(
+        F.least(F.count("*"), F.lit(5)).alias("n_hits"),
+        F.count_if(off).alias("n_wrong"),
+        F.first(recall >= 0.9).alias("recall_reached"),
+    )
+
+
 @query
 def context_assembly(spark, folder):
     """Context per vector from its nearest neighbours' labels; unlike hits give none."""

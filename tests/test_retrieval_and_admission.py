@@ -6,8 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfcast.operators import admission, retrieval
+from shelfcast.operators import admission, cells, retrieval
 from shelfcast.streaming import admission as admission_streams
+from shelfcast.sources import versions
 from shelfcast.streaming import sinks
 
 BASE = datetime(2024, 1, 1)
@@ -98,6 +99,58 @@ def asks(spark, times_by_key):
     return spark.createDataFrame(rows, "user string, ask long, at timestamp").repartition(3)
 
 
+def test_cells_give_the_hits_of_a_full_scan(spark, tmp_path, monkeypatch):
+    """Also where a cell is dealt into many blocks; rows without a whole vector take no part."""
+    monkeypatch.setattr(cells, "POINT_BLOCK", 7)
+    monkeypatch.setattr(cells, "QUESTION_BLOCK", 5)
+    data, points = vectors(spark)
+    odd = spark.createDataFrame([(900, None), (901, [None] * 16)], points.schema)
+    cells.store_points(points.unionByName(odd), str(tmp_path), cells=9)
+    index = cells.open_points(spark, str(tmp_path))
+    assert len(index.centres) == 9 and sum(n for n, _ in index.sizes.values()) == 120
+    asked = points.unionByName(odd).withColumnRenamed("id", "query_id")
+    want = brute_force(data, 5)
+    for probes in (1, 3, 9):
+        got = {}
+        for r in cells.search_cells(asked, index, probes=probes, drop_same=True, exact=True).orderBy("rank").collect():
+            got.setdefault(r.query_id, []).append(r.id)
+        assert got == want
+    near = cells.search_cells(asked, index, probes=cells.choose_probes(asked, index, drop_same=True), drop_same=True)
+    found = {(r.query_id, r.id) for r in near.collect()}
+    assert len(found & {(q, i) for q, ids in want.items() for i in ids}) >= 0.9 * 600
+
+
+def test_a_collection_is_replaced_as_a_whole(spark, tmp_path):
+    _, points = vectors(spark)
+    rows = points.withColumn("note", F.lit("old"))
+    path = str(tmp_path)
+    cells.store_points(rows.where("id < 50"), path, cells=3, payload=["note"])
+    before = cells.open_points(spark, path)
+    draft = versions.draft(path)
+    rows.write.parquet(f"{draft}/points")  # not published: nobody sees it
+    assert cells.open_points(spark, path).points.count() == 50
+    cells.store_points(rows.withColumn("note", F.lit("new")), path, cells=4, payload=["note"])
+    assert before.points.count() == 50  # a reader goes on with its version
+    index = cells.open_points(spark, path)
+    assert index.points.count() == 120 and len(index.centres) == 4
+    asked = points.where("id = 7").withColumnRenamed("id", "query_id")
+    hits = cells.with_payload(cells.search_cells(asked, index, exact=True), index, ["note"]).collect()
+    assert {h.note for h in hits} == {"new"} and min(hits, key=lambda h: h["rank"]).id == 7
+    assert [v.number for v in versions.history(spark, path)] == [2, 1]
+    with pytest.raises(FileNotFoundError):
+        cells.open_points(spark, f"{path}/none")
+
+
+def test_vectors_that_are_all_alike_or_empty(spark, tmp_path):
+    same = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(30)], "id long, vector array<float>")
+    cells.store_points(same, f"{tmp_path}/same", cells=4)
+    index = cells.open_points(spark, f"{tmp_path}/same")
+    asked = same.withColumnRenamed("id", "query_id").where("query_id = 9")
+    assert [r.id for r in cells.search_cells(asked, index, exact=True).orderBy("rank").collect()] == [0, 1, 2, 3, 4]
+    cells.store_points(same.limit(0), f"{tmp_path}/none")
+    assert cells.search_cells(asked, cells.open_points(spark, f"{tmp_path}/none"), exact=True).count() == 0
+
+
 def verdicts(decided):
     out = {}
     for r in decided.orderBy("user", "ask").collect():
