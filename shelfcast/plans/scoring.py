@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfcast import config
 from shelfcast.operators import (
     anomaly,
+    bundles,
     evaluate,
     features,
     forecast,
@@ -102,7 +103,7 @@ def run_scoring(
     )
     residuals = tables.read_parquet(spark, f"{base}/val_residuals", "val_residuals")
 
-    upper = forecast.fit_quantile_forecast(train, rounds=rounds, depth=depth)
+    upper = forecast.fit_quantile_forecast(train, validation, rounds=rounds, depth=depth)
     fill = evaluate.median(validation, "roll_mean_28")
     risk_rows = inventory.with_stockout_flag(
         inventory.with_inventory(upper.predict(validation), inventory_inputs, fill)
@@ -126,7 +127,15 @@ def run_scoring(
     )
     scored = tables.read_parquet(spark, f"{base}/forecasts", "forecasts")
 
-    artifacts.save_model(point.trees, f"{base}/models", "demand_forecast")
+    shared = {"validation_days": config.VALIDATION_DAYS}
+    boosting = {**shared, "rounds": rounds, "depth": depth}
+    fitted = {
+        "demand_forecast": (point, boosting),
+        "demand_risk_p90": (upper, {**boosting, "alpha": config.RISK_QUANTILE, "trees": len(upper.trees)}),
+        "demand_anomaly": (forest, {**shared, "trees": trees, "contamination": config.CONTAMINATION}),
+    }
+    for name, (model, params) in fitted.items():
+        bundles.save_model(spark, model, f"{base}/models/{name}", params)
     log = f"{base}/model_metrics"
     for model, metrics in (
         ("demand_forecast", evaluate.point_metrics(residuals, "sales")),
@@ -134,8 +143,6 @@ def run_scoring(
         ("demand_anomaly", anomalies.agg(F.avg("anomaly_flag").alias("anomaly_rate"))),
     ):
         artifacts.log_run(artifacts.metric_rows(metrics, run, model, logged_at), log)
-    params = {"rounds": rounds, "depth": depth, "validation_days": config.VALIDATION_DAYS}
-    artifacts.log_run(
-        artifacts.param_rows(spark, params, run, "demand_forecast", logged_at), log
-    )
+    for name, (_, params) in fitted.items():
+        artifacts.log_run(artifacts.param_rows(spark, params, run, name, logged_at), log)
     return scored

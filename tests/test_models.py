@@ -1,15 +1,16 @@
+import time
 from datetime import date, timedelta
 
 import numpy as np
 import pytest
-from pyspark.ml.regression import GBTRegressionModel
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
 from shelfcast import config
-from shelfcast.operators import anomaly, evaluate, features, forecast, inventory, isolation, split
+from shelfcast.operators import anomaly, bundles, evaluate, features, forecast, inventory, isolation, split
 from shelfcast.functions import metrics
 from shelfcast.plans import scoring
-from shelfcast.sources import artifacts
 
 from test_panel import series
 
@@ -124,8 +125,25 @@ def test_learners_and_scoring_run(spark, tmp_path):
     log = spark.read.parquet(f"{tmp_path}/model_metrics")
     names = {r["name"] for r in log.select("name").distinct().collect()}
     assert {"rmse", "mae", "mape", "pinball_loss", "p90_coverage", "anomaly_rate", "rounds"} <= names
-    trees = artifacts.load_model(GBTRegressionModel, f"{tmp_path}/models", "demand_forecast")
-    assert trees.getNumTrees >= 1
+    settings = {(r["model"], r["name"]) for r in log.where("kind = 'param'").collect()}
+    assert {("demand_forecast", "rounds"), ("demand_risk_p90", "alpha"), ("demand_anomaly", "contamination")} <= settings
+
+    # All three models score alike after a reload in another session.
+    built = features.build_features(fact)
+    _, validation = split.time_split(built)
+    other = spark.newSession()
+    for name, out, given in (
+        ("demand_forecast", "forecast", "val_residuals"), ("demand_risk_p90", "p90_forecast", "val_risk")
+    ):
+        model = bundles.load_model(other, f"{tmp_path}/models/{name}")
+        again = {tuple(r[:3]): r[3] for r in model.predict(validation).select(*config.SERIES_DAY, out).collect()}
+        stored = spark.read.parquet(f"{tmp_path}/{given}").select(*config.SERIES_DAY, out).collect()
+        assert len(stored) == 84 and again == {tuple(r[:3]): pytest.approx(r[3], abs=1e-9) for r in stored}
+    forest = bundles.load_model(other, f"{tmp_path}/models/demand_anomaly")
+    assert bundles.model_params(other, f"{tmp_path}/models/demand_anomaly")["trees"] == 20
+    stored = spark.read.parquet(f"{tmp_path}/val_anomalies")
+    off = forest.transform(stored.withColumnRenamed("anomaly_score", "known")).where("abs(anomaly_score - known) > 1e-9")
+    assert off.isEmpty()
 
     # One shared model: same inputs, other ids, other predictions.
     built = features.build_features(fact)
@@ -143,6 +161,49 @@ def test_learners_and_scoring_run(spark, tmp_path):
     assert 0.84 <= cover.first()[0] <= 0.97
 
 
+def test_packed_trees_score_as_the_fitted_ones(spark):
+    """Numbers, categories and unseen values; 500 trees in a few seconds."""
+    rng = np.random.default_rng(3)
+    rows = [(int(c), float(a), float(b), float(a * 3 + (c in (1, 4)) * 5 + rng.normal()))
+            for c, a, b in zip(rng.integers(0, 6, 600), rng.normal(size=600), rng.normal(size=600))]
+    frame = spark.createDataFrame(rows, "c int, a double, b double, y double")
+    meta = {"ml_attr": {"type": "nominal", "vals": list("012345"), "name": "c"}}
+    frame = frame.withColumn("c", F.col("c").cast("double").alias("c", metadata=meta))
+    frame = VectorAssembler(inputCols=["c", "a", "b"], outputCol="features").transform(frame)
+    fitted = DecisionTreeRegressor(labelCol="y", maxDepth=5, seed=1).fit(frame)
+    assert " in {" in fitted.toDebugString
+    packed = forecast.pack_tree(fitted, [0, 1, 2])
+    x = np.stack([r["features"].toArray() for r in frame.select("features").collect()])
+    want = [r["prediction"] for r in fitted.transform(frame).select("prediction").collect()]
+    assert packed.value[packed.leaves(x)].tolist() == want
+    began = time.time()
+    total = sum(packed.value[packed.leaves(x[:50])] for _ in range(500))
+    assert time.time() - began < 5 and total == pytest.approx(500 * np.array(want[:50]))
+
+
+def test_boosting_stops_early_and_targets_do_not_leak(spark):
+    """A target drawn at random gains nothing from the means of its own series."""
+    rng = np.random.default_rng(9)
+    keys = [(f"i{n % 400}", f"s{n % 7}") for n in range(2400)]
+    rows = [(i, s, START + timedelta(days=d // 400), float(v))
+            for d, ((i, s), v) in enumerate(zip(keys, rng.normal(size=2400)))]
+    frame = spark.createDataFrame(rows, "item_id string, store_id string, date date, sales double")
+    coded = forecast._out_of_fold(frame, "sales").select("sales", "item_id_mean").toPandas()
+    assert len(coded) == 2400 and abs(np.corrcoef(coded["sales"], coded["item_id_mean"])[0, 1]) < 0.08
+    within = frame.groupBy("item_id").agg(F.avg("sales").alias("m"))
+    leaky = frame.join(within, "item_id").select("sales", "m").toPandas()
+    assert np.corrcoef(leaky["sales"], leaky["m"])[0, 1] > 0.3
+
+    noise = None
+    for n, item in enumerate(["a", "b"]):
+        part = series(spark, rng.integers(0, 30, 110).tolist(), item)
+        noise = part if noise is None else noise.unionByName(part)
+    train, validation = split.time_split(features.build_features(noise))
+    model = forecast.fit_quantile_forecast(
+        train, validation, rounds=30, depth=3, step=0.8, min_rows=5, patience=3)
+    assert len(model.losses) < 30 and len(model.trees) == int(np.argmin(model.losses)) + 1
+
+
 def test_forest_samples_at_every_size(spark):
     """One rule of drawing: full trees of different rows, whatever the number of rows."""
     trees, size = 20, 32
