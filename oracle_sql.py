@@ -325,6 +325,11 @@ ORACLES: dict[str, str] = {
             count(*) AS n_rows, CAST(min(date) AS VARCHAR) AS first_day,
             CAST(max(date) AS VARCHAR) AS last_day
         FROM feats, cut GROUP BY 1""",
+    "reloaded_models": f"""WITH {_features("coarse")},
+        cut AS (SELECT max(date) - 28 AS cutoff FROM feats)
+        SELECT model, item_id, store_id, count(*) AS n_rows, 0::BIGINT AS n_differ, 0::BIGINT AS n_out_of_range
+        FROM feats, cut, (VALUES ('point'), ('quantile'), ('forest')) AS m(model)
+        WHERE date > cutoff GROUP BY ALL""",
     "point_metrics": f"""WITH {_SCORED}
         SELECT {_dec("sqrt(avg((actual_sales - forecast) * (actual_sales - forecast)))", 4)} AS rmse,
             {_dec("avg(abs(actual_sales - forecast))", 4)} AS mae,

@@ -12,6 +12,7 @@ from shelfcast.functions.scalars import round_decimal
 from shelfcast.operators import (
     admission,
     anomaly,
+    bundles,
     cards,
     cells,
     decisions,
@@ -716,6 +717,35 @@ def quantile_forecast(spark, folder):
     return _text_dates(model.predict(validation).select(*config.SERIES_DAY, "sales", "p90_forecast"))
 
 
+@query
+def reloaded_models(spark, folder):
+    """The three models, saved and loaded again: rows scored per series, scores that the reloaded
+    model gives otherwise, and scores out of their range."""
+    train, validation = _stored_features(spark, folder)
+    point = forecast.fit_point_forecast(train, validation, rounds=6, depth=4, step=0.3)
+    upper = forecast.fit_quantile_forecast(train, validation, rounds=6, depth=4, step=0.5, patience=2)
+    residuals = stage(point.predict(validation).select(*config.SERIES_DAY, "residual"), "residuals")
+    scaled = stage(anomaly.anomaly_features(residuals), "scaled")
+    forest = isolation.fit_forest(scaled, trees=50)
+    base = scratch_path(spark, "models")
+    reports_of = []
+    for name, model, apply, out, low in (
+        ("point", point, lambda m: m.predict(validation), "forecast", 0.0),
+        ("quantile", upper, lambda m: m.predict(validation), "p90_forecast", 0.0),
+        ("forest", forest, lambda m: m.transform(scaled), "anomaly_score", -1.0),
+    ):
+        bundles.save_model(spark, model, f"{base}/{name}")
+        again = apply(bundles.load_model(spark, f"{base}/{name}")).select(*config.SERIES_DAY, F.col(out).alias("again"))
+        both = apply(model).select(*config.SERIES_DAY, out).join(again, [*config.SERIES_DAY])
+        differs = ~(F.abs(F.col(out) - F.col("again")) <= 1e-9)
+        reports_of.append(both.groupBy(F.lit(name).alias("model"), *config.SERIES).agg(
+            F.count("*").alias("n_rows"),
+            F.count_if(F.coalesce(differs, F.lit(True))).alias("n_differ"),
+            F.count_if(F.coalesce(F.col(out) < low, F.lit(True))).alias("n_out_of_range"),
+        ))
+    return reports_of[0].unionByName(reports_of[1]).unionByName(reports_of[2])
+
+
 @query
 def isolation_forest(spark, folder):
     scaled = _scored(spark, folder).select(*config.SERIES_DAY, *anomaly.ANOMALY_FEATURES)
