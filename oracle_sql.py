@@ -521,4 +521,6 @@ for _name in ("usage_window", "usage_now"):  # usage counts admitted events only
 ORACLES["replay_stream"] = ORACLES["replay_cards"]
 ORACLES["usage_stream"] = ORACLES["usage_window"]
 ORACLES["cumulative_cards"] = ORACLES["insight_cards"]
+ORACLES["card_documents"] = ORACLES["insight_cards"]
+ORACLES["part_documents"] = "SELECT CAST(p_partkey AS VARCHAR) AS part, p_name, p_retailprice FROM part"
 ORACLES["decision_stream"] = ORACLES["finance"]

@@ -32,7 +32,7 @@ from shelfcast.operators import (
 )
 from shelfcast.plans import chain, scoring
 from shelfcast.session import scratch_path, tune
-from shelfcast.sources import retail
+from shelfcast.sources import documents, retail
 from shelfcast.sources.tables import read_table, stage
 from shelfcast.streaming import admission as admission_streams
 from shelfcast.streaming import cards as card_streams
@@ -405,6 +405,25 @@ def insight_cards(spark, folder):
     return _rounded(_cards(spark, folder), "anomaly_score", "normalized_residual")
 
 
+@query
+def card_documents(spark, folder):
+    """The cards, written as documents of one JSON array each and read back by splits."""
+    built = stage(_cards(spark, folder), "cards")
+    path = scratch_path(spark, "card-documents")
+    documents.write_json_arrays(built, path, documents=1 + built.count() // 10_000)
+    back = documents.read_json_array(spark, path, built.schema, "cards")
+    return _rounded(back, "anomaly_score", "normalized_residual")
+
+
+@query
+def part_documents(spark, folder):
+    """Parts as JSON objects keyed by part, read back as one row per key."""
+    part = read_table(spark, folder, "part").select("p_partkey", "p_name", "p_retailprice")
+    path = scratch_path(spark, "part-documents")
+    documents.write_json_maps(part, path, "p_partkey", documents=1 + part.count() // 10_000)
+    return documents.read_json_map(spark, path, "p_name string, p_retailprice double", "parts", "part")
+
+
 @query
 def persistence(spark, folder):
     return _text_dates(cards.persistence(_scored(spark, folder)))

@@ -12,10 +12,6 @@ from pyspark.sql import types as T
 from shelfcast import config
 from shelfcast.session import scratch_path
 
-# A JSON document that holds one object or array is one record to Spark. Documents beyond
-# this size must come as JSON lines or Parquet instead.
-DOCUMENT_LIMIT_BYTES = 128 * 1024 * 1024
-
 
 class MissingInput(FileNotFoundError):
     """An input table is not there; the message names the table and the path."""
@@ -129,31 +125,3 @@ def write_json_lines(df: DataFrame, path: str) -> None:
 
 def read_json_lines(spark: SparkSession, path: str, schema, name: str) -> DataFrame:
     return _guard(lambda: spark.read.schema(schema).json(path), name, path)
-
-
-def _check_document_size(spark: SparkSession, path: str, name: str) -> None:
-    files = _guard(
-        lambda: spark.read.format("binaryFile").load(path).select("length"), name, path
-    )
-    largest = files.agg(F.max("length")).first()[0] or 0
-    if largest > DOCUMENT_LIMIT_BYTES:
-        raise ValueError(
-            f"'{name}' at {path} holds a JSON document of {largest} bytes; "
-            "give it as JSON lines or Parquet"
-        )
-
-
-def read_json_array(spark: SparkSession, path: str, schema, name: str) -> DataFrame:
-    """A file holding one JSON array of records."""
-    _check_document_size(spark, path, name)
-    return spark.read.schema(schema).option("multiLine", True).json(path)
-
-
-def read_json_map(
-    spark: SparkSession, path: str, value_schema: str, name: str, key: str = "item_id"
-) -> DataFrame:
-    """A file holding one JSON object ``{key: {fields}}``, as one row per key."""
-    _check_document_size(spark, path, name)
-    document = spark.read.text(path, wholetext=True)
-    entries = F.from_json("value", f"map<string,struct<{value_schema}>>")
-    return document.select(F.explode(entries).alias(key, "_fields")).select(key, "_fields.*")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from shelfcast import config
 from shelfcast.operators import cards, decisions, replay, reports, topics
 from shelfcast.plans import chain
-from shelfcast.sources import tables
+from shelfcast.sources import documents, tables
 
 START = date(2020, 3, 1)
 
@@ -175,15 +175,15 @@ def test_card_documents_and_maps(spark, tmp_path):
     back = tables.read_json_lines(spark, str(tmp_path / "cards"), cards.CARD_SCHEMA, "cards")
     assert sorted(back.collect()) == sorted(built.collect())
     (tmp_path / "array.json").write_text('[{"id": "x", "days_flagged": 2},\n {"id": "y"}]')
-    array = tables.read_json_array(
+    array = documents.read_json_array(
         spark, str(tmp_path / "array.json"), "id string, days_flagged int", "cards"
     )
     assert sorted(tuple(r) for r in array.collect() if r.days_flagged) == [("x", 2)]
     (tmp_path / "map.json").write_text('{\n "i1": {"cost_ratio": 0.5},\n "i2": {"cost_ratio": 0.7}\n}')
-    cost = tables.read_json_map(spark, str(tmp_path / "map.json"), "cost_ratio double", "item_cost")
+    cost = documents.read_json_map(spark, str(tmp_path / "map.json"), "cost_ratio double", "item_cost")
     assert sorted(tuple(r) for r in cost.collect()) == [("i1", 0.5), ("i2", 0.7)]
     with pytest.raises(tables.MissingInput, match="item_cost"):
-        tables.read_json_map(spark, str(tmp_path / "no.json"), "cost_ratio double", "item_cost")
+        documents.read_json_map(spark, str(tmp_path / "no.json"), "cost_ratio double", "item_cost")
 
 
 def test_feed_filter(spark):
