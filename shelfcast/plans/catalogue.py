@@ -323,12 +323,12 @@ def flag_rates(spark, folder):
 
 @query
 def calibration(spark, folder):
-    return evaluate.calibration(retail.daily_sales(spark, folder), "sales")
+    return evaluate.calibration(stage(retail.daily_sales(spark, folder), "daily"), "sales")
 
 
 @query
 def median_demand(spark, folder):
-    rows = _coarse_features(spark, folder)
+    rows = stage(_coarse_features(spark, folder).select("roll_mean_28"), "means")
     return rows.agg(
         F.first(evaluate.median(rows, "roll_mean_28")).alias("median_roll_mean_28"),
         F.count("*").alias("n_rows"),

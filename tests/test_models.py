@@ -42,6 +42,29 @@ def test_pinball_and_percentiles(spark):
     assert [r.n for r in evaluate.histogram(df, "x").orderBy("bin").collect()] == counts.tolist()
 
 
+@pytest.mark.parametrize("kind", ["even", "ties", "tails", "two", "one"])
+def test_order_statistics_in_rounds(spark, kind):
+    """Small brackets and a rough summary, so that several rounds are needed."""
+    rng = np.random.default_rng(7)
+    values = {
+        "even": rng.normal(size=3000), "ties": rng.integers(0, 4, 3000).astype(float),
+        "tails": np.exp(rng.normal(0, 60, 3000)) * rng.choice([-1, 1], 3000),
+        "two": np.repeat([1.0, 2.0], 1500), "one": np.full(3000, 5.0),
+    }[kind]
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double").repartition(4)
+    ranks = [0, 1, 749, 1499, 1500, 2998, 2999]
+    got = evaluate.order_statistics(df, "x", ranks, small=4, accuracy=50)
+    assert got == np.sort(values)[ranks].tolist()
+    assert evaluate.percentiles(df, "x", [0.1, 0.5, 0.99]) == pytest.approx(np.percentile(values, [10, 50, 99]))
+
+
+def test_percentiles_of_nothing(spark):
+    nothing = spark.createDataFrame([(None,)], "x double")
+    assert evaluate.percentiles(nothing, "x", [0.5]) == [None]
+    assert nothing.select(evaluate.median(nothing, "x")).first()[0] is None
+    assert [r["coverage"] for r in evaluate.calibration(nothing, "x").collect()] == [None] * 3
+
+
 def test_split_and_inventory(spark):
     days = series(spark, list(range(40)))
     train, validation = split.time_split(days)
