@@ -21,7 +21,7 @@ from shelfcast.llm.common import Vocabulary as Numbers, mixed, small_batches, st
 TOKENIZER_A = "/opt/tokenizers/byte_bpe_50k.json"
 TOKENIZER_B = "/opt/tokenizers/piece_bpe_32k.model"
 BATCH_BYTES = 1 << 22  # text read together
-RUN_LETTERS = 1 << 14  # words encoded together
+RUN_LETTERS = 1 << 10  # words encoded together
 HELD_WORDS, HELD_LETTERS = 1 << 19, 1 << 24  # words a worker remembers
 HELD = 1 << 22  # pairs a task holds before it combines them
 SEGMENTS = 1024  # most parts of the pair space; a part holds V_A * V_B / SEGMENTS pairs at most
@@ -168,7 +168,7 @@ class Tokenizers:
         """Token ids of each text, A with a space before it; None where they do not spell both."""
         spaced = [" " + text for text in texts]
         out = []
-        for text, a, b in zip(spaced, self.a.encode_batch(spaced, add_special_tokens=False),
+        for text, a, b in zip(spaced, self.a.encode_batch_fast(spaced, add_special_tokens=False),
                               self.b.encode(texts, num_threads=1)):
             whole, ids = text.encode(), a.ids
             spelled = b"".join(map(self.a_bytes.__getitem__, ids)) == whole == b"".join(map(self.b_bytes.__getitem__, b))
@@ -255,6 +255,13 @@ def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.diff(running[np.concatenate(([0], ends))])
 
 
+def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values and how often each occurs, by one sort."""
+    values = np.sort(values)
+    first = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.zeros(0, np.int64)
+    return values[first], np.diff(first, append=len(values))
+
+
 def links(batch: Aligned, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Pairs as keys (A id * width + B id), the word of each and how often it is linked there.
 
@@ -299,13 +306,13 @@ def _spelled(of: Tokenizers, batch: Aligned) -> list[str]:
 class Words:
     """Alignments of the words a worker has met: counts, pairs and spelled groups by number."""
 
-    def __init__(self, of: Tokenizers):
-        self.of = of
+    def __init__(self, of: Tokenizers, spell: bool):
+        self.of, self.spell = of, spell
         self.forget()
 
     def forget(self) -> None:
         self.number: dict[str, int] = Numbers()
-        self.letters = 0
+        self.known = self.letters = 0
         self.spelled: list[str] = []
         self.good = np.zeros(0, bool)
         # Per word: tokens of A, of B, groups, links; and where its pairs begin and how many it has.
@@ -339,24 +346,24 @@ class Words:
         batch, good = align(self.of, words)
         self.letters += sum(map(len, words))
         found = list(links(batch, self.of.width))
-        keys, word, times = (np.concatenate(x) for x in zip(*found))
-        order = np.lexsort((keys, word))
-        keys, word, times = keys[order], word[order], times[order]
-        new = np.ones(len(keys), bool)
-        new[1:] = (keys[1:] != keys[:-1]) | (word[1:] != word[:-1])
-        first = np.flatnonzero(new)
-        times = np.add.reduceat(times, first) if len(first) else times
-        many = np.bincount(word[first], minlength=len(words))
-        n_links = np.bincount(word[first], times, len(words)).astype(np.int64)
+        space = self.of.width * len(self.of.a_bytes)
+        codes, times = _counted(found[0][1] * space + found[0][0])
+        if len(found) > 1:
+            codes, times = _combined([codes, *(w * space + k for k, w, _ in found[1:])], [times, *(t for *_, t in found[1:])])
+        word, keys = codes // space, codes % space
+        many = np.bincount(word, minlength=len(words))
+        n_links = np.bincount(word, times, len(words)).astype(np.int64)
         ends = (batch.a_ends, batch.b_ends, batch.group_ends)
         totals = np.stack([*(np.diff(e, prepend=0) for e in ends), n_links])
         self.totals = np.concatenate((self.totals, totals), axis=1)
         self.first = np.concatenate((self.first, len(self.keys) + np.cumsum(many) - many))
         self.many = np.concatenate((self.many, many))
-        self.keys = np.concatenate((self.keys, keys[first]))
+        self.keys = np.concatenate((self.keys, keys))
         self.times = np.concatenate((self.times, times))
         self.good = np.concatenate((self.good, good))
-        self.spelled += _spelled(self.of, batch)
+        self.known += len(words)
+        if self.spell:
+            self.spelled += _spelled(self.of, batch)
 
     def pairs(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places in ``keys`` of the pairs of the given words, and for each the word's place."""
@@ -371,10 +378,12 @@ class Words:
 _BUILT: dict[str, Words] = {}
 
 
-def _words(shared: Broadcast, name: str) -> Words:
-    if name not in _BUILT:  # once per worker
+def _words(shared: Broadcast, name: str, spell: bool) -> Words:
+    """The worker's words; groups are spelled where the task needs them."""
+    known = _BUILT.get(name)
+    if known is None or known.spell != spell:
         _BUILT.clear()
-        _BUILT[name] = Words(Tokenizers(*shared.value))
+        _BUILT[name] = Words(known.of if known else Tokenizers(*shared.value), spell)
     return _BUILT[name]
 
 
@@ -406,17 +415,17 @@ def _count_pairs(shared: Broadcast, name: str, segments: int, space: int):
             "counts": pa.array([x.tobytes() for x in counts[: len(some)]], pa.binary())})
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _words(shared, name)
+        known = _words(shared, name, False)
         keys, counts, held = [], [], 0
         for _, texts in _texts(batches):
             numbers, ends = known.read(texts)
-            total = max(1, len(known.spelled))
+            total = max(1, known.known)
             text = np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0))
-            once = np.unique(text * total + numbers)
+            once, _ = _counted(text * total + numbers)
             place, word = known.pairs(once % total)
-            key, n = np.unique(np.unique((once // total)[word] * space + known.keys[place]) % space, return_counts=True)
+            key, n = _counted(_counted((once // total)[word] * space + known.keys[place])[0] % space)
             keys.append(key)
-            counts.append(n.astype(np.int64))
+            counts.append(n)
             held += len(key)
             if held > HELD:
                 key, n = _combined(keys, counts)
@@ -490,7 +499,7 @@ def _highest(width: int):
 def _report(shared: Broadcast, name: str, lookup: Broadcast):
     """Second pass: alignment of each document and what its links count."""
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _words(shared, name)
+        known = _words(shared, name, True)
         table, best = lookup.value
         for rows, texts in _texts(batches):
             numbers, ends = known.read(texts)
