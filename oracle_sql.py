@@ -441,6 +441,12 @@ ORACLES: dict[str, str] = {
             UNION ALL
             SELECT item_id FROM supplier_dim WHERE cost_ratio NOT BETWEEN 0.45 AND 0.75) t""",
     "pending": f"WITH {_QUEUE} SELECT id, topic, card_id FROM waiting",
+    "marked_queue": f"""WITH {_QUEUE},
+        risks AS (SELECT * FROM queue WHERE topic = 'stockout_risk'),
+        one AS (SELECT id FROM risks WHERE id < '8' ORDER BY created_at, id LIMIT 50),
+        two AS (SELECT id FROM risks WHERE id NOT IN (SELECT id FROM one) ORDER BY created_at, id LIMIT 40)
+        SELECT id, topic, card_id FROM risks
+        WHERE id NOT IN (SELECT id FROM one) AND id NOT IN (SELECT id FROM two)""",
     "poll_bounded": f"""WITH {_QUEUE}
         SELECT id AS message_id, item_id, store_id, p90_forecast, on_hand_inventory
         FROM waiting WHERE topic = 'stockout_risk' ORDER BY created_at, id LIMIT 50""",
@@ -519,6 +525,7 @@ for _name in ("usage_window", "usage_now"):  # usage counts admitted events only
         f"epoch_us(CAST(ts AS TIMESTAMP)) AS us FROM ({ORACLES['rate_limit']}) r WHERE admitted",
     )
 ORACLES["replay_stream"] = ORACLES["replay_cards"]
+ORACLES["replay_stream_reorders"] = ORACLES["replay_reorders"]
 ORACLES["usage_stream"] = ORACLES["usage_window"]
 ORACLES["cumulative_cards"] = ORACLES["insight_cards"]
 ORACLES["card_documents"] = ORACLES["insight_cards"]

@@ -106,6 +106,20 @@ def latest_state(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def merge_states(parts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """States of the same series over different rows as one; parts may come in any order."""
+    keys = [*by, *config.SERIES]
+    return (
+        parts.groupBy(*keys)
+        .agg(
+            F.max(F.struct(*_STATE)).alias("_state"),
+            F.sum("days_flagged").cast("int").alias("days_flagged"),
+            F.min("first_flagged_date").alias("first_flagged_date"),
+        )
+        .select(*keys, *(F.col(f"_state.{c}").alias(c) for c in _STATE), "days_flagged", "first_flagged_date")
+    )
+
+
 def persistence(scored: DataFrame) -> DataFrame:
     """Stockout days per series and the first of them."""
     return (

@@ -576,6 +576,26 @@ def queue_depth(spark, folder):
     return topics.backlog(queue, _consumed(queue))
 
 
+@query
+def marked_queue(spark, folder):
+    """What waits in the stockout topic of a store after polls, compactions, a repeated mark and a
+    second publication under old times."""
+    queue = _queue(spark, folder)
+    store = topics.TopicStore(spark, scratch_path(spark, "topics"))
+    now = F.lit("2024-01-01").cast("timestamp")
+    early = F.substring("id", 1, 1) < "8"
+    store.publish(queue.where(early))
+    taken = store.poll(config.TOPIC_STOCKOUT, now)
+    for _ in range(2):
+        store.mark(taken, now, config.TOPIC_STOCKOUT)
+    store.compact(config.TOPIC_STOCKOUT)
+    store.publish(queue.where(~early))
+    store.poll(config.TOPIC_STOCKOUT, now, 20)
+    store.compact(config.TOPIC_STOCKOUT)
+    store.poll(config.TOPIC_STOCKOUT, now, 20)
+    return store.pending(config.TOPIC_STOCKOUT).select("id", "topic", "card_id")
+
+
 @query
 def recent_actions(spark, folder):
     rows = reports.recent_actions(_action_log(spark, folder))
@@ -840,9 +860,8 @@ def rate_limit_global(spark, folder):
     return decided.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
-@query
-def replay_stream(spark, folder):
-    """The two-day batches as a stream over the scored days."""
+def _replay_stream(spark: SparkSession, folder: str) -> str:
+    """The two-day batches as a stream over the scored days, and the path of its tables."""
     rows = _scored(spark, folder)
     base = scratch_path(spark, "replay")
     # Dealt by item, so that every file reaches over the whole time and most days arrive late.
@@ -850,15 +869,28 @@ def replay_stream(spark, folder):
     first = rows.agg(F.min("date")).first()[0]
     schema = spark.read.parquet(f"{base}/days").schema
     stream = sinks.read_files(spark, f"{base}/days", schema, files_per_trigger=2)
-    card_streams.replay_state(
-        stream, first, f"{base}/cards", f"{base}/checkpoint", batch_days=2
+    card_streams.replay_stream(
+        stream, first, f"{base}/replayed", f"{base}/checkpoint", batch_days=2
     ).awaitTermination()
-    return card_streams.replayed_cards(spark, f"{base}/cards").select(
+    return f"{base}/replayed"
+
+
+@query
+def replay_stream(spark, folder):
+    """Cards of every two-day batch, replayed as a stream."""
+    built = card_streams.replayed(spark, _replay_stream(spark, folder))["cards"]
+    return built.select(
         "batch", *config.SERIES_DAY, "days_flagged", "stockout_risk_flag", "p90_forecast",
         "on_hand_inventory",
     )
 
 
+@query
+def replay_stream_reorders(spark, folder):
+    """Cards, published risks and reorders per batch, as the stream decides them."""
+    return card_streams.replay_report(spark, _replay_stream(spark, folder))
+
+
 @query
 def cumulative_cards(spark, folder):
     """Cards from the state a stream over the scored days keeps."""
@@ -868,7 +900,9 @@ def cumulative_cards(spark, folder):
     stream = sinks.read_files(
         spark, f"{base}/days", spark.read.parquet(f"{base}/days").schema, files_per_trigger=3
     )
-    card_streams.cumulative_state(stream, f"{base}/state", f"{base}/checkpoint").awaitTermination()
+    card_streams.cumulative_state(
+        stream, f"{base}/state", f"{base}/checkpoint", compact_every=2
+    ).awaitTermination()
     built = card_streams.cumulative_cards(spark, f"{base}/state")
     return _rounded(built, "anomaly_score", "normalized_residual")
 

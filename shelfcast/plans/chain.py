@@ -105,9 +105,7 @@ def run_step(
     one everything pending is worked on and marked after the writes.
     """
     if limit is None:
-        batch = topics.pending(
-            store.queue().where(F.col("topic") == step.topic), store.consumed()
-        )
+        batch = store.pending(step.topic)
     else:
         batch = store.poll(step.topic, now, limit)
     result = step.rule(topics.read_payload(batch, step.schema).drop("message_id"))
@@ -121,7 +119,7 @@ def run_step(
     if step.forward:
         store.publish(topics.messages(result, step.forward, now))
     if limit is None:
-        store.mark(batch, now)
+        store.mark(batch, now, step.topic)
 
 
 def run_chain(

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from shelfcast import config
 from shelfcast.operators import cards, decisions, replay, reports, topics
 from shelfcast.plans import chain
-from shelfcast.sources import documents, tables
+from shelfcast.sources import documents, tables, versions
+from shelfcast.streaming import sinks
 
 START = date(2020, 3, 1)
 
@@ -192,3 +193,65 @@ def test_feed_filter(spark):
     assert reports.card_feed(built, ["other"]).count() == 0
     assert list(reports.card_feed(built).columns) == list(reports.FEED_COLUMNS)
     assert config.TOPIC_STOCKOUT == "stockout_risk"
+
+
+def test_marks_and_late_messages(spark, tmp_path):
+    """A repeated batch marks once; a message published late under an old time is not lost."""
+    store = topics.TopicStore(spark, str(tmp_path))
+
+    def published(ids, hour):
+        rows = spark.createDataFrame([(f"c{i:03d}",) for i in ids], "card_id string")
+        store.publish(topics.messages(rows, "t", F.lit(f"2024-01-01 {hour:02d}:00:00").cast("timestamp")))
+        return rows
+
+    def cards_of(df):
+        return sorted(int(r.card_id[1:]) for r in df.collect())
+
+    published(range(10), 5)
+    published(range(10, 20), 7)
+    published(range(5), 5)  # published again: the same messages
+    assert cards_of(store.pending("t")) == list(range(20))
+    assert len(cards_of(store.poll("t", now(), 12))) == 12
+    batch = store.pending("t").orderBy("card_id").limit(3)
+    kept = spark.createDataFrame(batch.collect(), batch.schema)
+    for _ in range(2):
+        store.mark(kept, now(), "t")
+    left = cards_of(store.pending("t"))
+    assert len(left) == 5
+    first = store.compact("t")
+    assert cards_of(store.pending("t")) == left
+    published(range(20, 24), 6)  # between what is marked already
+    published([30], 9)
+    assert cards_of(store.pending("t")) == sorted([*left, 20, 21, 22, 23, 30])
+    second = store.compact("t")
+    assert (second.at, second.id) >= (first.at, first.id) and second.epoch == 2
+    assert cards_of(store.pending("t")) == sorted([*left, 20, 21, 22, 23, 30])
+    oldest = cards_of(store.poll("t", now(), 4))
+    assert oldest == [20, 21, 22, 23]
+    store.compact("t")
+    while cards_of(store.poll("t", now(), 4)):
+        pass
+    assert store.backlog().isEmpty() and store.pending("t").isEmpty()
+    mark = store.compact("t")
+    assert spark.read.parquet(f"{tmp_path}/consumed/topic=t/consumer=default/epoch={mark.epoch}").isEmpty()
+    assert cards_of(store.pending("t", "other")) == [*range(24), 30]
+    assert {r.id for r in store.consumed().collect()} == {r.id for r in store.queue().collect()}
+
+
+def test_a_table_of_changes_is_compacted(spark, tmp_path):
+    """Reads stay right before, between and after snapshots; merging again changes nothing."""
+    path = str(tmp_path / "table")
+    want = {}
+    for epoch in range(7):
+        rows = [(k, epoch * 10 + k) for k in range(epoch, epoch + 3)]
+        want |= dict(rows)
+        spark.createDataFrame(rows, "k long, v long").write.parquet(f"{path}/changes/epoch={epoch}")
+        if epoch in (1, 4):
+            sinks.compact_table(spark, path, ["k"], epoch, "q")
+            sinks.compact_table(spark, path, ["k"], epoch, "q")
+        assert {r.k: r.v for r in sinks.current_rows(spark, path, ["k"]).collect()} == want
+    assert len(versions.history(spark, f"{path}/snapshots")) == 2
+    left = sinks._changes(spark, path, sinks._snapshot(spark, path)[1])
+    assert {r.epoch for r in left.select("epoch").distinct().collect()} == {5, 6}
+    with pytest.raises(FileNotFoundError):
+        sinks.current_rows(spark, str(tmp_path / "none"), ["k"])
