@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -16,12 +17,53 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 
+# Paths staged while a recording is open, innermost last.
+_RECORDINGS: list[list[str]] = []
+
+
+@contextmanager
+def recorded(paths: list[str]) -> Iterator[None]:
+    """Note the tables staged meanwhile, so that :func:`release` can remove them later."""
+    _RECORDINGS.append(paths)
+    try:
+        yield
+    finally:
+        _RECORDINGS.pop()
+
+
+def release(spark: SparkSession, paths: list[str], docs: DataFrame) -> None:
+    """Remove recorded tables that ``docs`` does not read from. Others stay recorded."""
+    files = docs.inputFiles()
+    kept = []
+    for path in paths:
+        if any(f"/{path.rsplit('/', 1)[1]}/" in file for file in files):
+            kept.append(path)
+            continue
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    paths[:] = kept
+
+
+def fresh_names(docs: DataFrame, *names: str) -> list[str]:
+    """Names that no column of ``docs`` has, in any letter case."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back, which cuts its lineage.
 
     The files survive lost executors, and every reader sees the same rows.
     """
     path = scratch_path(spark, name)
+    if _RECORDINGS:
+        _RECORDINGS[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

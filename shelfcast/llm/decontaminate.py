@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shelfcast.llm.common import stage
+from shelfcast.llm.common import fresh_names, stage
 
 WIDTH = 5
 PERCENT = 80  # of an item's shingles that a document must hold
@@ -113,11 +113,15 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wid
 
 
 def clean_documents(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
-    """The documents that hold no benchmark item, with all their columns. A document is told by
-    its id and a digest of its text."""
+    """The documents that hold no benchmark item, with all their columns, whatever these are named.
+
+    A document is told by its id and a digest of its text, so rows that repeat both share their
+    fate. Null and empty texts are kept, whatever their id. Without items, or documents, the
+    table comes back as it is."""
     keyed = docs.select(F.struct("doc_id", F.xxhash64("text").alias("digest")).alias("doc_id"), "text")
+    own_id, digest = fresh_names(docs, "id", "digest")
     found = contaminated(spark, keyed, benchmark, **settings).select(
-        F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.digest").alias("_digest")).distinct()
+        F.col("doc_id.doc_id").alias(own_id), F.col("doc_id.digest").alias(digest)).distinct()
     found = stage(spark, found, "contaminated")
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_digest")),
-                     "left_anti")
+    same = F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.xxhash64("text") == F.col(digest))
+    return docs.join(found, same, "left_anti")

@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shelfcast.llm.common import Vocabulary, byte_words, components, mixed, runs, small_batches, stage, text_bytes
+from shelfcast.llm.common import Vocabulary, byte_words, components, fresh_names, mixed, runs, small_batches, stage, text_bytes
 
 WIDTH = 4
 PERCENT = 80  # of the union that the intersection must reach
@@ -89,9 +89,9 @@ def _sketch(width: int) -> Callable:
                 at += x
             tokens = np.ascontiguousarray(least[:, :TOKENS]).view(np.int64).ravel()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts), pa.array(digest, mask=~some),
+                [batch.column("doc_id"), batch.column("mark"), pa.array(counts), pa.array(digest, mask=~some),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens)), pa.array(rows, pa.binary())],
-                ["doc_id", "n_shingles", "class", "tokens", "sketch"])
+                ["doc_id", "mark", "n_shingles", "class", "tokens", "sketch"])
 
     return sketch
 
@@ -362,21 +362,25 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = WIDTH, pe
     the smallest unless all ids of the component are null. Rows with equal id and text share
     their fate, so all of them are kept if one is. An empty table gives an empty result.
     """
-    read = docs.select("doc_id", text_bytes(F.col("text")).alias("bytes"))
+    text = text_bytes(F.col("text"))
+    read = docs.select("doc_id", text.alias("bytes"), F.xxhash64(text).alias("mark"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = stage(spark, read.mapInArrow(_sketch(width), (
-        f"doc_id {id_type}, n_shingles long, class long, tokens array<long>, sketch binary")), "nd-sketches")
+        f"doc_id {id_type}, mark long, n_shingles long, class long, tokens array<long>, sketch binary")), "nd-sketches")
     classes = stage(spark, rows.filter(F.col("class").isNotNull()).groupBy("class").agg(
-        F.min("doc_id").alias("least_id"), F.any_value("tokens").alias("tokens"),
+        F.min("doc_id").alias("least_id"),
+        F.coalesce(F.min_by("mark", "doc_id"), F.min("mark")).alias("least_mark"), F.any_value("tokens").alias("tokens"),
         F.any_value("sketch").alias("sketch")), "nd-classes")
     clusters = stage(spark, components(spark, loose_links(spark, classes)), "nd-clusters")
     sizes = stage(spark, clusters.groupBy(F.col("root").alias("cluster")).agg(
         F.count(F.lit(1)).alias("size")), "nd-sizes")
     chosen = (
         clusters.join(sizes, F.col("root") == F.col("cluster")).select(F.col("node").alias("class"), "cluster", "size")
-        .join(classes.select(F.col("class").alias("c"), "least_id", "sketch"), F.col("class") == F.col("c")).drop("c"))
+        .join(classes.select(F.col("class").alias("c"), "least_id", "least_mark", "sketch"), F.col("class") == F.col("c")).drop("c"))
     chosen = stage(spark, chosen, "nd-chosen")
-    members = stage(spark, read.join(chosen, F.col("doc_id").eqNullSafe(F.col("least_id"))).select(
+    # By id and text: rows without an id, or with the same one, meet their own class only.
+    same = F.col("doc_id").eqNullSafe(F.col("least_id")) & (F.col("mark") == F.col("least_mark"))
+    members = stage(spark, read.join(chosen, same).select(
         "bytes", "class", "cluster", "size", "sketch").mapInArrow(
         _members(width), "class long, cluster long, size long, sketch binary, members binary")
         .dropDuplicates(["class"]), "nd-members")
@@ -406,15 +410,15 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, **settings) -> Data
     """
     named = docs.select(F.struct("doc_id", F.xxhash64("text").alias("digest")).alias("doc_id"), "text")
     found = near_duplicates(spark, named, **settings)
-    losers = stage(spark, found.filter(~F.col("kept")).select(
-        F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.digest").alias("_digest")).distinct(), "nd-losers")
+    own_id, digest = fresh_names(docs, "id", "digest")
+    key = [F.col("doc_id.doc_id").alias(own_id), F.col("doc_id.digest").alias(digest)]
+    losers = stage(spark, found.filter(~F.col("kept")).select(*key).distinct(), "nd-losers")
     twice = found.filter(F.col("kept") & (F.col("n_shingles") > 0)).groupBy("doc_id").count().filter("count > 1")
-    twice = stage(spark, twice.select(
-        F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.digest").alias("_digest")), "nd-twice")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_digest"))
+    twice = stage(spark, twice.select(*key), "nd-twice")
+    same = F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.xxhash64("text") == F.col(digest))
     kept = docs.join(losers, same, "left_anti")
     if twice.isEmpty():
         return kept
-    once = kept.join(twice, same, "left_semi").withColumn("_digest", F.xxhash64("text")).dropDuplicates(
-        ["doc_id", "_digest"]).drop("_digest")
+    once = kept.join(twice, same, "left_semi").withColumn(digest, F.xxhash64("text")).dropDuplicates(
+        ["doc_id", digest]).drop(digest)
     return kept.join(twice, same, "left_anti").unionAll(once)
