@@ -24,7 +24,7 @@ DENSE = 0.1  # share of a node alike to its head from which it is linked as a wh
 DEPTH = 4
 CLUSTER = 256  # documents whose full sets one task compares
 PIVOTS = 64
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 _U = np.uint64
 _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
