@@ -197,8 +197,8 @@ _CHAIN = f"""{_ROUTED}, {_DIMENSIONS},
             CASE WHEN abs(normalized_residual) >= 3 THEN 20.0::DOUBLE
                  WHEN abs(normalized_residual) >= 2 THEN 15.0::DOUBLE ELSE 10.0::DOUBLE END
                 AS proposed_discount_pct,
-            'Demand dropped ' || {_fixed("abs(normalized_residual)")}
-            || ' std devs below expected — proposing a promo to recover volume.' AS reason
+            'Sales ran ' || {_fixed("abs(normalized_residual)")}
+            || ' deviations under the forecast; a price cut may bring them back.' AS reason
         FROM routed WHERE topic = 'anomaly_drop')"""
 
 _MICROS = "CAST(epoch_us(CAST(date AS TIMESTAMP)) AS VARCHAR)"
@@ -424,8 +424,8 @@ ORACLES: dict[str, str] = {
             CASE WHEN abs(normalized_residual) >= 3 THEN 20.0::DOUBLE
                  WHEN abs(normalized_residual) >= 2 THEN 15.0::DOUBLE ELSE 10.0::DOUBLE END
                 AS proposed_discount_pct,
-            'Demand dropped ' || {_fixed("abs(normalized_residual)")}
-            || ' std devs below expected — proposing a promo to recover volume.' AS reason
+            'Sales ran ' || {_fixed("abs(normalized_residual)")}
+            || ' deviations under the forecast; a price cut may bring them back.' AS reason
         FROM scored WHERE anomaly_flag = 1 AND normalized_residual < 0""",
     "decision_chain": f"""WITH {_CHAIN}
         SELECT 'procurement_' || procurement_status AS step, 'finance_' || finance_status AS result,
@@ -473,7 +473,7 @@ ORACLES: dict[str, str] = {
             coalesce('Use only these insight cards; say so if they do not hold the answer.'
                 || chr(10) || chr(10) || context || chr(10) || chr(10)
                 || 'Question: What is like vector ' || vec_id || '?',
-                'No relevant insight cards found for this question.') AS prompt
+                'None of the stored cards fits what was asked.') AS prompt
         FROM embeddings LEFT JOIN lines ON query_id = vec_id""",
     "usage_window": f"""WITH {_USAGE}
         SELECT event_id, user_id,

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast import config
+from shelfcast.functions.scalars import before
 from shelfcast.session import scratch_path
 
 _SECOND = 1_000_000
@@ -403,10 +404,9 @@ USAGE_WINDOWS = {"burst_used": config.BURST_SECONDS, "daily_used": config.DAILY_
 def usage_snapshot(log: DataFrame, key: str, time: str, now) -> DataFrame:
     """Usage per key at one moment, next to the limits."""
     micros = F.unix_micros(F.col(time).cast("timestamp"))
-    moment = F.unix_micros(now)
 
     def used(seconds: int):
-        return F.count_if((micros > moment - seconds * _SECOND) & (micros <= moment))
+        return F.count_if((micros > F.unix_micros(before(now, seconds))) & (micros <= F.unix_micros(now)))
 
     return log.groupBy(key).agg(
         used(config.BURST_SECONDS).alias("burst_used"),

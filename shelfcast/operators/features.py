@@ -132,14 +132,3 @@ def build_features(
     if drop_short_history:
         features = features.where(F.col(f"lag_{max(lag_days)}").isNotNull())
     return features
-
-
-def recent_history(
-    panel: DataFrame, scored_from: Column, history_days: int = max(config.LAG_DAYS)
-) -> DataFrame:
-    """Rows that features from a given day on can depend on.
-
-    On a dense panel a window of n rows spans n days, so older rows cannot reach the
-    scored days. The filter sits below the window and is pushed into the scan.
-    """
-    return panel.where(F.col("date") >= F.date_sub(scored_from, history_days))

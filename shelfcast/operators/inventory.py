@@ -30,13 +30,6 @@ def with_inventory(
     return joined.withColumn("on_hand_inventory", on_hand).drop("cover_days", "factor")
 
 
-def with_inventory_feed(rows: DataFrame, feed: DataFrame) -> DataFrame:
-    """On-hand stock from a real feed with the same key."""
-    return rows.join(
-        feed.select(*config.SERIES_DAY, "on_hand_inventory"), list(config.SERIES_DAY), "left"
-    )
-
-
 def with_stockout_flag(rows: DataFrame) -> DataFrame:
     risky = F.col("p90_forecast") > F.col("on_hand_inventory")
     return rows.withColumn("stockout_risk_flag", flag(risky))

@@ -163,7 +163,7 @@ def test_chain_over_stored_topics(spark, tmp_path):
     rationale = reports.rationale_of(log, "need_s").first().rationale
     assert "Item need at store s" in rationale
     promo = log.where("action = 'promo_proposed'").first().details
-    assert "Demand dropped 2.0 std devs below expected" in promo
+    assert "Sales ran 2.0 deviations under the forecast" in promo
     # The lazy chain gives the same decision.
     decided, promos = decisions.decide(built, supplier, cost)
     assert [(r.fulfilled_qty, r.finance_status) for r in decided.collect()] == [(30.0, "approved")]
