@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -13,7 +14,7 @@ from shelfcast.llm.license_rules import RULES, SPAN, Rule
 # lower-cases first; here letters of both cases are kept).
 BREAK = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_RULE = "struct<rule:int,label:string,pattern:string,priority:int,confidence:double,base:boolean>"
+_RULE = "struct<rule:int,label:string,need:string,pattern:string,priority:int,confidence:double,base:boolean>"
 _FOUND = "start:bigint,end:bigint,label:string,rule:int,priority:int,confidence:double,base:boolean"
 FOUND = f"array<struct<{_FOUND},kept:boolean>>"
 
@@ -27,19 +28,28 @@ def _spaces(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" ")))
 
 
+def needed_word(rule: Rule) -> str:
+    """The longest word besides the gate that every match of a rule holds; empty if there is none."""
+    plain = rule.pattern
+    while (shorter := re.sub(r"\([^()]*\)\??", " ", plain)) != plain:  # options and alternatives
+        plain = shorter
+    words = [w for w in plain.split() if re.fullmatch("[a-z0-9]+", w)]
+    return max(words, key=len, default="")
+
+
 def _rules_by_gate(rules: Sequence[Rule]) -> Column:
     table: dict[str, list[dict]] = {}
     for r in rules:
         # A match begins and ends at whole words.
-        one = {"rule": r.rule, "label": r.label, "pattern": f" {r.pattern} ", "priority": r.priority,
+        one = {"rule": r.rule, "label": r.label, "need": needed_word(r), "pattern": f" {r.pattern} ", "priority": r.priority,
                "confidence": r.confidence, "base": r.base}
         table.setdefault(r.gate, []).append(one)
     return F.from_json(F.lit(json.dumps(table)), f"map<string,array<{_RULE}>>")
 
 
 def _matches(words: Column, rules: Sequence[Rule]) -> Column:
-    """All matches: for each word that gates a rule, its neighbourhood is tried with that word's
-    rules. A match holds its gate at the mark, so each place gives one match a rule at most."""
+    """All matches: for each word that gates a rule, its neighbourhood is tried with those of that
+    word's rules whose other needed word stands there too. A match holds its gate at the mark, so each place gives one match a rule at most."""
     by_gate = _rules_by_gate(rules)
 
     def around(place: Column) -> Column:
@@ -61,7 +71,8 @@ def _matches(words: Column, rules: Sequence[Rule]) -> Column:
             return _let(F.regexp_substr(text, rule["pattern"]), located)
 
         return _let(around(place), lambda text: F.filter(
-            F.transform(F.element_at(by_gate, place["gate"]), lambda rule: match(rule, text)), lambda m: m.isNotNull()))
+            F.transform(F.filter(F.element_at(by_gate, place["gate"]), lambda rule: F.contains(text, rule["need"])),
+                        lambda rule: match(rule, text)), lambda m: m.isNotNull()))
 
     gates = sorted({r.gate for r in rules})
     places = F.filter(F.transform(words, lambda w, i: F.struct(i.alias("at"), w.alias("gate"))),

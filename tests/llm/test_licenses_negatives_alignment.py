@@ -85,6 +85,9 @@ def test_license_report(spark, docs):
 def test_rules_are_bounded():
     assert len(RULES) > 300 and len({r.rule for r in RULES}) == len(RULES)
     assert all(r.pattern.count(" ") < SPAN for r in RULES)
+    needs = {r.pattern: license_scan.needed_word(r) for r in RULES}
+    assert needs["mit <license"] == "mit" and needs["<cc by"] == "by" and needs["<gplv2"] == ""
+    assert needs["(2|two) clause <bsd( license)?"] == "clause"
 
 
 def vectors(rng, n, dims=6):
