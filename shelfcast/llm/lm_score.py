@@ -19,6 +19,7 @@ BASE = 1.5  # of the quantisation: level j stands for counts from BASE ** (j - 1
 BITS_PER_ENTRY = 14.0
 PROBES = 6  # bits of one 64-bit word that an entry sets
 MAX_FILTER_MB = 256  # of filter segments broadcast at a time
+PIECE_MB = 16  # of segments that the driver holds at once, each piece a broadcast of its own
 SEGMENTS = 256
 HEAVY = 1 << 20  # tokens with at least 1 / HEAVY of all occurrences are looked up by broadcast
 HOT_CONTEXTS = 64  # contexts with at least 1 / HOT_CONTEXTS of all tokens are split over segments
@@ -127,6 +128,25 @@ class LogFrequencyFilter:
         return ESTIMATE[self.level(keys, segments)]
 
 
+class PiecedFilter:
+    """A filter whose segments come in several pieces; ``held`` tells which segments it answers for."""
+
+    def __init__(self, pieces: list[LogFrequencyFilter], group: list[int]):
+        self.pieces = pieces
+        self.piece = np.full(SEGMENTS, -1)
+        for i, piece in enumerate(pieces):
+            self.piece[piece.held] = i
+        self.held = np.isin(np.arange(SEGMENTS), group)
+
+    def count(self, keys: np.ndarray, segments: np.ndarray) -> np.ndarray:
+        found, of = np.zeros(len(keys)), self.piece[segments]
+        for i, piece in enumerate(self.pieces):
+            at = np.flatnonzero(of == i)
+            if len(at):
+                found[at] = piece.count(keys[at], segments[at])
+        return found
+
+
 def _segment(bigrams: np.ndarray, hot: np.ndarray) -> np.ndarray:
     """Segment of each bigram: by its context; a hot context is split by its words."""
     context = bigrams >> CONTEXT_BITS
@@ -227,8 +247,8 @@ def _build_unigrams(bits_per_entry: float, probes: int) -> Callable:
 class Model:
     """What the scoring tasks of a pass get by broadcast: a group of segments of each filter."""
 
-    words: LogFrequencyFilter
-    pairs: LogFrequencyFilter
+    words: PiecedFilter
+    pairs: PiecedFilter
     hot: np.ndarray  # contexts split over segments
     hot_tokens: np.ndarray
     hot_successors: np.ndarray
@@ -255,9 +275,28 @@ class Model:
         return tokens, np.minimum(successors, tokens)
 
 
-def _score(shared: Broadcast) -> Callable:
+@dataclass
+class Shared:
+    """The broadcasts of a pass. Pieces of the filters stand apart, so that none is copied to be joined."""
+
+    words: list[Broadcast]
+    pairs: list[Broadcast]
+    groups: tuple[list[int], list[int]]
+    counts: Broadcast  # the other fields of the model
+
+    def model(self) -> Model:
+        words, pairs = (PiecedFilter([x.value for x in pieces], group)
+                        for pieces, group in zip((self.words, self.pairs), self.groups))
+        return Model(words, pairs, *self.counts.value)
+
+    def destroy(self) -> None:
+        for shared in (*self.words, *self.pairs):
+            shared.destroy()
+
+
+def _score(shared: Shared) -> Callable:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
+        model = shared.model()
         for batch in small_batches(batches, "bytes", SCORE_BYTES):
             vocabulary, numbers, lengths = _tokens(batch.column("bytes"))
             hashes = vocabulary.hashes()
@@ -304,12 +343,26 @@ def _score(shared: Broadcast) -> Callable:
     return score
 
 
-def _load(segments: DataFrame, group: list[int], probes: int) -> LogFrequencyFilter:
-    """The filter of a group of segments; the others are empty and marked as not held."""
-    arrays = [np.zeros(1, np.uint64)] * SEGMENTS
-    for r in segments.filter(F.col("segment").isin(group) & F.col("bits").isNotNull()).select("segment", "bits").collect():
-        arrays[r["segment"]] = np.frombuffer(bytes(r["bits"]), np.uint64)
-    return LogFrequencyFilter(arrays, probes, np.isin(np.arange(SEGMENTS), group))
+def _share(spark: SparkSession, segments: DataFrame, group: list[int], probes: int) -> list[Broadcast]:
+    """Broadcast the segments of a group. They are read task by task, and sent on whenever a
+    piece is full, so that the driver never holds a whole filter."""
+    shared: list[Broadcast] = []
+    found: dict[int, np.ndarray] = {}
+
+    def send() -> None:
+        arrays = [found.get(segment, np.zeros(1, np.uint64)) for segment in range(SEGMENTS)]
+        held = np.isin(np.arange(SEGMENTS), list(found))
+        shared.append(spark.sparkContext.broadcast(LogFrequencyFilter(arrays, probes, held)))
+        found.clear()
+
+    rows = segments.filter(F.col("segment").isin(group) & F.col("bits").isNotNull()).select("segment", "bits")
+    for row in rows.toLocalIterator():
+        found[row["segment"]] = np.frombuffer(row["bits"], np.uint64)
+        if sum(x.nbytes for x in found.values()) >= PIECE_MB * 1e6:
+            send()
+    if found:
+        send()
+    return shared
 
 
 def _sizes(segments: DataFrame) -> np.ndarray:
@@ -348,7 +401,8 @@ def score_documents(spark: SparkSession, docs: DataFrame, *, modulus: int = 7, h
     is missing, and interpolates pair and word estimates after Witten and Bell.
 
     Filters have ``bits_per_entry`` bits per entry at every size of the input. They are broadcast
-    in groups of segments of ``max_filter_mb`` together, one pass over the texts for each: a
+    in groups of segments of ``max_filter_mb`` together, piece by piece of ``PIECE_MB`` (or what a
+    task reads, if that is more), one pass over the texts for each group: a
     token is scored in the pass that holds the segments of its word and of its pair, and the
     parts of a text are added up by id and digest. The exact counts of the base
     score are broadcast for tokens with at least 1 / ``heavy`` of all occurrences, of which
@@ -389,10 +443,11 @@ def score_documents(spark: SparkSession, docs: DataFrame, *, modulus: int = 7, h
     pair_room = room - max(word_sizes[group].sum() for group in word_groups)
     passes = [(w, p) for w in word_groups for p in packed(pair_sizes, pair_room)]
 
-    def scored_by(words: list[int], pairs: list[int]) -> tuple[DataFrame, Broadcast]:
-        shared = spark.sparkContext.broadcast(Model(
-            _load(word_segments, words, probes), _load(pair_segments, pairs, probes),
-            hot_known, hot_tokens, hot_successors, heavy_hashes, heavy_counts, total, distinct))
+    counted = spark.sparkContext.broadcast((hot_known, hot_tokens, hot_successors, heavy_hashes, heavy_counts, total, distinct))
+
+    def scored_by(words: list[int], pairs: list[int]) -> tuple[DataFrame, Shared]:
+        shared = Shared(_share(spark, word_segments, words, probes), _share(spark, pair_segments, pairs, probes),
+                        (words, pairs), counted)
         return read.mapInArrow(_score(shared), (
             "doc_id " + docs.schema["doc_id"].dataType.simpleString() + ", digest long, held_out boolean, n_tokens long, "
             "score double, log_sum double, known long, rare array<long>, times array<long>")), shared
