@@ -25,6 +25,7 @@ DEPTH = 4
 CLUSTER = 256  # documents whose full sets one task compares
 PIVOTS = 64
 BATCH_BYTES = 4 << 20
+LINKS = 1 << 20  # links that one task turns into stars at a time
 
 _U = np.uint64
 _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
@@ -135,6 +136,52 @@ class Forest:
         return x != y
 
 
+def _stars(most: int) -> Callable:
+    """Links of a task as stars around the smallest node reached, about ``most`` links at a time."""
+
+    def star(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+        forest = Forest(len(nodes))
+        for x, y in at.reshape(2, -1).T.tolist():
+            forest.join(x, y)
+        roots = np.array([forest.root(x) for x in range(len(nodes))])
+        hung = roots != np.arange(len(nodes))
+        return pa.RecordBatch.from_arrays([pa.array(nodes[hung]), pa.array(nodes[roots[hung]])], ["a", "b"])
+
+    def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            held.append((batch.column("a").to_numpy(), batch.column("b").to_numpy()))
+            rows += batch.num_rows
+            if rows >= most:
+                yield star(*map(np.concatenate, zip(*held)))
+                held, rows = [], 0
+        if rows:
+            yield star(*map(np.concatenate, zip(*held)))
+
+    return stars
+
+
+def joined_links(spark: SparkSession, links: DataFrame, most: int = LINKS) -> DataFrame:
+    """Connected components of ``links`` (a, b: long): one row (node, root) per linked node, root
+    being the smallest node reachable.
+
+    Links become stars in the tasks that find them, then again after they are dealt by node over
+    one task per ``most`` of them. If that is a single task, its stars are the answer, being whole
+    if it took them at once; otherwise :func:`components` joins what the tasks found. An empty
+    table gives an empty table.
+    """
+    found = links.select("a", "b").filter("a <> b").mapInArrow(_stars(most), "a long, b long")
+    found = stage(spark, found, "nd-stars")
+    tasks = -(-found.count() // most) or 1
+    if tasks > 1:
+        return components(spark, found.repartition(tasks, "a").mapInArrow(_stars(most), "a long, b long"))
+    # One task holds at most ``most`` links, so it takes them at once: the limit lies beyond.
+    whole = stage(spark, found.repartition(1).mapInArrow(_stars(most + 1), "a long, b long").select(
+        F.col("a").alias("node"), F.col("b").alias("root")), "nd-stars")
+    return whole.unionAll(whole.select(F.col("root").alias("node"), "root").distinct())
+
+
 def _matrix(sketches: pd.Series | list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), SKETCH)
 
@@ -295,7 +342,7 @@ def loose_links(spark: SparkSession, classes: DataFrame) -> DataFrame:
     out = found[0]
     for more in found[1:]:
         out = out.unionAll(more)
-    return out.distinct()
+    return out
 
 
 def _blocks(spark: SparkSession, members: DataFrame, pivots: DataFrame) -> DataFrame:
@@ -337,7 +384,7 @@ def _large_links(spark: SparkSession, members: DataFrame, percent: int) -> DataF
     pivots = members.filter(F.pmod(F.xxhash64("class", F.lit(3)), share) == 0)
     alone = [x.withColumn("root", F.col("class")) for x in (members, pivots)]
     first = stage(spark, _to_pivots(spark, *alone, percent), "nd-first")
-    roots = stage(spark, components(spark, first), "nd-roots")
+    roots = stage(spark, joined_links(spark, first), "nd-roots")
     rooted = members.join(roots, F.col("class") == F.col("node"), "left").withColumn(
         "root", F.coalesce("root", "class")).drop("node")
     rooted = stage(spark, rooted, "nd-rooted")
@@ -371,7 +418,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = WIDTH, pe
         F.min("doc_id").alias("least_id"),
         F.coalesce(F.min_by("mark", "doc_id"), F.min("mark")).alias("least_mark"), F.any_value("tokens").alias("tokens"),
         F.any_value("sketch").alias("sketch")), "nd-classes")
-    clusters = stage(spark, components(spark, loose_links(spark, classes)), "nd-clusters")
+    clusters = stage(spark, joined_links(spark, loose_links(spark, classes)), "nd-clusters")
     sizes = stage(spark, clusters.groupBy(F.col("root").alias("cluster")).agg(
         F.count(F.lit(1)).alias("size")), "nd-sizes")
     chosen = (
@@ -388,7 +435,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = WIDTH, pe
         _links_of_clusters(percent), "a long, b long")
     if not sizes.filter(F.col("size") > CLUSTER).isEmpty():
         links = links.unionAll(_large_links(spark, members.filter(F.col("size") > CLUSTER), percent))
-    roots = stage(spark, components(spark, links), "nd-final")
+    roots = stage(spark, joined_links(spark, links), "nd-final")
     named = roots.join(classes.select("class", "least_id"), F.col("node") == F.col("class"))
     least = stage(spark, named.groupBy(F.col("root").alias("r")).agg(F.min("least_id").alias("lowest")), "nd-least")
     linked_classes = stage(spark, roots.join(least, F.col("root") == F.col("r")).select(
