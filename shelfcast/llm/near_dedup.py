@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -312,17 +313,14 @@ def loose_links(spark: SparkSession, classes: DataFrame) -> DataFrame:
     """
     tokens = F.transform(F.slice("tokens", 1, TREES), lambda x, i: F.xxhash64(i, x))
     paths = classes.select("class", F.explode(tokens).alias("path"))
-    found = []
+    found, smalls = [], []
     for depth in range(1, DEPTH + 1):
-        paths = stage(spark, paths.distinct() if depth > 1 else paths, "nd-paths")
+        paths = stage(spark, paths, "nd-paths")  # a path tells its parent and place, so no row comes twice
         sizes = stage(spark, paths.groupBy("path").agg(
             F.count(F.lit(1)).alias("n"), F.min("class").alias("head")).filter("n > 1")
             .withColumnRenamed("path", "p"), "nd-nodes")
         inside = paths.join(sizes, F.col("path") == F.col("p")).drop("p")
-        small = inside.filter(F.col("n") <= NODE).join(
-            classes.select(F.col("class").alias("c"), "sketch"), F.col("class") == F.col("c"))
-        found.append(stage(spark, small.select("path", "class", "sketch").repartition("path")
-                           .sortWithinPartitions("path").mapInArrow(_links_of_nodes, "a long, b long"), "nd-loose"))
+        smalls.append(inside.filter(F.col("n") <= NODE).select("path", "class"))
         if sizes.filter(F.col("n") > NODE).isEmpty():
             break
         sketches = classes.select(F.col("class").alias("c"), "sketch", "tokens")
@@ -336,13 +334,15 @@ def loose_links(spark: SparkSession, classes: DataFrame) -> DataFrame:
         found.append(large.join(dense, F.col("path") == F.col("q")).select(
             F.col("class").alias("a"), F.col("head").alias("b")))
         sparse = large.join(dense, F.col("path") == F.col("q"), "left_anti")
-        chosen = F.array(*[F.pmod(F.xxhash64("path", F.lit(i)), F.lit(TOKENS)) for i in range(BRANCHES)])
+        chosen = F.array_distinct(F.array(*[F.pmod(F.xxhash64("path", F.lit(i)), F.lit(TOKENS)) for i in range(BRANCHES)]))
         paths = sparse.select("class", F.explode(F.transform(
             chosen, lambda i: F.xxhash64("path", i, F.element_at("tokens", (i + 1).cast("int"))))).alias("path"))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionAll(more)
-    return out
+    # Nodes of all depths are compared together.
+    small = reduce(DataFrame.unionAll, smalls).join(
+        classes.select(F.col("class").alias("c"), "sketch"), F.col("class") == F.col("c"))
+    found.append(small.select("path", "class", "sketch").repartition("path")
+                 .sortWithinPartitions("path").mapInArrow(_links_of_nodes, "a long, b long"))
+    return reduce(DataFrame.unionAll, found)
 
 
 def _blocks(spark: SparkSession, members: DataFrame, pivots: DataFrame) -> DataFrame:
