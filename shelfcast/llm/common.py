@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -32,7 +33,10 @@ def recorded(paths: list[str]) -> Iterator[None]:
 
 
 def release(spark: SparkSession, paths: list[str], docs: DataFrame) -> None:
-    """Remove recorded tables that ``docs`` does not read from. Others stay recorded."""
+    """Remove recorded tables that ``docs`` does not read from. Others stay recorded.
+
+    Spark removes shuffle files of plans nobody holds once the driver's garbage is collected,
+    which a driver with little to do may put off for half an hour; so it is collected here."""
     files = docs.inputFiles()
     kept = []
     for path in paths:
@@ -42,6 +46,8 @@ def release(spark: SparkSession, paths: list[str], docs: DataFrame) -> None:
         place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
     paths[:] = kept
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def fresh_names(docs: DataFrame, *names: str) -> list[str]:

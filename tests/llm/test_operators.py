@@ -442,3 +442,27 @@ def test_mixed_texts_are_the_spans_drawn(spark, docs):
     for r in mixing.draw(spark, docs, block=4, shard_words=500, whole_rows=True).collect():
         assert sum(s["to"] - s["from"] for s in r.spans) == r.taken
         assert all(0 <= s["from"] < s["to"] <= r["size"] for s in r.spans)
+
+
+@pytest.mark.parametrize("most", [1 << 20, 40])
+def test_joined_links_equal_a_plain_search(spark, most):
+    rng = np.random.default_rng(5)
+    pairs = [(i, i + 1) for i in range(1000, 1060)] + [(5000, int(x)) for x in rng.integers(6000, 9000, 150)]
+    pairs += [tuple(map(int, x)) for x in rng.integers(0, 400, (150, 2))] + [(77, 77), (-3, 2), (2, -3), (-3, 2)]
+    near: dict[int, set[int]] = {}
+    for a, b in pairs:
+        if a != b:
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+    want = {}
+    for start in sorted(near):
+        reached = [] if start in want else [start]
+        while reached:
+            x = reached.pop()
+            if x not in want:
+                want[x] = start
+                reached.extend(near[x])
+    links = spark.createDataFrame(pairs, "a long, b long").repartition(7)
+    got = near_dedup.joined_links(spark, links, most).collect()
+    assert len(got) == len(want) and {r["node"]: r["root"] for r in got} == want
+    assert near_dedup.joined_links(spark, links.limit(0), most).count() == 0
