@@ -14,13 +14,15 @@ from pyspark.sql import functions as F
 
 from shelfcast import config
 from shelfcast.functions.scalars import before
-from shelfcast.session import scratch_path
+from shelfcast.sources.tables import stage
 
 _SECOND = 1_000_000
 _MINUTE = 60 * _SECOND
 
 # Rows of one key a single task may take. A key with more is cut into chunks in time.
 CHUNK_ROWS = 4_000_000
+# Slots of time by which one task bounds the admissions of a key cut into chunks.
+MOST_SLOTS = 1 << 20
 
 ADMITTED, BURST, DAILY, LATE = "", "burst", "daily", "late"
 
@@ -205,25 +207,114 @@ class KeyHistory:
         self.starts = self.starts[max(ended - 1, 0) :]
 
 
-def _hot_cuts(asks: DataFrame, chunk_rows: int) -> DataFrame:
-    """Minutes at which a key with many rows starts a new chunk.
+def _hot_minutes(asks: DataFrame, chunk_rows: int) -> DataFrame:
+    """The chunk of each minute of a key with many rows, from its second chunk on.
 
     Works on counts per key and minute, so no key is gathered: the running count has at
-    most one row per minute. The result has at most one entry per ``chunk_rows`` rows.
+    most one row per minute.
     """
     per_minute = asks.groupBy("_key", "_minute").agg(F.count("*").alias("n"))
     order = Window.partitionBy("_key").orderBy("_minute")
     before = F.sum("n").over(order) - F.col("n")
-    numbered = per_minute.withColumn("_c", F.floor(before / F.lit(chunk_rows)))
-    return (
-        numbered.where(F.col("_c") > 0)
-        .groupBy("_key", "_c")
-        .agg(F.min("_minute").alias("_start"))
-        .groupBy("_key")
-        .agg(F.array_sort(F.collect_list("_start")).alias("_starts"))
+    numbered = per_minute.withColumn("_chunk", F.floor(before / F.lit(chunk_rows)).cast("int"))
+    return numbered.where("_chunk > 0 and _minute is not null").select("_key", "_minute", "_chunk")
+
+
+def _chunked(asks: DataFrame, minutes: DataFrame) -> DataFrame:
+    return asks.join(minutes, ["_key", "_minute"], "left").withColumn(
+        "_chunk", F.coalesce("_chunk", F.lit(0))
     )
 
 
+def admission_bounds(
+    first: np.ndarray,
+    last: np.ndarray,
+    count: np.ndarray,
+    burst_max: int = config.BURST_MAX,
+    burst_seconds: int = config.BURST_SECONDS,
+    daily_max: int = config.DAILY_MAX,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Earliest and latest time of each admission, from first, last and number of asks per slot.
+
+    More asks never make the n-th admission later. Deciding only the known asks (first and last
+    of a slot) gives the latest times, and letting a slot's other asks come whenever they suit
+    gives the earliest. An admission that only the latter has can come up to the last ask.
+    """
+    ends = np.stack([first, last], axis=1).ravel()
+    ends = ends[np.stack([count > 0, count > 1], axis=1).ravel()]
+    verdict, _ = admit_in_order(ends, [], burst_max, burst_seconds, daily_max)
+    latest = ends[verdict == 0]
+    # A slot as its first ask, those between and its last ask.
+    room = np.stack([count > 0, np.maximum(count - 2, 0), count > 1], axis=1).astype("int64").ravel()
+    begins = np.stack([first, first, last], axis=1).ravel()[room > 0]
+    ends = np.stack([first, last, last], axis=1).ravel()[room > 0]
+    room = room[room > 0]
+    burst, day = burst_seconds * _SECOND, config.DAILY_SECONDS * _SECOND
+    kept: list[int] = []
+    place = used = 0
+    while True:
+        free = kept[-1] if kept else int(begins[0])
+        if len(kept) >= burst_max:
+            free = max(free, kept[-burst_max] + burst)
+        if len(kept) >= daily_max:
+            free = max(free, kept[-daily_max] + day)
+        here = max(int(np.searchsorted(ends, free, "left")), place)
+        if here == place and used >= room[place]:
+            here += 1
+        if here == len(ends):
+            break
+        used = used + 1 if here == place else 1
+        place = here
+        kept.append(max(free, int(begins[here])))
+    latest = np.concatenate([latest, np.full(len(kept) - len(latest), last[-1])])
+    return np.array(kept, dtype="int64"), latest
+
+
+def _spans(first: np.ndarray, last: np.ndarray) -> pd.DataFrame:
+    """Union of spans whose ends never decrease, cut at minutes."""
+    new = np.r_[True, first[1:] > last[:-1]]
+    first, last = first[new], last[np.r_[new[1:], True]]
+    minute = first // _MINUTE
+    n = last // _MINUTE - minute + 1
+    minute = np.repeat(minute, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    low = np.maximum(np.repeat(first, n), minute * _MINUTE)
+    high = np.minimum(np.repeat(last, n), minute * _MINUTE + _MINUTE - 1)
+    return pd.DataFrame({"_minute": minute, "_low": low, "_high": high})
+
+
+def _possible(asks: DataFrame, chunk_rows: int, limits: tuple[int, int, int]) -> DataFrame:
+    """The asks of hot keys that can be admitted at all; deciding them alone admits the same ones.
+
+    A key's asks are summarised in slots of time. From the slots one task bounds the time of each
+    admission, and only asks within these bounds are kept. With fewer asks left the slots are cut
+    finer, until no key has more than ``chunk_rows`` asks or the bounds no longer help.
+    """
+    key_type = asks.schema["_key"].dataType.simpleString()
+    schema = f"_key {key_type}, _minute long, _low long, _high long"
+
+    def bound(slots: pd.DataFrame) -> pd.DataFrame:
+        slots = slots.sort_values("_first")
+        found = _spans(*admission_bounds(*(slots[c].to_numpy() for c in ("_first", "_last", "_n")), *limits))
+        found.insert(0, "_key", [slots["_key"].iloc[0]] * len(found))
+        return found
+
+    lengths = asks.groupBy("_key").agg((F.max("_at") - F.min("_at") + 1).alias("_length"))
+    most = None
+    while True:
+        rows = asks.groupBy("_key").count().agg(F.max("count"), F.sum("count")).first()
+        if rows[0] is None or rows[0] <= chunk_rows or (most is not None and rows[1] > 0.8 * most):
+            return asks
+        most = rows[1]
+        width = lengths.select("_key", F.greatest(F.lit(1), F.ceil(F.col("_length") / MOST_SLOTS)).alias("_width"))
+        slots = asks.join(width, "_key").groupBy("_key", F.expr("_at div _width").alias("_slot")).agg(
+            F.min("_at").alias("_first"), F.max("_at").alias("_last"), F.count("*").alias("_n"))
+        spans = stage(slots.groupBy("_key").applyInPandas(bound, schema), "spans")
+        within = F.exists("_within", lambda s: (F.col("_at") >= s["_low"]) & (F.col("_at") <= s["_high"]))
+        by_minute = spans.groupBy("_key", "_minute").agg(F.collect_list(F.struct("_low", "_high")).alias("_within"))
+        asks = stage(asks.join(by_minute, ["_key", "_minute"]).where(within).drop("_within"), "possible")
+        lengths = spans.groupBy("_key").agg(F.sum(F.col("_high") - F.col("_low") + 1).alias("_length"))
+
+
 def rate_admission(
     asks: DataFrame,
     key: str,
@@ -237,13 +328,13 @@ def rate_admission(
     """Admit or refuse every ask: key, ask id, time, ``admitted`` and ``refused_by``.
 
     Whether an ask passes depends on the admissions before it, so a key is decided in time
-    order. Most keys fit one task. A key with more than ``chunk_rows`` rows is cut in time;
-    its chunks run in parallel, each starting from the admitted times its predecessor
-    hands on (at most ``daily_max`` of them). A chunk is run again only when that list
-    changes, until nothing changes any more, which is the exact sequential result. A key
-    that is saturated all the time needs as many rounds as it has chunks.
+    order. Most keys fit one task. A key with more than ``chunk_rows`` rows is cut in time.
+    First the asks that can be admitted at all are found (see :func:`_possible`) and decided
+    alone; of a saturated key these are little more than the admitted ones. Then all chunks run
+    in parallel, each starting from the times admitted before it, which is the exact sequential
+    result. If more than ``chunk_rows`` possible asks are left, they are decided in chunks that
+    hand their admitted times on until nothing changes, at worst in as many rounds as chunks.
     """
-    spark = asks.sparkSession
     micros = F.unix_micros(F.col(time).cast("timestamp"))
     narrow = asks.select(
         F.col(key).alias("_key"),
@@ -262,23 +353,22 @@ def rate_admission(
         ordered = ordered[["_key", "_id", "_at"]].assign(_verdict=verdict.astype("int32"))
         return ordered, kept
 
-    cuts = _hot_cuts(narrow, chunk_rows).persist()
-    if cuts.isEmpty():
-        cuts.unpersist()
+    minutes = _hot_minutes(narrow, chunk_rows).persist()
+    if minutes.isEmpty():
+        minutes.unpersist()
         decided = narrow.groupBy("_key").applyInPandas(
             lambda group: decide(group, [])[0], decided_schema
         )
     else:
-        # Cuts number at most one per chunk_rows rows; the optimizer broadcasts them when
-        # they are small, and AQE splits the hot key if it does not.
-        chunk = F.coalesce(
-            F.size(F.filter("_starts", lambda s: s <= F.col("_minute"))), F.lit(0)
-        )
-        chunked = narrow.join(cuts, "_key", "left").withColumn("_chunk", chunk).drop("_starts")
-        path = scratch_path(spark, "asks")
-        chunked.write.parquet(path)
-        cuts.unpersist()
-        decided = _decide_chunks(spark.read.parquet(path), decide, key_type, decided_schema)
+        chunked = stage(_chunked(narrow, minutes), "asks")
+        hot = chunked.where("_at is not null").join(minutes.select("_key").distinct(), "_key", "left_semi")
+        possible = _possible(hot.drop("_chunk"), chunk_rows, limits)
+        again = stage(_chunked(possible, _hot_minutes(possible, chunk_rows)), "possible")
+        admitted = _decide_chunks(again, decide, key_type, decided_schema).where("_verdict = 0")
+        starts = minutes.groupBy("_key", "_chunk").agg((F.min("_minute") * _MINUTE).alias("_start"))
+        carry = _carried_in(stage(admitted.select("_key", "_at"), "admitted"), starts, limits).checkpoint()
+        minutes.unpersist()
+        decided = _settle(chunked, carry, decide, decided_schema)
     return decided.select(
         F.col("_key").alias(key),
         F.col("_id").alias(ask_id),
@@ -293,25 +383,48 @@ def named_verdict(code: Column) -> list[Column]:
     return [(code == 0).alias("admitted"), reason.otherwise(ADMITTED).alias("refused_by")]
 
 
+def _carried_in(admitted: DataFrame, starts: DataFrame, limits: tuple[int, int, int]) -> DataFrame:
+    """Per chunk the admitted times before its start that still count, at most ``daily_max``."""
+    burst_max, burst_seconds, daily_max = limits
+    window = max(burst_seconds, config.DAILY_SECONDS) * _SECOND
+    near = F.floor(F.col("_at") / window)
+    earlier = admitted.withColumn("_w", F.explode(F.array(near, near + 1)))
+    pairs = starts.withColumn("_w", F.floor(F.col("_start") / window)).join(earlier, ["_key", "_w"])
+    return (
+        pairs.where((F.col("_at") < F.col("_start")) & (F.col("_at") > F.col("_start") - window))
+        .groupBy("_key", "_chunk")
+        .agg(F.array_sort(F.collect_list("_at")).alias("_carry"))
+        .withColumn("_carry", F.reverse(F.slice(F.reverse("_carry"), 1, max(burst_max, daily_max))))
+    )
+
+
+def _carry_of(frame: pd.DataFrame) -> list[int]:
+    return [int(v) for v in frame["_carry"].iloc[0]] if len(frame) else []
+
+
+def _settle(chunked: DataFrame, carry: DataFrame, decide, decided_schema: str) -> DataFrame:
+    """Decides every chunk from the times carried into it."""
+    group = ["_key", "_chunk"]
+
+    def settle(asks_of: pd.DataFrame, carry: pd.DataFrame) -> pd.DataFrame:
+        if asks_of.empty:
+            return pd.DataFrame({"_key": [], "_id": [], "_at": [], "_verdict": []})
+        return decide(asks_of, _carry_of(carry))[0]
+
+    return chunked.groupBy(*group).cogroup(carry.groupBy(*group)).applyInPandas(settle, decided_schema)
+
+
 def _decide_chunks(chunked: DataFrame, decide, key_type: str, decided_schema: str) -> DataFrame:
     spark = chunked.sparkSession
     group = ["_key", "_chunk"]
     carry_schema = f"_key {key_type}, _chunk int, _carry array<long>"
 
-    def carry_of(frame: pd.DataFrame) -> list[int]:
-        return [int(v) for v in frame["_carry"].iloc[0]] if len(frame) else []
-
     def hand_on(name, asks_of: pd.DataFrame, carry: pd.DataFrame) -> pd.DataFrame:
         if asks_of.empty:
             return pd.DataFrame({"_key": [], "_chunk": [], "_carry": []})
-        kept = decide(asks_of, carry_of(carry))[1]
+        kept = decide(asks_of, _carry_of(carry))[1]
         return pd.DataFrame({"_key": [name[0]], "_chunk": [int(name[1]) + 1], "_carry": [kept]})
 
-    def settle(asks_of: pd.DataFrame, carry: pd.DataFrame) -> pd.DataFrame:
-        if asks_of.empty:
-            return pd.DataFrame({"_key": [], "_id": [], "_at": [], "_verdict": []})
-        return decide(asks_of, carry_of(carry))[0]
-
     # Carry tables hold at most daily_max times per chunk. They are checkpointed to the
     # shared folder, so the lineage stays short and survives lost executors.
     carry = spark.createDataFrame([], carry_schema)
@@ -335,9 +448,7 @@ def _decide_chunks(chunked: DataFrame, decide, key_type: str, decided_schema: st
             break
         carry = carry.join(changed, group, "left_anti").unionByName(changed).checkpoint()
         active = changed.select(*group)
-    return (
-        chunked.groupBy(*group).cogroup(carry.groupBy(*group)).applyInPandas(settle, decided_schema)
-    )
+    return _settle(chunked, carry, decide, decided_schema)
 
 
 def usage_counts(

@@ -177,6 +177,34 @@ def test_chunks_give_the_sequential_result(spark):
     assert verdicts(cut) == want
 
 
+@pytest.mark.parametrize("slots", [7, 60, 4000])
+def test_bounds_hold_every_admission(slots):
+    rng = np.random.default_rng(slots)
+    for n, days in ((40, 1), (3000, 3), (3000, 40)):
+        at = np.sort(rng.integers(0, days * 86_400, n)) * 1_000_000  # with ties
+        want = at[admission.admit_in_order(at, [], 3, 60, 10)[0] == 0]
+        place = at * slots // (at[-1] + 1)
+        first, last, count = (np.array([f(at[place == p]) for p in np.unique(place)]) for f in (np.min, np.max, len))
+        low, high = admission.admission_bounds(first, last, count, 3, 60, 10)
+        assert len(low) >= len(want) and (low[: len(want)] <= want).all() and (want <= high[: len(want)]).all()
+        spans = admission._spans(low, high)
+        assert all(((spans["_low"] <= t) & (t <= spans["_high"])).any() for t in want)
+
+
+def test_chunks_of_a_saturated_key_are_decided_from_few_asks(spark, monkeypatch):
+    """The rounds from chunk to chunk see the asks that can be admitted, not all of them."""
+    rng = np.random.default_rng(5)
+    micros = np.sort(rng.integers(0, 3 * 86_400 * 10**6, 30_000))
+    hot = [BASE + timedelta(microseconds=int(t)) for t in micros]
+    seen, rounds = [], admission._decide_chunks
+    monkeypatch.setattr(
+        admission, "_decide_chunks", lambda rows, *rest: seen.append(rows.count()) or rounds(rows, *rest))
+    decided = admission.rate_admission(asks(spark, {"u": hot}), "user", "at", "ask", chunk_rows=500)
+    names = np.array(["", "burst", "daily"])
+    assert verdicts(decided)["u"] == names[admission.admit_in_order(micros, [])[0]].tolist()
+    assert seen[0] <= 500
+
+
 def test_usage_counts_equal_a_scan(spark):
     rng = np.random.default_rng(2)
     times = sorted(BASE + timedelta(seconds=int(s)) for s in rng.integers(0, 2 * 86400, 200))
