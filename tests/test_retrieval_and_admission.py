@@ -58,6 +58,48 @@ def test_approximate_top_k_has_high_recall(spark):
     assert recall > 0.85
 
 
+@pytest.mark.parametrize("n", [3, 400, 3000])
+def test_best_pairs_equal_sorting_every_score(n, monkeypatch):
+    """Ties beyond the tile, vectors with NaN, few points, shared buckets, and a known floor."""
+    monkeypatch.setattr(retrieval, "QUESTION_TILE", 7)
+    monkeypatch.setattr(retrieval, "POINT_TILE", 500)
+    rng = np.random.default_rng(n)
+    ids = rng.permutation(n)
+    points = retrieval._unit_rows(rng.integers(-2, 3, (n, 4)).astype(float) + [0.5, 0, 0, 0])
+    points[1] = np.nan
+    codes = rng.integers(0, 3, (n, 2))
+    scores = np.round(points @ points.T, 6)
+    scores[ids[:, None] == ids[None, :]] = np.nan
+    for shared in (None, (codes, codes)):
+        if shared:
+            scores[(codes[:, None] != codes[None, :]).all(axis=2)] = np.nan
+        want = set()
+        for q in range(min(n, 30)):
+            good = np.flatnonzero(np.isfinite(scores[q]))
+            want |= {(q, p) for p in good[np.lexsort((ids[good], -scores[q, good]))[:5]].tolist()}
+        cut = [None if c is None else c[:30] for c in (shared or (None,))]
+        both = (cut[0], codes) if shared else None
+        floor = np.array([min([scores[q, p] for r, p in want if r == q], default=-2.0) for q in range(min(n, 30))])
+        for known in (None, floor):
+            q, p, score = retrieval.top_pairs(ids[:30], points[:30], ids, points, 5, True, both, known)
+            assert set(zip(q.tolist(), p.tolist())) == want and len(q) == len(want)
+            assert (score == scores[q, p]).all()
+
+
+def test_many_questions_are_dealt_into_blocks(spark, monkeypatch):
+    """They do not pass through the driver, and are not one scan of all points a piece."""
+    monkeypatch.setattr(retrieval, "LEAST_DEALT", 30)
+    data, points = vectors(spark)
+    asked = points.withColumnRenamed("id", "query_id")
+    hits = retrieval.cosine_top_k(asked, points, 5, drop_same=True, block=50)
+    assert "Union" not in hits._jdf.queryExecution().toString()
+    assert found(hits) == brute_force(data, 5)
+    model = retrieval.fit_buckets(points)
+    both = [retrieval.with_buckets(model, rows) for rows in (asked, points)]
+    few, many = (found(retrieval.cosine_top_k(*both, 5, True, block=b)) for b in (4096, 50))
+    assert few == many
+
+
 def test_context_and_no_hit(spark):
     cards = spark.createDataFrame(
         [("a", "risk at store one"), ("b", "calm at store two")], "id string, summary string"
