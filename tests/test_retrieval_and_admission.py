@@ -162,6 +162,13 @@ def test_cells_give_the_hits_of_a_full_scan(spark, tmp_path, monkeypatch):
     assert len(found & {(q, i) for q, ids in want.items() for i in ids}) >= 0.9 * 600
 
 
+def test_small_cells_share_a_block(monkeypatch):
+    """A question goes once to a block, not once to each of its cells; a large cell is several blocks."""
+    monkeypatch.setattr(cells, "POINT_BLOCK", 10)
+    sizes = {n: (size, 0.0) for n, size in enumerate([4, 5, 3, 25, 1, 9])}
+    assert cells._blocks(sizes, range(6)) == {0: (0, 1), 1: (0, 1), 2: (1, 1), 3: (2, 3), 4: (5, 1), 5: (5, 1)}
+
+
 def test_a_collection_is_replaced_as_a_whole(spark, tmp_path):
     _, points = vectors(spark)
     rows = points.withColumn("note", F.lit("old"))
