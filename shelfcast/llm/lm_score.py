@@ -24,7 +24,7 @@ SEGMENTS = 256
 HEAVY = 1 << 20  # tokens with at least 1 / HEAVY of all occurrences are looked up by broadcast
 HOT_CONTEXTS = 64  # contexts with at least 1 / HOT_CONTEXTS of all tokens are split over segments
 COUNT_BYTES = 24 << 20
-SCORE_BYTES = 8 << 20
+SCORE_BYTES = 1 << 20  # a worker holds some 60 times as much while it scores
 CONTEXT_BITS = np.uint64(28)  # low bits of a bigram key tell its word, the rest its context
 
 END = b"\n"  # no word holds white space, so this cannot be one

@@ -4,11 +4,13 @@ import itertools
 import math
 import random
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -482,3 +484,27 @@ def test_topk_search_scores_blocks_of_queries():
     want = np.lexsort((np.broadcast_to(np.arange(8192), score.shape), -score), 1)[:, :5]
     assert (got["vec_id"].to_numpy().reshape(-1, 5) == want).all()
     assert (got["score"].to_numpy() == np.take_along_axis(score, want, 1).ravel()).all()
+
+
+def test_lm_score_holds_little_of_a_batch():
+    class Held:
+        def __init__(self, value):
+            self.value = value
+
+    segments = [np.zeros(64, np.uint64)] * lm_score.SEGMENTS
+    pieces = [Held(lm_score.LogFrequencyFilter(segments, 6))]
+    none = np.zeros(0, np.uint64)
+    counts = Held((none, np.zeros(0), np.zeros(0), none, np.zeros(0, np.int64), 10, 5))
+    shared = lm_score.Shared(pieces, pieces, (list(range(lm_score.SEGMENTS)),) * 2, counts)
+    rng = random.Random(5)
+    texts = [" ".join(str(rng.randrange(5000)) for _ in range(2000)).encode() for _ in range(800)]
+    n = len(texts)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(n)), pa.array(range(n)), pa.array([False] * n), pa.array(texts, pa.binary())],
+        ["doc_id", "digest", "held_out", "bytes"])
+    tracemalloc.start()
+    scored = sum(b.num_rows for b in lm_score._score(shared)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert scored == n
+    assert peak < 120e6
