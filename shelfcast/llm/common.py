@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,10 @@ from shelfcast.session import scratch_path
 WORD = "[^\\x20\\x09-\\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
+KEYS_A_WORD = 4  # keys that share 64 bits of a filter
+FILTER_WORDS = 1 << 20  # of a filter at most; with more keys more rows pass
+FILTER_PROBES = 6
+
 
 # Paths staged while a recording is open, innermost last.
 _RECORDINGS: list[list[str]] = []
@@ -74,6 +79,30 @@ def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def maybe_among(rows: DataFrame, key: Column, keys: DataFrame, flag: str) -> DataFrame:
+    """``rows`` with a boolean ``flag`` that is true wherever ``key`` (a 64-bit hash) is among
+    ``keys`` (a table of one column, key), and by chance, seldom, elsewhere.
+
+    A Bloom filter of one word a key, broadcast as rows of words: so only rows that may have a
+    partner need be shuffled for a join. It is bounded; more keys only let more rows pass.
+    """
+    words = max(1, min(FILTER_WORDS, -(-keys.count() // KEYS_A_WORD)))
+
+    def place(h: Column) -> Column:
+        return F.pmod(h, F.lit(words))
+
+    def mask(h: Column) -> Column:
+        bits = F.xxhash64(h)
+        places = [F.shiftrightunsigned(bits, 6 * i).bitwiseAND(F.lit(63)).cast("int") for i in range(FILTER_PROBES)]
+        return reduce(Column.bitwiseOR, [F.call_function("shiftleft", F.lit(1).cast("long"), x) for x in places])
+
+    own, word, bits = fresh_names(rows, "own", "word", "bits")
+    held = keys.groupBy(place(F.col("key")).alias(word)).agg(F.bit_or(mask(F.col("key"))).alias(bits))
+    met = rows.withColumn(own, key).join(F.broadcast(held), place(F.col(own)) == F.col(word), "left")
+    hit = F.col(bits).bitwiseAND(mask(F.col(own))) == mask(F.col(own))
+    return met.withColumn(flag, F.coalesce(hit, F.lit(False))).drop(own, word, bits)
+
+
 def text_bytes(text: Column) -> Column:
     """UTF-8 bytes of a text; a null text has none."""
     return F.coalesce(text.cast("binary"), F.lit(b""))

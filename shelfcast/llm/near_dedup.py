@@ -10,7 +10,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shelfcast.llm.common import Vocabulary, byte_words, components, fresh_names, mixed, runs, small_batches, stage, text_bytes
+from shelfcast.llm.common import (
+    Vocabulary, byte_words, components, fresh_names, maybe_among, mixed, runs, small_batches, stage, text_bytes,
+)
 
 WIDTH = 4
 PERCENT = 80  # of the union that the intersection must reach
@@ -25,7 +27,7 @@ DENSE = 0.1  # share of a node alike to its head from which it is linked as a wh
 DEPTH = 4
 CLUSTER = 256  # documents whose full sets one task compares
 PIVOTS = 64
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 LINKS = 1 << 20  # links that one task turns into stars at a time
 
 _U = np.uint64
@@ -143,7 +145,7 @@ def _stars(most: int) -> Callable:
     def star(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
         nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
         forest = Forest(len(nodes))
-        for x, y in at.reshape(2, -1).T.tolist():
+        for x, y in zip(*at.reshape(2, -1).tolist()):
             forest.join(x, y)
         roots = np.array([forest.root(x) for x in range(len(nodes))])
         hung = roots != np.arange(len(nodes))
@@ -300,6 +302,14 @@ def _members(width: int) -> Callable:
     return members
 
 
+def _of_classes(paths: DataFrame, columns: DataFrame) -> DataFrame:
+    """Paths (path, class) with ``columns`` (c and others) of their class. A class has as many paths
+    as trees and branches at most; they are joined as one row."""
+    listed = paths.groupBy("class").agg(F.collect_list("path").alias("paths"))
+    return listed.join(columns, F.col("class") == F.col("c")).drop("c").withColumn(
+        "path", F.explode("paths")).drop("paths")
+
+
 def loose_links(spark: SparkSession, classes: DataFrame) -> DataFrame:
     """Links (a, b) whose components hold those of the true links, by chosen paths.
 
@@ -319,27 +329,28 @@ def loose_links(spark: SparkSession, classes: DataFrame) -> DataFrame:
         sizes = stage(spark, paths.groupBy("path").agg(
             F.count(F.lit(1)).alias("n"), F.min("class").alias("head")).filter("n > 1")
             .withColumnRenamed("path", "p"), "nd-nodes")
-        inside = paths.join(sizes, F.col("path") == F.col("p")).drop("p")
-        smalls.append(inside.filter(F.col("n") <= NODE).select("path", "class"))
-        if sizes.filter(F.col("n") > NODE).isEmpty():
+        smalls.append(paths.join(sizes.filter(F.col("n") <= NODE), F.col("path") == F.col("p")).select("path", "class"))
+        nodes = sizes.filter(F.col("n") > NODE)
+        if nodes.isEmpty():
             break
-        sketches = classes.select(F.col("class").alias("c"), "sketch", "tokens")
-        large = inside.filter(F.col("n") > NODE).join(sketches, F.col("class") == F.col("c")).drop("c")
-        heads = stage(spark, sizes.filter(F.col("n") > NODE).join(sketches, F.col("head") == F.col("c")).select(
+        nodes = stage(spark, nodes.select("p", "head"), "nd-large-nodes")
+        large = stage(spark, paths.join(nodes, F.col("path") == F.col("p")).select("path", "class", "head"), "nd-large")
+        sketches = classes.select(F.col("class").alias("c"), "sketch")
+        heads = stage(spark, nodes.join(sketches, F.col("head") == F.col("c")).select(
             F.col("p").alias("q"), F.col("sketch").alias("head_sketch")), "nd-heads")
-        alike = large.join(heads, F.col("path") == F.col("q")).select("path", "sketch", "head_sketch").mapInArrow(
-            _alike_to_head, "path long, alike int")
+        alike = _of_classes(large, sketches).join(heads, F.col("path") == F.col("q")).select(
+            "path", "sketch", "head_sketch").mapInArrow(_alike_to_head, "path long, alike int")
         dense = stage(spark, alike.groupBy(F.col("path").alias("q")).agg(F.avg("alike").alias("share")).filter(
             F.lit(depth == DEPTH) | (F.col("share") >= DENSE)).select("q"), "nd-dense")
         found.append(large.join(dense, F.col("path") == F.col("q")).select(
             F.col("class").alias("a"), F.col("head").alias("b")))
-        sparse = large.join(dense, F.col("path") == F.col("q"), "left_anti")
+        sparse = _of_classes(large.join(dense, F.col("path") == F.col("q"), "left_anti"),
+                             classes.select(F.col("class").alias("c"), "tokens"))
         chosen = F.array_distinct(F.array(*[F.pmod(F.xxhash64("path", F.lit(i)), F.lit(TOKENS)) for i in range(BRANCHES)]))
         paths = sparse.select("class", F.explode(F.transform(
             chosen, lambda i: F.xxhash64("path", i, F.element_at("tokens", (i + 1).cast("int"))))).alias("path"))
     # Nodes of all depths are compared together.
-    small = reduce(DataFrame.unionAll, smalls).join(
-        classes.select(F.col("class").alias("c"), "sketch"), F.col("class") == F.col("c"))
+    small = _of_classes(reduce(DataFrame.unionAll, smalls), classes.select(F.col("class").alias("c"), "sketch"))
     found.append(small.select("path", "class", "sketch").repartition("path")
                  .sortWithinPartitions("path").mapInArrow(_links_of_nodes, "a long, b long"))
     return reduce(DataFrame.unionAll, found)
@@ -427,7 +438,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = WIDTH, pe
     chosen = stage(spark, chosen, "nd-chosen")
     # By id and text: rows without an id, or with the same one, meet their own class only.
     same = F.col("doc_id").eqNullSafe(F.col("least_id")) & (F.col("mark") == F.col("least_mark"))
-    members = stage(spark, read.join(chosen, same).select(
+    wanted = chosen.select(F.xxhash64("least_id", "least_mark").alias("key"))
+    few = maybe_among(read, F.xxhash64("doc_id", "mark"), wanted, "maybe").filter("maybe").drop("maybe")
+    members = stage(spark, few.join(chosen, same).select(
         "bytes", "class", "cluster", "size", "sketch").mapInArrow(
         _members(width), "class long, cluster long, size long, sketch binary, members binary")
         .dropDuplicates(["class"]), "nd-members")
@@ -457,15 +470,24 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, **settings) -> Data
     """
     named = docs.select(F.struct("doc_id", F.xxhash64("text").alias("digest")).alias("doc_id"), "text")
     found = near_duplicates(spark, named, **settings)
-    own_id, digest = fresh_names(docs, "id", "digest")
+    own_id, digest, maybe = fresh_names(docs, "id", "digest", "maybe")
     key = [F.col("doc_id.doc_id").alias(own_id), F.col("doc_id.digest").alias(digest)]
     losers = stage(spark, found.filter(~F.col("kept")).select(*key).distinct(), "nd-losers")
     twice = found.filter(F.col("kept") & (F.col("n_shingles") > 0)).groupBy("doc_id").count().filter("count > 1")
     twice = stage(spark, twice.select(*key), "nd-twice")
     same = F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.xxhash64("text") == F.col(digest))
-    kept = docs.join(losers, same, "left_anti")
+
+    def split(rows: DataFrame, names: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Rows that may be among the named ones, and the others, which need no join."""
+        keys = names.select(F.xxhash64(own_id, digest).alias("key"))
+        flagged = maybe_among(rows, F.xxhash64("doc_id", F.xxhash64("text")), keys, maybe)
+        return flagged.filter(F.col(maybe)).drop(maybe), flagged.filter(~F.col(maybe)).drop(maybe)
+
+    some, others = split(docs, losers)
+    kept = others.unionAll(some.join(losers, same, "left_anti"))
     if twice.isEmpty():
         return kept
-    once = kept.join(twice, same, "left_semi").withColumn(digest, F.xxhash64("text")).dropDuplicates(
+    some, others = split(kept, twice)
+    once = some.join(twice, same, "left_semi").withColumn(digest, F.xxhash64("text")).dropDuplicates(
         ["doc_id", digest]).drop(digest)
-    return kept.join(twice, same, "left_anti").unionAll(once)
+    return others.unionAll(some.join(twice, same, "left_anti")).unionAll(once)

@@ -21,7 +21,7 @@ ROUNDS, PAIR_ROUNDS = 150, 60
 PAIRS = 6
 RATE = 0.1
 THRESHOLD = 0.3
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 2 << 20
 
 FEATURES = (
     "log_words", "word_length", "letters", "digits", "marks", "capitals", "white", "distinct_words", "top_word",

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shelfcast.llm import (
-    decontaminate, line_dedup, lm_score, mixing, near_dedup, quality, sharding, token_count, token_output, topk_search,
+    common, decontaminate, line_dedup, lm_score, mixing, near_dedup, quality, sharding, token_count, token_output, topk_search,
 )
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, class long, path long"
@@ -508,3 +508,36 @@ def test_lm_score_holds_little_of_a_batch():
     tracemalloc.stop()
     assert scored == n
     assert peak < 120e6
+
+
+def test_maybe_among_passes_all_partners_and_few_others(spark):
+    rows = spark.range(4000).select((F.col("id") % 1000).alias("key"), F.lit("x").alias("Word"), F.lit(1).alias("own"))
+    keys = spark.range(0, 1000, 10).select(F.xxhash64("id").alias("key"))
+    found = common.maybe_among(rows, F.xxhash64("key"), keys, "maybe")
+    assert found.columns == ["key", "Word", "own", "maybe"]
+    got = Counter((r.key % 10 == 0, r.maybe) for r in found.collect())
+    assert got[True, True] == 400 and got[True, False] == 0 and got[False, True] < 400
+    assert got.total() == 4000
+    assert common.maybe_among(rows, F.xxhash64("key"), keys.filter("false"), "maybe").filter("maybe").count() == 0
+
+
+def test_paths_of_a_class_are_joined_as_one_row(spark):
+    paths = spark.range(60).select((F.col("id") % 7).alias("path"), (F.col("id") % 5).alias("class"))
+    columns = spark.range(5).select(F.col("id").alias("c"), (F.col("id") * 10).alias("sketch"))
+    got = near_dedup._of_classes(paths, columns)
+    want = sorted((i % 7, i % 5, i % 5 * 10) for i in range(60))
+    assert sorted((r["path"], r["class"], r["sketch"]) for r in got.collect()) == want
+    join = got._jdf.queryExecution().optimizedPlan().toString()
+    assert join.index("Generate") < join.index("Join")  # the join's rows are classes, not paths
+
+
+def test_near_dedup_shuffles_texts_only_to_join_them(spark):
+    rng = random.Random(8)
+    texts = [words(rng, 60) for _ in range(60)]
+    rows = [(i, t, i) for i, t in enumerate(texts + [texts[0] + " more"] + texts[:2])] + [(100, None, 1), (100, None, 2)]
+    docs = spark.createDataFrame([*rows, rows[5]], "doc_id long, text string, maybe long")
+    got = near_dedup.distinct_documents(spark, docs, width=5)
+    assert sorted(tuple(r) for r in got.collect()) == sorted([*rows[:60], *rows[63:]], key=lambda r: (r[0], r[2]))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "maybe" in got.columns and "LeftAnti" in plan and "BroadcastExchange" not in plan
+    assert "rightHint=(strategy=broadcast)" in plan  # the filter that lets most rows pass the join by
