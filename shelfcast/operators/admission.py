@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from collections.abc import Callable
 from typing import NamedTuple
@@ -42,21 +42,26 @@ def admit_in_order(
     Returns 0 admitted, 1 burst, 2 daily per ask, and the times to carry on.
     """
     burst, day = burst_seconds * _SECOND, config.DAILY_SECONDS * _SECOND
-    kept = list(carry)
+    kept, most = list(carry), max(burst_max, daily_max)
+    listed = times.tolist()  # searched by bisect, as a call of numpy costs more than a short search
     verdict = np.zeros(len(times), dtype="int8")
     at = 0
-    while at < len(times):
-        burst_free = kept[-burst_max] + burst if len(kept) >= burst_max else times[at]
-        daily_free = kept[-daily_max] + day if len(kept) >= daily_max else times[at]
-        burst_end = max(int(np.searchsorted(times, burst_free, "left")), at)
-        daily_end = max(int(np.searchsorted(times, daily_free, "left")), at)
-        verdict[at:daily_end] = 2
-        verdict[at:burst_end] = 1
-        at = max(burst_end, daily_end)
-        if at < len(times):
-            kept.append(int(times[at]))
-            kept = kept[-max(burst_max, daily_max) :]
+    while at < len(listed):
+        now = listed[at]
+        burst_free = kept[-burst_max] + burst if len(kept) >= burst_max else now
+        daily_free = kept[-daily_max] + day if len(kept) >= daily_max else now
+        if max(burst_free, daily_free) > now:
+            burst_end = bisect_left(listed, burst_free, at)
+            daily_end = bisect_left(listed, daily_free, at)
+            verdict[at:daily_end] = 2
+            verdict[at:burst_end] = 1
+            at = max(burst_end, daily_end)
+        if at < len(listed):
+            kept.append(listed[at])
+            if len(kept) > 2 * most:
+                kept = kept[-most:]
             at += 1
+    kept = kept[-most:]
     return verdict, kept
 
 

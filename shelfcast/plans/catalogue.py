@@ -939,8 +939,8 @@ def _decided_stream(spark: SparkSession, folder: str, late: int | None) -> str:
         since = (F.unix_micros("ts") - F.unix_micros(F.lit(bounds[0]))) / 1_000_000
         part = F.floor(since / width) + (F.col("event_id") % 10 == 0).cast("int")
         numbered = rows.withColumn("_file", part.cast("int"))
-        for number in range(8):
-            numbered.where(F.col("_file") == number).drop("_file").coalesce(1).write.mode("append").parquet(
+        for number in range(8):  # one task writes a file, all read
+            numbered.where(F.col("_file") == number).drop("_file").repartition(1).write.mode("append").parquet(
                 f"{base}/events"
             )
     stream = sinks.read_files(

@@ -3,6 +3,7 @@ from collections import Counter
 from datetime import datetime, timedelta
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -349,3 +350,60 @@ def test_asks_beyond_the_lateness_are_refused_as_late(spark, tmp_path):
     assert late == {BASE + timedelta(seconds=40_000)}
     used = admission_streams.usage(spark, f"{tmp_path}/out", "user", "ask").collect()
     assert {(r["at"] - BASE).total_seconds(): r.burst_used for r in used} == {99_990: 1, 100_000: 2, 100_020: 3}
+
+
+def test_stream_keeps_null_and_large_keys_apart(spark, tmp_path):
+    times = [BASE + timedelta(seconds=s) for s in range(7)]
+    for part in (0, 1):
+        rows = [(key, 2**60 + 10 * n + i, t) for n, key in enumerate((None, 2**60 + 1, 2**60 + 2))
+                for i, t in enumerate(times) if i % 2 == part]
+        spark.createDataFrame(rows, "user long, ask long, at timestamp").coalesce(1).write.mode("append").parquet(
+            f"{tmp_path}/asks")
+    stream = sinks.read_files(spark, f"{tmp_path}/asks", "user long, ask long, at timestamp", files_per_trigger=1)
+    admission_streams.admit_stream(
+        stream, "user", "at", "ask", f"{tmp_path}/out", f"{tmp_path}/cp", late=3600, groups=1).awaitTermination()
+    got = admission_streams.verdicts(spark, f"{tmp_path}/out", "user", "ask").collect()
+    assert {(r.user, r.ask): r.refused_by for r in got} == {
+        (key, 2**60 + 10 * n + i): "" if i < 5 else "burst"
+        for n, key in enumerate((None, 2**60 + 1, 2**60 + 2)) for i in range(7)}
+    assert len(got) == 21
+
+
+class MapOfState(dict):
+    def __init__(self):
+        self.calls = 0
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self[key] = value
+
+    def removeKey(self, key):
+        self.calls += 1
+        del self[key]
+
+
+@pytest.mark.parametrize("late", [None, 400])
+def test_a_group_of_keys_is_one_call_with_few_state_calls(late):
+    rng = random.Random(6)
+    maps = {"keys": MapOfState(), "cells": MapOfState()}
+    handle = type("Handle", (), {"getMapState": lambda self, name, *rest: maps[name]})()
+    history = admission_streams.AskHistory({"key": "long", "id": "long"}, (3, 60, 10), late, 16)
+    history.init(handle)
+    asks_of = {key: sorted(rng.randrange(3000) for _ in range(8 if key else 200)) for key in range(50)}
+    latest = {}
+    for batch in range(4):
+        rows = [(key, False, 1000 * key + i, False, at * 1_000_000) for key, ats in asks_of.items()
+                for i, at in enumerate(ats) if i * 4 // len(ats) == batch]
+        frame = pd.DataFrame(rows, columns=["key", "no_key", "id", "no_id", "at"])
+        before = maps["keys"].calls
+        for out in history.handleInputRows((0,), iter([frame[:20], frame[20:]]), None):
+            latest |= {(r.key, r.id): r.verdict for r in out.itertuples()}
+        assert maps["keys"].calls - before == 2 * 50
+    assert {name for name, _ in maps["cells"]} == {0}  # only the key with many asks has older cells
+    for key, ats in asks_of.items():
+        want, _ = admission.admit_in_order(np.array(ats) * 1_000_000, [], 3, 60, 10)
+        assert [latest[key, 1000 * key + i] for i in range(len(ats))] == want.tolist()
