@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shelfcast.llm.common import components, stage
+from shelfcast.llm.common import components, maybe_among, recorded, release, stage
 
 WIDTH = 9  # characters of a shingle
 PERCENT = 80  # of the union that the intersection must reach
@@ -24,6 +24,7 @@ PIVOTS = 8
 FEW = 500_000  # rows (of two longs) that are broadcast at most
 FEW_BYTES = 32 << 20  # of lines that are broadcast at most
 TASK_PAIRS = 2000  # pairs verified by one task
+WORDS = 16  # longs of the parity bitmap that bounds the difference of two lines
 BLANK = " \t\r\x0b\x0c"
 
 # A match may not begin inside a character of two UTF-16 units.
@@ -95,18 +96,42 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= FEW else df
 
 
-def _verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def _bitmaps(texts: DataFrame, width: int) -> DataFrame:
+    """Per class the number of its shingles, and their parities in the bits of ``WORDS`` longs."""
+    dealt = texts.select("class", F.explode(F.array_distinct(shingles(F.col("line"), width))).alias("shingle")).select(
+        "class", F.xxhash64("shingle").alias("h"))
+    word = F.shiftrightunsigned("h", 6).bitwiseAND(F.lit(WORDS - 1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(F.lit(63)).cast("int"))
+    return dealt.groupBy("class").agg(F.count(F.lit(1)).alias("n"), *[
+        F.bit_xor(F.when(word == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{i}") for i in range(WORDS)])
+
+
+def _possible(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that may reach the similarity. Every odd bit of two bitmaps stands for a shingle
+    at least that one line lacks, so no pair that reaches it is left out."""
+    words = [f"w{i}" for i in range(WORDS)]
+    left = bitmaps.select(F.col("class").alias("a"), F.col("n").alias("n1"), F.struct(*words).alias("first"))
+    right = bitmaps.select(F.col("class").alias("b"), F.col("n").alias("n2"), F.struct(*words).alias("second"))
+    if bitmaps.count() * 8 * (WORDS + 2) <= FEW_BYTES:
+        left, right = F.broadcast(left), F.broadcast(right)
+    odd = reduce(Column.__add__, [F.bit_count(F.col(f"first.{w}").bitwiseXOR(F.col(f"second.{w}"))) for w in words])
+    near = 100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")
+    return pairs.join(left, "a").join(right, "b").filter(
+        near & ((100 + percent) * odd <= (100 - percent) * (F.col("n1") + F.col("n2")))).select("a", "b", "n1", "n2")
+
+
+def _verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, bitmaps: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) of lines whose shingle sets reach the similarity. ``pairs`` is a table."""
+    pairs = stage(spark, _possible(pairs, bitmaps, percent), "line-possible")
     pairs = pairs.repartition(max(1, pairs.count() // TASK_PAIRS), "a", "b")
-    left = texts.select(F.col("class").alias("a"), F.col("line").alias("first"), F.col("n").alias("n1"))
-    right = texts.select(F.col("class").alias("b"), F.col("line").alias("second"), F.col("n").alias("n2"))
+    left = texts.select(F.col("class").alias("a"), F.col("line").alias("first"))
+    right = texts.select(F.col("class").alias("b"), F.col("line").alias("second"))
     if (texts.agg(F.sum(F.octet_length("line") + 16)).first()[0] or 0) <= FEW_BYTES:
         left, right = F.broadcast(left), F.broadcast(right)
-    near = 100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")
     both = F.size(F.array_intersect(shingles(F.col("first"), width), shingles(F.col("second"), width)))
     # The union is what the intersection lacks of both sizes; written so that it is made once.
     alike = (100 + percent) * both >= percent * (F.col("n1") + F.col("n2"))
-    checked = pairs.join(left, "a").join(right, "b").filter(near)
+    checked = pairs.join(left, "a").join(right, "b")
     return stage(spark, checked.filter(alike).select("a", "b"), "line-links")
 
 
@@ -137,12 +162,20 @@ def fuzzy_lines(spark: SparkSession, docs: DataFrame, width: int = WIDTH, percen
         "class", F.when(F.ltrim("line", F.lit(BLANK)) != "", F.xxhash64("line")))
     filled = lines.filter(F.col("class").isNotNull())
     read = stage(spark, lines.select("doc_id", "line_no", "class"), "lines")
-    signed = stage(spark, _signatures(filled, width, bands, rows), "line-signatures")
+    made: list[str] = []
+    with recorded(made):
+        signed = stage(spark, _signatures(filled, width, bands, rows), "line-signatures")
+    release(spark, [], read)
     dealt = signed.select("class", "sketch", F.explode("bands").alias("bucket"))
     live = stage(spark, dealt.groupBy("bucket").agg(
         F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high").select(
         F.col("bucket").alias("k")), "line-live")
+    release(spark, [], read)
+    if live.count() > FEW:  # most classes are alone in a bucket; their rows with the sketch stay out of the shuffle
+        dealt = maybe_among(dealt, F.col("bucket"), live.select(F.col("k").alias("key")), "maybe").filter("maybe").drop("maybe")
     members = stage(spark, dealt.join(_small(live), F.col("bucket") == F.col("k")).drop("k"), "line-members")
+    del dealt, signed
+    release(spark, made, members)
     sizes = stage(spark, members.groupBy(F.col("bucket").alias("k")).agg(F.count(F.lit(1)).alias("size")), "line-sizes")
     sized = members.join(sizes, F.col("bucket") == F.col("k")).drop("k")
     other = sized.select(F.col("bucket").alias("k"), F.col("class").alias("other"), F.col("size").alias("all"),
@@ -162,9 +195,10 @@ def fuzzy_lines(spark: SparkSession, docs: DataFrame, width: int = WIDTH, percen
     if not sizes.filter(F.col("size") > BUCKET).isEmpty():
         wanted = wanted.unionAll(sized.filter(F.col("size") > BUCKET).select("class")).distinct()
     texts = stage(spark, filled.join(_small(stage(spark, wanted, "line-wanted")), F.col("class") == F.col("c")).select(
-        "class", "line").dropDuplicates(["class"]).select(
-        "class", "line", F.size(F.array_distinct(shingles(F.col("line"), width))).alias("n")), "line-texts")
-    links = _verified(spark, pairs, texts, width, percent)
+        "class", "line").dropDuplicates(["class"]), "line-texts")
+    bitmaps = stage(spark, _bitmaps(texts, width), "line-bitmaps")
+    release(spark, [], read)
+    links = _verified(spark, pairs, texts, bitmaps, width, percent)
     large = stage(spark, sized.filter(F.col("size") > BUCKET), "line-large")
     if not large.isEmpty():
         roots = stage(spark, components(spark, links), "line-roots")
@@ -178,7 +212,9 @@ def fuzzy_lines(spark: SparkSession, docs: DataFrame, width: int = WIDTH, percen
         rest = rooted.join(outside, same & (F.col("root") != F.col("own")) & alike).select(
             *_ordered(F.col("class"), F.col("other"))).distinct()
         rest = stage(spark, rest.join(pairs, ["a", "b"], "left_anti"), "line-rest")
-        links = links.unionAll(_verified(spark, rest, texts, width, percent))
+        # The trees found so far stand for their links.
+        links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(
+            _verified(spark, rest, texts, bitmaps, width, percent))
     roots = stage(spark, components(spark, links), "line-components")
 
     first = F.min(F.struct("doc_id", "line_no"))

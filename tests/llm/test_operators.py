@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import os
 import random
 import time
 import tracemalloc
@@ -254,6 +255,58 @@ def test_fuzzy_lines(spark, rows, empty, monkeypatch):
     assert line_dedup.fuzzy_lines(spark, empty).count() == 0
 
 
+def test_line_tables_are_removed(spark, monkeypatch):
+    """Signatures go once the live buckets are read from them; only rows of live buckets are joined."""
+    rng = random.Random(5)
+    lines = [words(rng, rng.randrange(3, 40)) for _ in range(30)]
+    texts = ["\n".join([lines[i], lines[(i * 7) % 30] + "!" * (i % 3)]) for i in range(30)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = sorted(map(tuple, line_dedup.fuzzy_lines(spark, table).collect()))
+    staged, filtered = {}, []
+    stage, among = line_dedup.stage, line_dedup.maybe_among
+
+    def kept(session, df, name):
+        staged[name] = stage(session, df, name)
+        return staged[name]
+
+    def noted(rows, *rest):
+        filtered.append(rows.columns)
+        return among(rows, *rest)
+
+    monkeypatch.setattr(line_dedup, "FEW", 0)
+    monkeypatch.setattr(line_dedup, "stage", kept)
+    monkeypatch.setattr(line_dedup, "maybe_among", noted)
+    assert sorted(map(tuple, line_dedup.fuzzy_lines(spark, table).collect())) == want
+    assert filtered == [["class", "sketch", "bucket"]]
+    files = {name: staged[name].inputFiles() for name in ("line-signatures", "line-members")}
+    assert not any(os.path.exists(f.removeprefix("file:").replace("//", "")) for f in files["line-signatures"])
+    assert files["line-members"] and all(os.path.exists(f.removeprefix("file:").replace("//", "")) for f in files["line-members"])
+
+
+def test_line_bitmaps(spark):
+    """No pair that reaches the similarity is left out before the full sets; pairs far below it are."""
+    rng = random.Random(8)
+    lines = ["a", "b", "short one", "short ones", "ab" * 60, "ab" * 61]
+    for size in (12, 60, 90, 200, 400, 3000):
+        base = "".join(rng.choice("abcdefgh ") for _ in range(size))
+        for edits in (0, 1, 2, 4, 8, size // 60, size // 40):
+            x = list(base)
+            for at in rng.sample(range(size), min(edits, size)):
+                x[at] = "é"
+            lines.append("".join(x) + "z" * (edits % 3))
+    lines = sorted(set(lines))
+    texts = spark.createDataFrame(list(enumerate(lines)), "class long, line string")
+    sets = [{x[j : j + 9] for j in range(len(x) - 8)} if len(x) >= 9 else {x} for x in lines]
+    every = [(a, b) for a in range(len(lines)) for b in range(a)]
+    got = {(r.a, r.b): (r.n1, r.n2) for r in line_dedup._possible(
+        spark.createDataFrame(every, "a long, b long"), line_dedup._bitmaps(texts, 9), 80).collect()}
+    true = {(a, b) for a, b in every if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert len(true) > 10 and true <= set(got)
+    assert all(got[a, b] == (len(sets[a]), len(sets[b])) for a, b in got)
+    far = {(a, b) for a, b in every if 100 * len(sets[a] & sets[b]) < 50 * len(sets[a] | sets[b]) and len(sets[a]) < 500}
+    assert not far & set(got)
+
+
 def test_line_shingles(spark):
     lines = ["", "short", "exactly 9", "wide \U0001f600\U0001f601 signs \U0001f602\U0001f603!", "ß" * 300 + "\r x", "a  b " * 40]
     table = spark.createDataFrame([(x,) for x in lines], "line string")
