@@ -106,18 +106,26 @@ def _bitmaps(texts: DataFrame, width: int) -> DataFrame:
         F.bit_xor(F.when(word == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{i}") for i in range(WORDS)])
 
 
+def _parities(bitmaps: DataFrame, name: str, n: str, words: str) -> DataFrame:
+    """The same table with its columns named; the longs are one struct."""
+    return bitmaps.select(F.col("class").alias(name), F.col("n").alias(n), F.struct(*[f"w{i}" for i in range(WORDS)]).alias(words))
+
+
+def _may_reach(n1: str, n2: str, one: str, other: str, percent: int) -> Column:
+    """Whether two lines may reach the similarity. Every odd bit of their bitmaps stands for a shingle at
+    least that one line lacks, so no pair that reaches it is left out."""
+    odd = reduce(Column.__add__, [F.bit_count(F.col(f"{one}.w{i}").bitwiseXOR(F.col(f"{other}.w{i}"))) for i in range(WORDS)])
+    near = 100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)
+    return near & ((100 + percent) * odd <= (100 - percent) * (F.col(n1) + F.col(n2)))
+
+
 def _possible(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that may reach the similarity. Every odd bit of two bitmaps stands for a shingle
-    at least that one line lacks, so no pair that reaches it is left out."""
-    words = [f"w{i}" for i in range(WORDS)]
-    left = bitmaps.select(F.col("class").alias("a"), F.col("n").alias("n1"), F.struct(*words).alias("first"))
-    right = bitmaps.select(F.col("class").alias("b"), F.col("n").alias("n2"), F.struct(*words).alias("second"))
+    """The pairs (a, b) that may reach the similarity, by their bitmaps."""
+    left, right = _parities(bitmaps, "a", "n1", "first"), _parities(bitmaps, "b", "n2", "second")
     if bitmaps.count() * 8 * (WORDS + 2) <= FEW_BYTES:
         left, right = F.broadcast(left), F.broadcast(right)
-    odd = reduce(Column.__add__, [F.bit_count(F.col(f"first.{w}").bitwiseXOR(F.col(f"second.{w}"))) for w in words])
-    near = 100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")
     return pairs.join(left, "a").join(right, "b").filter(
-        near & ((100 + percent) * odd <= (100 - percent) * (F.col("n1") + F.col("n2")))).select("a", "b", "n1", "n2")
+        _may_reach("n1", "n2", "first", "second", percent)).select("a", "b", "n1", "n2")
 
 
 def _verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, bitmaps: DataFrame, width: int, percent: int) -> DataFrame:
@@ -202,14 +210,17 @@ def fuzzy_lines(spark: SparkSession, docs: DataFrame, width: int = WIDTH, percen
     large = stage(spark, sized.filter(F.col("size") > BUCKET), "line-large")
     if not large.isEmpty():
         roots = stage(spark, components(spark, links), "line-roots")
-        rooted = stage(spark, large.join(roots, F.col("class") == F.col("node"), "left").select(
-            "bucket", "class", "sketch", F.coalesce("root", "class").alias("root")), "line-rooted")
+        held = large.join(roots, F.col("class") == F.col("node"), "left").join(
+            _parities(bitmaps, "c", "n", "parities"), F.col("class") == F.col("c"))
+        rooted = stage(spark, held.select(
+            "bucket", "class", "sketch", "n", "parities", F.coalesce("root", "class").alias("root")), "line-rooted")
         largest = stage(spark, rooted.groupBy("bucket", "root").count().groupBy(F.col("bucket").alias("k")).agg(
             F.max_by("root", F.struct("count", "root")).alias("main")), "line-main")
         outside = rooted.join(largest, same & (F.col("root") == F.col("main")), "left_anti").select(
             F.col("bucket").alias("k"), F.col("class").alias("other"), F.col("root").alias("own"),
-            F.col("sketch").alias("seen"))
-        rest = rooted.join(outside, same & (F.col("root") != F.col("own")) & alike).select(
+            F.col("sketch").alias("seen"), F.col("n").alias("n2"), F.col("parities").alias("second"))
+        may = _may_reach("n", "n2", "parities", "second", percent)
+        rest = rooted.join(outside, same & (F.col("root") != F.col("own")) & alike & may).select(
             *_ordered(F.col("class"), F.col("other"))).distinct()
         rest = stage(spark, rest.join(pairs, ["a", "b"], "left_anti"), "line-rest")
         # The trees found so far stand for their links.

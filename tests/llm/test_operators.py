@@ -307,6 +307,26 @@ def test_line_bitmaps(spark):
     assert not far & set(got)
 
 
+def test_line_rest_is_bounded(spark, monkeypatch):
+    """Lines outside a bucket's largest component meet those only that may reach the similarity."""
+    rng = random.Random(12)
+    base = [f"word{i}" for i in range(40)]
+    lines = [" ".join(f"x{rng.randrange(9999)}" if i < 12 and k else w for i, w in enumerate(base)) for k in range(25)]
+    table = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    staged, stage = {}, line_dedup.stage
+
+    def kept(session, df, name):
+        staged[name] = stage(session, df, name)
+        return staged[name]
+
+    monkeypatch.setattr(line_dedup, "BUCKET", 2)
+    monkeypatch.setattr(line_dedup, "PIVOTS", 1)
+    monkeypatch.setattr(line_dedup, "stage", kept)
+    assert all(r.kept for r in line_dedup.fuzzy_lines(spark, table).collect())
+    rest = staged["line-rest"]
+    assert rest.count() == line_dedup._possible(rest, staged["line-bitmaps"], 80).count()
+
+
 def test_line_shingles(spark):
     lines = ["", "short", "exactly 9", "wide \U0001f600\U0001f601 signs \U0001f602\U0001f603!", "ß" * 300 + "\r x", "a  b " * 40]
     table = spark.createDataFrame([(x,) for x in lines], "line string")
