@@ -1,9 +1,12 @@
 import random
+import tracemalloc
 from collections import Counter
 from datetime import datetime, timedelta
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,6 +173,68 @@ def test_small_cells_share_a_block(monkeypatch):
     assert cells._blocks(sizes, range(6)) == {0: (0, 1), 1: (0, 1), 2: (1, 1), 3: (2, 3), 4: (5, 1), 5: (5, 1)}
 
 
+class Batches:
+    """Stands for a table: hands a function one batch after another and measures what it holds meanwhile."""
+
+    def __init__(self, batch):
+        self.batch, self.columns, self.sparkSession, self.sparkContext = batch, list(batch.columns), self, self
+        self.schema = {c: SimpleNamespace(dataType=SimpleNamespace(simpleString=lambda: "any")) for c in batch.columns}
+
+    def broadcast(self, value):
+        return SimpleNamespace(value=value)
+
+    def mapInPandas(self, function, schema):
+        self.rows = 0
+        tracemalloc.start()
+        for part in function(iter([self.batch])):
+            self.rows += len(part)
+        self.peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return self
+
+    def where(self, condition):
+        return self
+
+
+def test_cells_of_a_batch_are_taken_in_parts(spark):
+    """A worker holds as little where a question has all of many cells as where it has a few."""
+    rng = np.random.default_rng(6)
+    rows, count = 3000, 800
+    held = pd.DataFrame({"query_id": np.arange(rows), "vector": list(rng.normal(size=(rows, 16)).astype("float32"))})
+    centres = cells._unit_rows(rng.normal(size=(count, 16)))
+    placed = cells._placed(Batches(held), centres, count)
+    assert placed.rows == rows and placed.peak < 30e6
+    held["cells"], held["floor"] = [np.zeros(1, "int32")] * rows, -2.0
+    index = cells.CellIndex(centres, None, {n: (1, -1.0) for n in range(count)})
+    left = cells._open_cells(Batches(held), index, 1)
+    assert left.rows == rows and left.peak < 30e6
+
+
+def test_questions_are_sent_in_parts_to_each_block_once(monkeypatch):
+    monkeypatch.setattr(cells, "SENT_AT_ONCE", 500)
+    rng = np.random.default_rng(7)
+    dealt = cells._blocks({n: (int(size), 0.0) for n, size in enumerate(rng.integers(1, 300, 800))} | {5: (70000, 0.0)}, range(0, 799))
+    lists = [rng.permutation(800)[: n % 800].astype("int32") for n in range(2000)]
+    ids, vectors = np.arange(2000), [np.full(64, n, "float32") for n in range(2000)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(ids), pa.array(vectors), pa.array(lists, pa.list_(pa.int32())), pa.array(ids / 7), pa.array(ids.astype("int32"))],
+        ["query_id", "vector", "cells", "floor", "qb"])
+    want = {}
+    for n, names in enumerate(lists):
+        for name in names.tolist():
+            first, pieces = dealt.get(name, (0, 0))
+            for block in range(first, first + pieces):
+                want.setdefault((n, block), []).append(name)
+    got = {}
+    for part in cells._spread(dealt, 800)(iter([batch.slice(0, 700), batch.slice(700, 0), batch.slice(700)])):
+        assert part.num_rows <= 500 or len(set(part.column("query_id").to_pylist())) == 1
+        for row in part.to_pylist():
+            assert row["vector"] == [row["query_id"]] * 64 and row["floor"] == row["query_id"] / 7 and row["qb"] == row["query_id"]
+            assert (row["query_id"], row["pb"]) not in got
+            got[row["query_id"], row["pb"]] = row["cells"]
+    assert got == want
+
+
 def test_a_collection_is_replaced_as_a_whole(spark, tmp_path):
     _, points = vectors(spark)
     rows = points.withColumn("note", F.lit("old"))
