@@ -109,6 +109,48 @@ def test_language_model_in_passes(spark, docs, rows):
     assert lm_score.packed(np.array([3, 3, 9, 1, 1]), 6) == [[0, 1], [2], [3, 4]]
 
 
+def test_language_model_is_scored_by_shuffles_alike(spark, docs, empty, monkeypatch):
+    """Where the filters may not fit, words and pairs are sent to their segments: the same scores, and texts are read in one pass."""
+    def rows(found):
+        return sorted(map(tuple, found.collect()), key=repr)
+
+    want = rows(lm_score.score_documents(spark, docs))
+    held_only = docs.filter((F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7) == 2)
+    most = -1  # no room at all, also for an empty table
+    for segment, code in ((1 << 21, 8 << 20), (1, 3000)):
+        monkeypatch.setattr(lm_score, "SEGMENT_TOKENS", segment)
+        monkeypatch.setattr(lm_score, "CODE_BYTES", code)
+        seen = []
+        with monkeypatch.context() as patched:
+            patched.setattr(lm_score, "_share", lambda *a: seen.append(a))
+            scored = lm_score.score_documents(spark, docs, max_filter_mb=most)
+            got = rows(scored)
+            assert [r[:5] for r in got] == [r[:5] for r in want] and not seen
+            assert [r[5] for r in got] == pytest.approx([r[5] for r in want], rel=1e-9)
+            if segment > 1:  # the same segments, so the same filters
+                assert [r[6] for r in got] == pytest.approx([r[6] for r in want], rel=1e-9)
+            else:
+                off = [abs(a[6] - b[6]) / a[2] for a, b in zip(got, want)]
+                assert sum(off) / len(off) < 0.02
+            assert lm_score.score_documents(spark, empty, max_filter_mb=most).schema == scored.schema
+            assert lm_score.score_documents(spark, empty, max_filter_mb=most).count() == 0
+            untrained = lm_score.score_documents(spark, held_only, max_filter_mb=most).collect()
+    assert untrained and {(r.n_known, r.train_tokens, r.base_score, r.score) for r in untrained} == {(0, 0, 0.0, 0.0)}
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan
+
+
+def test_segments_hold_little_of_what_they_are_asked():
+    rng = np.random.default_rng(4)
+    asked = [np.unique((rng.integers(0, 400, 20000) << 28 | rng.integers(0, 1 << 28, 20000)).astype(np.uint64)) for _ in range(25)]
+    batch = pa.concat_batches([lm_score._asked(n, np.zeros(len(keys), np.uint16), keys, np.ones(len(keys), np.uint32)) for n, keys in enumerate(asked)])
+    tracemalloc.start()
+    answers = list(lm_score._answer_pairs(np.zeros(0, np.uint64), 14.0, 6)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(b.num_rows for b in answers) == 25 and peak < 60e6
+
+
 def test_filter_holds_quantised_counts():
     keys = lm_score.mixed(np.arange(5000, dtype=np.uint64))
     counts = np.arange(5000) % 90 + 1
